@@ -203,3 +203,102 @@ ORACLE["tokenise"] = with_ctes(f"""
 SELECT msg_id, array_to_string({tokens_sql('message')}, ' ') AS message,
        CAST(len({tokens_sql('message')}) AS BIGINT) AS n_tokens
 FROM prep_es""", "prep_es")
+
+
+# ---- C9-C11 ---------------------------------------------------------------------
+cte("corpus_words", f"""
+SELECT DISTINCT w AS word FROM (
+  SELECT unnest(regexp_extract_all(lower({clean_after_urls_sql(f"regexp_replace(text, {q(URL_RE)}, {q(T.URL_TRUSTED_TOKEN)}, 'g')")}),
+                                   {q(TOKEN_RE)})) AS w
+  FROM documents)""")
+cte("lemmas", """
+SELECT word, rtrim(word, 's') AS lemma FROM corpus_words
+WHERE ends_with(word, 's') AND length(word) > 3""", ("corpus_words",))
+cte("stems", """
+SELECT word, regexp_replace(word, '(ing|ed)$', '') AS stem FROM corpus_words
+WHERE regexp_matches(word, '(ing|ed)$') AND length(word) > 5""", ("corpus_words",))
+
+
+def lookup_sql(src: str, lemma: bool, stem: bool, extra_cols: str = "") -> tuple[str, tuple[str, ...]]:
+    steps = f"""
+toks AS (SELECT p.msg_id, t.i AS pos, t.tok FROM {src} p,
+         unnest({tokens_sql('p.message')}) WITH ORDINALITY AS t(tok, i))"""
+    cur = "toks"
+    deps = [src]
+    if lemma:
+        steps += f""",
+t_lem AS (SELECT x.msg_id, x.pos, coalesce(l.lemma, x.tok) AS tok FROM {cur} x
+          LEFT JOIN (SELECT word, lemma FROM lemmas WHERE word <> lemma) l ON x.tok = l.word)"""
+        cur = "t_lem"
+        deps.append("lemmas")
+    if stem:
+        steps += f""",
+t_stem AS (SELECT x.msg_id, x.pos, coalesce(s.stem, x.tok) AS tok FROM {cur} x
+           LEFT JOIN (SELECT word, stem FROM stems WHERE word <> stem) s ON x.tok = s.word)"""
+        cur = "t_stem"
+        deps.append("stems")
+    final = f""",
+agg AS (SELECT msg_id, string_agg(tok, ' ' ORDER BY pos) AS message FROM {cur} GROUP BY msg_id)
+SELECT p.msg_id, coalesce(a.message, '') AS message{extra_cols} FROM {src} p LEFT JOIN agg a ON p.msg_id = a.msg_id"""
+    return steps + final, tuple(deps)
+
+
+def _with_steps(steps_final: str, deps: tuple[str, ...]) -> str:
+    base = with_ctes("SELECT 1", *deps)
+    head = base[: base.rfind("\nSELECT 1")]
+    return head + "," + steps_final
+
+
+ORACLE["lemma_lookup"] = _with_steps(*lookup_sql("prep_es", True, False))
+ORACLE["stem_lookup"] = _with_steps(*lookup_sql("prep_es", False, True))
+ORACLE["text_preprocessor"] = _with_steps(*lookup_sql("prep", True, True, ", CAST(p.label AS BIGINT) AS label"))
+
+
+# ---- D: splits ----------------------------------------------------------------------
+def split_ctes(prefix: str, src: str, test_size: float, seed: int, groups: tuple[str, ...] = (),
+               label: str = "label", id_col: str = "msg_id") -> str:
+    """CTE text (no leading WITH) ending in ``{prefix}_split`` = src + split column."""
+    g = ", ".join(groups)
+    gp = f"PARTITION BY {g}" if groups else ""
+    gsel = (g + ", ") if groups else ""
+    join_on = " AND ".join([f"b.{c} = q.{c}" for c in (*groups, label)])
+    return f"""
+{prefix}_base AS (SELECT *, md5(concat_ws(':', {seed}, {id_col})) AS _key FROM {src}),
+{prefix}_cls AS (SELECT {gsel}{label}, count(*) AS n_c FROM {prefix}_base GROUP BY {gsel}{label}),
+{prefix}_q1 AS (SELECT *, sum(n_c) OVER ({gp}) AS _n,
+                CAST(ceil(CAST({test_size!r} AS DOUBLE) * sum(n_c) OVER ({gp})) AS BIGINT) AS _n_test
+                FROM {prefix}_cls),
+{prefix}_q2 AS (SELECT *, (_n - _n_test) * n_c / _n AS _cont, _n - _n_test AS _n_train FROM {prefix}_q1),
+{prefix}_q3 AS (SELECT *, CAST(floor(_cont) AS BIGINT) AS _floor, _cont - floor(_cont) AS _rem FROM {prefix}_q2),
+{prefix}_q4 AS (SELECT *, _n_train - sum(_floor) OVER ({gp}) AS _need,
+                row_number() OVER ({gp} ORDER BY _rem DESC, {label}) AS _rk FROM {prefix}_q3),
+{prefix}_quota AS (SELECT {gsel}{label}, n_c - (_floor + CASE WHEN _rk <= _need THEN 1 ELSE 0 END) AS n_test_c
+                   FROM {prefix}_q4),
+{prefix}_ranked AS (SELECT b.*, row_number() OVER (PARTITION BY {gsel}b.{label} ORDER BY _key, {id_col}) AS _rn
+                    FROM {prefix}_base b),
+{prefix}_split AS (SELECT b.* EXCLUDE (_key, _rn),
+                   CASE WHEN b._rn <= q.n_test_c THEN 'test' ELSE 'train' END AS split
+                   FROM {prefix}_ranked b JOIN {prefix}_quota q ON {join_on})"""
+
+
+def sql_with_split(deps: tuple[str, ...], split_text: str, final: str) -> str:
+    base = with_ctes("SELECT 1", *deps) if deps else "WITH SELECT 1"
+    head = base[: base.rfind("\nSELECT 1")]
+    sep = "," if deps else ""
+    return head + sep + split_text + "\n" + final
+
+
+cte("msg_labels", "SELECT msg_id, label FROM messages", ("messages",))
+cte("es_ids", "SELECT msg_id, 1 AS _one FROM messages_es", ("messages_es",))
+cte("lang_msgs", """
+SELECT d.lang AS source, d.doc_id AS msg_id, CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang IN ('en', 'es', 'fr', 'de')""")
+ORACLE["split_stratified"] = sql_with_split(
+    ("msg_labels",), split_ctes("s", "msg_labels", 0.2, 42),
+    "SELECT msg_id, label, split FROM s_split")
+ORACLE["split_random"] = sql_with_split(
+    ("es_ids",), split_ctes("s", "es_ids", 0.1, 42, label="_one"),
+    "SELECT msg_id, split FROM s_split")
+ORACLE["split_by_source"] = sql_with_split(
+    ("lang_msgs",), split_ctes("s", "lang_msgs", 0.2, 42, groups=("source",)),
+    "SELECT source, msg_id, label, split FROM s_split")

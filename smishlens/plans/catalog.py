@@ -115,3 +115,55 @@ def q_tokenise(spark, sf):
     toks = T.whitespace_tokens(F.col("message"))
     return prep.select(F.col("msg_id").cast("bigint"), T.join_tokens(toks).alias("message"),
                        F.size(toks).cast("bigint").alias("n_tokens"))
+
+
+# ---- C9-C11: lookups ------------------------------------------------------------
+from smishlens.operators.vocabulary import text_preprocessor  # noqa: E402
+from smishlens.operators.split import random_split, stratified_split  # noqa: E402
+
+
+def _prep_es(spark, sf):
+    return P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
+
+
+@register("lemma_lookup")
+def q_lemma_lookup(spark, sf):
+    out = text_preprocessor(_prep_es(spark, sf).select("msg_id", "message"), lemmas=D.lemmas(spark, sf))
+    return out.select(F.col("msg_id").cast("bigint"), "message")
+
+
+@register("stem_lookup")
+def q_stem_lookup(spark, sf):
+    out = text_preprocessor(_prep_es(spark, sf).select("msg_id", "message"), stems=D.stems(spark, sf))
+    return out.select(F.col("msg_id").cast("bigint"), "message")
+
+
+@register("text_preprocessor")
+def q_text_preprocessor(spark, sf):
+    prep = P.preprocess(D.messages(spark, sf), D.threats(spark, sf))
+    out = text_preprocessor(prep, lemmas=D.lemmas(spark, sf), stems=D.stems(spark, sf))
+    return out.select(F.col("msg_id").cast("bigint"), "message", F.col("label").cast("bigint"))
+
+
+# ---- D: splits --------------------------------------------------------------------
+@register("split_stratified")
+def q_split_stratified(spark, sf):
+    out = stratified_split(D.messages(spark, sf).select("msg_id", "label"), "label", 0.2, 42)
+    return out.select(F.col("msg_id").cast("bigint"), "label", "split")
+
+
+@register("split_random")
+def q_split_random(spark, sf):
+    out = random_split(D.messages_es(spark, sf).select("msg_id"), 0.1, 42)
+    return out.select(F.col("msg_id").cast("bigint"), "split")
+
+
+@register("split_by_source")
+def q_split_by_source(spark, sf):
+    parts = [D.lang_messages(spark, sf, lang).select(F.lit(lang).alias("source"), "msg_id", "label")
+             for lang in ("en", "es", "fr", "de")]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    out = stratified_split(union, "label", 0.2, 42, groups=["source"])
+    return out.select("source", F.col("msg_id").cast("bigint"), "label", "split")
