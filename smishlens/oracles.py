@@ -302,3 +302,79 @@ ORACLE["split_random"] = sql_with_split(
 ORACLE["split_by_source"] = sql_with_split(
     ("lang_msgs",), split_ctes("s", "lang_msgs", 0.2, 42, groups=("source",)),
     "SELECT source, msg_id, label, split FROM s_split")
+
+
+# ---- F, H1: TF-IDF and naive Bayes ---------------------------------------------
+def tf_sql(src: str, extra: str = "") -> str:
+    """Per-message term counts over vectoriser tokens."""
+    return f"""SELECT msg_id{extra}, term, count(*) AS tf FROM (
+  SELECT msg_id{extra}, unnest(regexp_extract_all(lower(message), {q(TOKEN_RE)})) AS term FROM {src})
+GROUP BY ALL"""
+
+
+cte("es_tf", tf_sql("prep_es"), ("prep_es",))
+cte("es_stats", "SELECT term, sum(tf) AS total, count(*) AS df FROM es_tf GROUP BY term", ("es_tf",))
+cte("es_vocab", "SELECT * FROM es_stats ORDER BY total DESC, term LIMIT 10000", ("es_stats",))
+cte("es_idf", """
+SELECT v.term, v.df, ln((1.0 + n.n) / (1.0 + v.df)) + 1.0 AS idf
+FROM es_vocab v, (SELECT count(*) AS n FROM prep_es) n""", ("es_vocab", "prep_es"))
+
+
+def tfidf_long_sql(tf: str, idf: str, extra: str = "") -> str:
+    return f"""
+SELECT w.msg_id{extra.replace(', ', ', w.')}, w.term, w.w / sqrt(n.s2) AS tfidf FROM
+  (SELECT t.msg_id{extra.replace(', ', ', t.')}, t.term, t.tf * i.idf AS w FROM {tf} t JOIN {idf} i ON t.term = i.term) w
+JOIN (SELECT t.msg_id, sum((t.tf * i.idf) * (t.tf * i.idf)) AS s2 FROM {tf} t JOIN {idf} i ON t.term = i.term
+      GROUP BY t.msg_id) n ON w.msg_id = n.msg_id"""
+
+
+ORACLE["term_counts"] = with_ctes("SELECT msg_id, term, CAST(tf AS BIGINT) AS tf FROM es_tf", "es_tf")
+ORACLE["vocab_topk"] = with_ctes(
+    "SELECT term, CAST(total AS BIGINT) AS total, CAST(df AS BIGINT) AS df FROM es_vocab", "es_vocab")
+ORACLE["idf"] = with_ctes("SELECT term, CAST(df AS BIGINT) AS df, round(idf, 6) AS idf FROM es_idf", "es_idf")
+ORACLE["tfidf"] = with_ctes(
+    f"SELECT msg_id, term, round(tfidf, 6) AS tfidf FROM ({tfidf_long_sql('es_tf', 'es_idf')})",
+    "es_tf", "es_idf")
+
+
+def classic_ctes(p: str, prep: str, test_size: float = 0.3, seed: int = 42) -> str:
+    """CTE text for split -> TF-IDF (train) -> naive Bayes -> test predictions.
+
+    Produces ``{p}_split, {p}_idf, {p}_lp, {p}_pred(msg_id, label, p, prediction)``."""
+    return split_ctes(p, prep, test_size, seed) + f""",
+{p}_train AS (SELECT * FROM {p}_split WHERE split = 'train'),
+{p}_test AS (SELECT * FROM {p}_split WHERE split = 'test'),
+{p}_tf AS ({tf_sql(f'{p}_train', ', label')}),
+{p}_vocab AS (SELECT term, sum(tf) AS total, count(*) AS df FROM {p}_tf GROUP BY term
+              ORDER BY total DESC, term LIMIT 10000),
+{p}_idf AS (SELECT v.term, v.df, ln((1.0 + n.n) / (1.0 + v.df)) + 1.0 AS idf
+            FROM {p}_vocab v, (SELECT count(*) AS n FROM {p}_train) n),
+{p}_x AS ({tfidf_long_sql(f'{p}_tf', f'{p}_idf', ', label')}),
+{p}_fc AS (SELECT i.term, coalesce(sum(CASE WHEN x.label = 0 THEN x.tfidf END), 0) AS fc0,
+                  coalesce(sum(CASE WHEN x.label = 1 THEN x.tfidf END), 0) AS fc1
+           FROM {p}_idf i LEFT JOIN {p}_x x ON i.term = x.term GROUP BY i.term),
+{p}_lp AS (SELECT f.term, i.idf, ln((f.fc0 + 1.0) / (t.t0 + t.v)) AS lp0, ln((f.fc1 + 1.0) / (t.t1 + t.v)) AS lp1
+           FROM {p}_fc f JOIN {p}_idf i ON f.term = i.term,
+                (SELECT sum(fc0) AS t0, sum(fc1) AS t1, count(*) AS v FROM {p}_fc) t),
+{p}_prior AS (SELECT ln(sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) / count(*)) AS pr0,
+                     ln(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) / count(*)) AS pr1 FROM {p}_train),
+{p}_ttf AS ({tf_sql(f'{p}_test')}),
+{p}_s AS (SELECT t.msg_id, sum((t.tf * l.idf) * (t.tf * l.idf)) AS s2,
+                 sum(t.tf * l.idf * l.lp0) AS s0, sum(t.tf * l.idf * l.lp1) AS s1
+          FROM {p}_ttf t JOIN {p}_lp l ON t.term = l.term GROUP BY t.msg_id),
+{p}_jll AS (SELECT t.msg_id, t.label, pr.pr0 + coalesce(s.s0 / sqrt(s.s2), 0.0) AS jll0,
+                   pr.pr1 + coalesce(s.s1 / sqrt(s.s2), 0.0) AS jll1
+            FROM {p}_test t LEFT JOIN {p}_s s ON t.msg_id = s.msg_id, {p}_prior pr),
+{p}_pred AS (SELECT msg_id, label, 1.0 / (1.0 + exp(jll0 - jll1)) AS p,
+                    CASE WHEN jll1 > jll0 THEN 1 ELSE 0 END AS prediction FROM {p}_jll)"""
+
+
+ORACLE["tfidf_transform"] = sql_with_split(("prep_es",), classic_ctes("c", "prep_es"), """
+SELECT t.msg_id, x.term, round(x.tfidf, 6) AS tfidf
+FROM c_test t LEFT JOIN (""" + tfidf_long_sql("c_ttf", "c_idf") + """) x ON t.msg_id = x.msg_id""")
+ORACLE["nb_fit"] = sql_with_split(("prep_es",), classic_ctes("c", "prep_es"), """
+SELECT CAST(0 AS BIGINT) AS label, term, round(lp0, 6) AS log_prob FROM c_lp
+UNION ALL SELECT CAST(1 AS BIGINT), term, round(lp1, 6) FROM c_lp""")
+ORACLE["nb_predict"] = sql_with_split(("prep_es",), classic_ctes("c", "prep_es"), """
+SELECT msg_id, CAST(label AS BIGINT) AS label, round(p, 6) AS p, CAST(prediction AS BIGINT) AS prediction
+FROM c_pred""")

@@ -167,3 +167,54 @@ def q_split_by_source(spark, sf):
         union = union.unionByName(p)
     out = stratified_split(union, "label", 0.2, 42, groups=["source"])
     return out.select("source", F.col("msg_id").cast("bigint"), "label", "split")
+
+
+# ---- F, H1: TF-IDF and naive Bayes -------------------------------------------------
+from smishlens.operators.tfidf import fit_tfidf, term_counts, top_terms, vocabulary_stats  # noqa: E402
+from smishlens.plans.flagship import flagship, run_classic  # noqa: E402
+
+
+@register("term_counts")
+def q_term_counts(spark, sf):
+    out = term_counts(_prep_es(spark, sf), "msg_id", "message")
+    return out.select(F.col("msg_id").cast("bigint"), "term", F.col("tf").cast("bigint"))
+
+
+@register("vocab_topk")
+def q_vocab_topk(spark, sf):
+    stats = vocabulary_stats(term_counts(_prep_es(spark, sf), "msg_id", "message"))
+    return top_terms(stats).select("term", F.col("total").cast("bigint"), F.col("df").cast("bigint"))
+
+
+@register("idf")
+def q_idf(spark, sf):
+    model = fit_tfidf(_prep_es(spark, sf))
+    return model.vocabulary.select("term", F.col("df").cast("bigint"), r6(F.col("idf")).alias("idf"))
+
+
+@register("tfidf")
+def q_tfidf(spark, sf):
+    prep = _prep_es(spark, sf)
+    model = fit_tfidf(prep)
+    return model.transform_long(prep).select(F.col("msg_id").cast("bigint"), "term",
+                                             r6(F.col("tfidf")).alias("tfidf"))
+
+
+@register("tfidf_transform")
+def q_tfidf_transform(spark, sf):
+    run = flagship(spark, sf)
+    out = run.tfidf.transform_long(run.test, keep_empty=True)
+    return out.select(F.col("msg_id").cast("bigint"), "term", r6(F.col("tfidf")).alias("tfidf"))
+
+
+@register("nb_fit")
+def q_nb_fit(spark, sf):
+    run = flagship(spark, sf)
+    return run.nb.log_probs_long().select("label", "term", r6(F.col("log_prob")).alias("log_prob"))
+
+
+@register("nb_predict")
+def q_nb_predict(spark, sf):
+    run = flagship(spark, sf)
+    return run.predictions.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"),
+                                  r6(F.col("p")).alias("p"), F.col("prediction").cast("bigint"))

@@ -56,3 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="smishlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the cluster's shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -17,8 +17,26 @@ from smishlens.functions import text as T
 TRANSLATION_MAX_CHARS = 5000
 
 
+# Tables whose rows carry long text: the per-row work dominates.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rebalance_scan(df) if name in TEXT_TABLES else df
+
+
+def rebalance_scan(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned text scan over the cores.
+
+    A parquet file with a single row group is read by one task however many
+    splits it has. When a scan yields fewer partitions than twice the
+    default parallelism, rows are dealt round-robin; a large table (many row
+    groups, many splits) is left untouched, so at scale this never shuffles."""
+    target = 2 * df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +136,8 @@ def corpus_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct vectoriser tokens of the cleaned documents."""
     docs = table(spark, sf_dir, "documents").select("text")
     cleaned = T.clean_after_urls(F.regexp_replace("text", T.URL_PATTERN, T.URL_TRUSTED_TOKEN))
-    return docs.select(F.explode(T.vectorizer_tokens(cleaned)).alias("word")).distinct()
+    words = docs.select(F.explode_outer(T.vectorizer_tokens(cleaned)).alias("word"))
+    return words.filter(F.col("word").isNotNull()).distinct()
 
 
 def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
