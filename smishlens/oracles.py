@@ -378,3 +378,138 @@ UNION ALL SELECT CAST(1 AS BIGINT), term, round(lp1, 6) FROM c_lp""")
 ORACLE["nb_predict"] = sql_with_split(("prep_es",), classic_ctes("c", "prep_es"), """
 SELECT msg_id, CAST(label AS BIGINT) AS label, round(p, 6) AS p, CAST(prediction AS BIGINT) AS prediction
 FROM c_pred""")
+
+
+# ---- I, H8, H10, H12, H13, L4 ----------------------------------------------------------
+TOXIC_THRESHOLD = 0.05
+VERDICT_CUTS = (0.03, 0.05)
+
+
+
+def _lookup_subquery(src: str) -> str:
+    """prep -> lemma -> stem as one subquery (msg_id, message, label)."""
+    return f"""
+SELECT p.msg_id, coalesce(a.message, '') AS message, p.label FROM {src} p LEFT JOIN (
+  SELECT msg_id, string_agg(tok, ' ' ORDER BY pos) AS message FROM (
+    SELECT x.msg_id, x.pos, coalesce(s.stem, x.tok) AS tok FROM (
+      SELECT t.msg_id, t.pos, coalesce(l.lemma, t.tok) AS tok FROM (
+        SELECT p2.msg_id, u.i AS pos, u.tok FROM {src} p2,
+               unnest({tokens_sql('p2.message')}) WITH ORDINALITY AS u(tok, i)) t
+      LEFT JOIN (SELECT word, lemma FROM lemmas WHERE word <> lemma) l ON t.tok = l.word) x
+    LEFT JOIN (SELECT word, stem FROM stems WHERE word <> stem) s ON x.tok = s.word)
+  GROUP BY msg_id) a ON p.msg_id = a.msg_id"""
+
+
+cte("prep_es_ls", _lookup_subquery("prep_es"), ("prep_es", "lemmas", "stems"))
+
+
+
+def _pipeline_sql(final: str, *, toxic: bool = False, es: bool = False, es_ls: bool = False) -> str:
+    deps = []
+    parts = []
+    if toxic:
+        deps.append("prep")
+        parts.append(classic_ctes("t", "prep"))
+    if es:
+        deps.append("prep_es")
+        parts.append(classic_ctes("c", "prep_es"))
+    if es_ls:
+        deps.append("prep_es_ls")
+        parts.append(classic_ctes("l", "prep_es_ls"))
+    base = with_ctes("SELECT 1", *deps)
+    head = base[: base.rfind("\nSELECT 1")]
+    extra = ""
+    if toxic:
+        extra += f""",
+tox_preds AS (SELECT msg_id, label, round(p, 12) AS p,
+                     CASE WHEN round(p, 12) >= {TOXIC_THRESHOLD} THEN 1 ELSE 0 END AS prediction FROM t_pred)"""
+    return head + "," + ",".join(parts) + extra + "\n" + final
+
+
+def _counts_sql(src: str, group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    gb = f"GROUP BY {group}" if group else ""
+    return f"""SELECT {g}
+  sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp,
+  sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS fn,
+  sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS tn
+FROM {src} {gb}"""
+
+
+def _sd(num: str, den: str) -> str:
+    return f"(CASE WHEN ({den}) = 0 THEN 0.0 ELSE CAST({num} AS DOUBLE) / ({den}) END)"
+
+
+PRF = (f"round({_sd('tp + tn', 'tp + fp + fn + tn')}, 6) AS accuracy, round({_sd('tp', 'tp + fp')}, 6) AS precision, "
+       f"round({_sd('tp', 'tp + fn')}, 6) AS recall, round({_sd('2 * tp', '2 * tp + fp + fn')}, 6) AS f1, "
+       "CAST(tp + fp + fn + tn AS BIGINT) AS n")
+
+
+def _ranks_sql(src: str, group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    part = f"PARTITION BY {group}" if group else ""
+    return f"""SELECT *, coalesce(sum(neg) OVER ({part} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_lt,
+       coalesce(sum(pos) OVER ({part} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_lt,
+       sum(pos) OVER ({part}) AS P, sum(neg) OVER ({part}) AS N
+FROM (SELECT {g}p AS score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM {src} GROUP BY {g}p)"""
+
+
+def _auc_sql(src: str, group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    gb = f"GROUP BY {group}" if group else ""
+    return f"""SELECT {g}CASE WHEN max(P) = 0 OR max(N) = 0 THEN NULL
+       ELSE sum(pos * (neg_lt + neg * 0.5)) / (CAST(max(P) AS DOUBLE) * max(N)) END AS auc
+FROM ({_ranks_sql(src, group)}) {gb}"""
+
+
+ORACLE["threshold"] = _pipeline_sql(
+    "SELECT msg_id, CAST(label AS BIGINT) AS label, round(p, 6) AS p, CAST(prediction AS BIGINT) AS prediction "
+    "FROM tox_preds", toxic=True)
+ORACLE["confusion"] = _pipeline_sql(f"""
+SELECT CAST(l AS BIGINT) AS label, CAST(pr AS BIGINT) AS prediction, CAST(n AS BIGINT) AS n FROM (
+  SELECT 0 AS l, 0 AS pr, tn AS n FROM c UNION ALL SELECT 0, 1, fp FROM c
+  UNION ALL SELECT 1, 0, fn FROM c UNION ALL SELECT 1, 1, tp FROM c)""".replace(
+    "FROM c", f"FROM ({_counts_sql('tox_preds')})"), toxic=True)
+ORACLE["accuracy_prf"] = _pipeline_sql(f"SELECT {PRF} FROM ({_counts_sql('tox_preds')})", toxic=True)
+ORACLE["class_report"] = _pipeline_sql(f"""
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM (
+  SELECT '0' AS class, {_sd('tn', 'tn + fn')} AS precision, {_sd('tn', 'tn + fp')} AS recall,
+         {_sd('2 * tn', '2 * tn + fn + fp')} AS f1, tn + fp AS support FROM k
+  UNION ALL SELECT '1', {_sd('tp', 'tp + fp')}, {_sd('tp', 'tp + fn')}, {_sd('2 * tp', '2 * tp + fp + fn')}, tp + fn FROM k
+  UNION ALL SELECT 'accuracy', NULL, NULL, {_sd('tp + tn', 'tp + fp + fn + tn')}, tp + fp + fn + tn FROM k
+  UNION ALL SELECT 'macro avg', ({_sd('tn', 'tn + fn')} + {_sd('tp', 'tp + fp')}) / 2,
+         ({_sd('tn', 'tn + fp')} + {_sd('tp', 'tp + fn')}) / 2,
+         ({_sd('2 * tn', '2 * tn + fn + fp')} + {_sd('2 * tp', '2 * tp + fp + fn')}) / 2, tp + fp + fn + tn FROM k
+  UNION ALL SELECT 'weighted avg',
+         {_sd(f"{_sd('tn', 'tn + fn')} * (tn + fp) + {_sd('tp', 'tp + fp')} * (tp + fn)", 'tp + fp + fn + tn')},
+         {_sd(f"{_sd('tn', 'tn + fp')} * (tn + fp) + {_sd('tp', 'tp + fn')} * (tp + fn)", 'tp + fp + fn + tn')},
+         {_sd(f"{_sd('2 * tn', '2 * tn + fn + fp')} * (tn + fp) + {_sd('2 * tp', '2 * tp + fp + fn')} * (tp + fn)", 'tp + fp + fn + tn')},
+         tp + fp + fn + tn FROM k)""".replace("FROM k", f"FROM ({_counts_sql('tox_preds')})"), toxic=True)
+ORACLE["roc_auc"] = _pipeline_sql(f"SELECT round(auc, 6) AS auc FROM ({_auc_sql('tox_preds')})", toxic=True)
+ORACLE["roc_points"] = _pipeline_sql(f"""
+SELECT round(score, 6) AS threshold, round({_sd('N - neg_lt', 'N')}, 6) AS fpr, round({_sd('P - pos_lt', 'P')}, 6) AS tpr
+FROM ({_ranks_sql('tox_preds')})
+UNION ALL SELECT CAST(NULL AS DOUBLE), 0.0, 0.0""", toxic=True)
+
+_CMP = """
+all_preds AS (SELECT 'naive_bayes' AS model, msg_id, label, round(p, 12) AS p, prediction FROM c_pred
+              UNION ALL SELECT 'naive_bayes_lemma_stem', msg_id, label, round(p, 12), prediction FROM l_pred),
+cmp AS (SELECT k.model, k.tp, k.fp, k.fn, k.tn, a.auc FROM ({counts}) k JOIN ({auc}) a ON k.model = a.model)"""
+_CMP = _CMP.format(counts=_counts_sql("all_preds", "model"), auc=_auc_sql("all_preds", "model"))
+_CMP_COLS = f"model, {PRF.replace(', CAST(tp + fp + fn + tn AS BIGINT) AS n', '')}, round(auc, 6) AS auc, CAST(tp + fp + fn + tn AS BIGINT) AS n"
+ORACLE["compare_models"] = _pipeline_sql(f"SELECT {_CMP_COLS} FROM cmp", es=True, es_ls=True).replace(
+    "\nSELECT " + _CMP_COLS, "," + _CMP + "\nSELECT " + _CMP_COLS)
+ORACLE["best_model"] = _pipeline_sql(f"""SELECT {_CMP_COLS} FROM cmp
+ORDER BY {_sd('tp + tn', 'tp + fp + fn + tn')} DESC, CASE model WHEN 'naive_bayes' THEN 0 ELSE 1 END LIMIT 1""",
+                                     es=True, es_ls=True).replace("\nSELECT " + _CMP_COLS, "," + _CMP + "\nSELECT " + _CMP_COLS)
+ORACLE["softmax"] = _pipeline_sql("SELECT msg_id, round(1.0 / (1.0 + exp(jll0 - jll1)), 6) AS p FROM c_jll", es=True)
+ORACLE["argmax"] = _pipeline_sql(
+    "SELECT msg_id, CAST(CASE WHEN jll1 > jll0 THEN 1 ELSE 0 END AS BIGINT) AS prediction FROM c_jll", es=True)
+ORACLE["logit_metrics"] = _pipeline_sql(f"""SELECT {PRF} FROM ({_counts_sql(
+    "(SELECT label, CASE WHEN jll1 > jll0 THEN 1 ELSE 0 END AS prediction FROM c_jll)")})""", es=True)
+ORACLE["verdict"] = _pipeline_sql(f"""
+SELECT msg_id, CASE WHEN p >= {VERDICT_CUTS[1]} THEN 'fraud' WHEN p >= {VERDICT_CUTS[0]} THEN 'possible_spam'
+                    ELSE 'legit' END AS verdict FROM tox_preds""", toxic=True)

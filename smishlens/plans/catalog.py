@@ -218,3 +218,121 @@ def q_nb_predict(spark, sf):
     run = flagship(spark, sf)
     return run.predictions.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"),
                                   r6(F.col("p")).alias("p"), F.col("prediction").cast("bigint"))
+
+
+# ---- I, H8, H10, H12, H13, L4: metrics and decisions ----------------------------------
+from smishlens.functions import scores as S  # noqa: E402
+from smishlens.operators import metrics as M  # noqa: E402
+
+TOXIC_THRESHOLD = 0.05   # test setting for the 'messages' adapter (its p stays low)
+VERDICT_CUTS = (0.03, 0.05)
+
+
+def _preds_toxic(spark, sf):
+    """Naive Bayes on ``messages`` scored at the test threshold (H10, inclusive)."""
+    run = run_classic(D.messages(spark, sf), D.threats(spark, sf))
+    p = F.round(F.col("p"), 12)
+    return run.predictions.select("msg_id", "label", p.alias("p"),
+                                  S.threshold_decision(p, TOXIC_THRESHOLD).alias("prediction"))
+
+
+def _preds_es(spark, sf, lookups: bool = False):
+    lem = D.lemmas(spark, sf) if lookups else None
+    stm = D.stems(spark, sf) if lookups else None
+    run = run_classic(D.messages_es(spark, sf), D.threats(spark, sf), lemmas=lem, stems=stm)
+    return run.predictions.select("msg_id", "label", F.round(F.col("p"), 12).alias("p"), "prediction")
+
+
+@register("threshold")
+def q_threshold(spark, sf):
+    out = _preds_toxic(spark, sf)
+    return out.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"), r6(F.col("p")).alias("p"),
+                      F.col("prediction").cast("bigint"))
+
+
+@register("confusion")
+def q_confusion(spark, sf):
+    out = M.confusion_matrix(_preds_toxic(spark, sf))
+    return out.select(F.col("label").cast("bigint"), F.col("prediction").cast("bigint"), F.col("n").cast("bigint"))
+
+
+@register("accuracy_prf")
+def q_accuracy_prf(spark, sf):
+    out = M.accuracy_prf(_preds_toxic(spark, sf))
+    return out.select(*[r6(F.col(c)).alias(c) for c in ("accuracy", "precision", "recall", "f1")],
+                      F.col("n").cast("bigint"))
+
+
+@register("class_report")
+def q_class_report(spark, sf):
+    out = M.class_report(_preds_toxic(spark, sf))
+    return out.select("class", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")],
+                      F.col("support").cast("bigint"))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf):
+    return M.roc_auc(_preds_toxic(spark, sf)).select(r6(F.col("auc")).alias("auc"))
+
+
+@register("roc_points")
+def q_roc_points(spark, sf):
+    out = M.roc_points(_preds_toxic(spark, sf))
+    return out.select(r6(F.col("threshold")).alias("threshold"), r6(F.col("fpr")).alias("fpr"),
+                      r6(F.col("tpr")).alias("tpr"))
+
+
+MODEL_ORDER = {"naive_bayes": 0, "naive_bayes_lemma_stem": 1}
+
+
+def _compare(spark, sf):
+    a = _preds_es(spark, sf).withColumn("model", F.lit("naive_bayes"))
+    b = _preds_es(spark, sf, lookups=True).withColumn("model", F.lit("naive_bayes_lemma_stem"))
+    return M.compare_models(a.unionByName(b))
+
+
+def _metric_cols():
+    return [r6(F.col(c)).alias(c) for c in ("accuracy", "precision", "recall", "f1", "auc")]
+
+
+@register("compare_models")
+def q_compare_models(spark, sf):
+    return _compare(spark, sf).select("model", *_metric_cols(), F.col("n").cast("bigint"))
+
+
+@register("best_model")
+def q_best_model(spark, sf):
+    return M.best_model(_compare(spark, sf), MODEL_ORDER).select("model", *_metric_cols(),
+                                                                 F.col("n").cast("bigint"))
+
+
+def _logits(spark, sf):
+    run = flagship(spark, sf)
+    jll = run.nb.joint_log_likelihood(run.test, keep=["label"])
+    return jll.select("msg_id", "label", F.col("jll_0").alias("l0"), F.col("jll_1").alias("l1"))
+
+
+@register("softmax")
+def q_softmax(spark, sf):
+    lg = _logits(spark, sf)
+    return lg.select(F.col("msg_id").cast("bigint"), r6(S.softmax_positive(F.col("l0"), F.col("l1"))).alias("p"))
+
+
+@register("argmax")
+def q_argmax(spark, sf):
+    lg = _logits(spark, sf)
+    return lg.select(F.col("msg_id").cast("bigint"), S.argmax2(F.col("l0"), F.col("l1")).cast("bigint").alias("prediction"))
+
+
+@register("logit_metrics")
+def q_logit_metrics(spark, sf):
+    lg = _logits(spark, sf).withColumn("prediction", S.argmax2(F.col("l0"), F.col("l1")))
+    out = M.accuracy_prf(lg)
+    return out.select(*[r6(F.col(c)).alias(c) for c in ("accuracy", "precision", "recall", "f1")],
+                      F.col("n").cast("bigint"))
+
+
+@register("verdict")
+def q_verdict(spark, sf):
+    out = _preds_toxic(spark, sf)
+    return out.select(F.col("msg_id").cast("bigint"), S.verdict(F.col("p"), *VERDICT_CUTS).alias("verdict"))
