@@ -513,3 +513,33 @@ ORACLE["logit_metrics"] = _pipeline_sql(f"""SELECT {PRF} FROM ({_counts_sql(
 ORACLE["verdict"] = _pipeline_sql(f"""
 SELECT msg_id, CASE WHEN p >= {VERDICT_CUTS[1]} THEN 'fraud' WHEN p >= {VERDICT_CUTS[0]} THEN 'possible_spam'
                     ELSE 'legit' END AS verdict FROM tox_preds""", toxic=True)
+
+
+# ---- G: augmentation --------------------------------------------------------------------
+cte("es_msgs", """
+SELECT d.doc_id AS msg_id, d.text AS message, CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang = 'es'""")
+cte("en_msgs", """
+SELECT d.doc_id AS msg_id, d.text AS message, CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang = 'en'""")
+cte("bt1", """
+SELECT e.msg_id, t2.text_out AS message, e.label
+FROM es_msgs e
+JOIN translations t1 ON t1.src_lang = 'es' AND t1.tgt_lang = 'en' AND t1.text_in = e.message
+JOIN translations t2 ON t2.src_lang = 'en' AND t2.tgt_lang = 'es' AND t2.text_in = t1.text_out""",
+    ("es_msgs", "translations"))
+cte("en2es", """
+SELECT DISTINCT e.msg_id, t.text_out AS message, e.label
+FROM en_msgs e JOIN translations t ON t.src_lang = 'en' AND t.tgt_lang = 'es' AND t.text_in = e.message""",
+    ("en_msgs", "translations"))
+ORACLE["backtranslate"] = with_ctes(
+    "SELECT msg_id, message, label FROM bt1, range(2) r", "bt1")
+ORACLE["translate_distinct"] = with_ctes("SELECT msg_id, message, label FROM en2es", "en2es")
+ORACLE["augment_union"] = with_ctes("""
+SELECT message, label, 'original_es' AS aug_type FROM es_msgs
+UNION ALL SELECT message, label, CAST(NULL AS VARCHAR) FROM bt1
+UNION ALL SELECT message, label, CAST(NULL AS VARCHAR) FROM en2es""", "es_msgs", "bt1", "en2es")
+ORACLE["augment_counts"] = with_ctes("""
+SELECT 'originals' AS kind, CAST(count(*) AS BIGINT) AS n FROM es_msgs
+UNION ALL SELECT 'bt', count(*) FROM bt1
+UNION ALL SELECT 'en2es', count(*) FROM en2es""", "es_msgs", "bt1", "en2es")

@@ -336,3 +336,37 @@ def q_logit_metrics(spark, sf):
 def q_verdict(spark, sf):
     out = _preds_toxic(spark, sf)
     return out.select(F.col("msg_id").cast("bigint"), S.verdict(F.col("p"), *VERDICT_CUTS).alias("verdict"))
+
+
+# ---- G: augmentation ----------------------------------------------------------------------
+from smishlens.operators import augment as G  # noqa: E402
+
+
+def _augment(spark, sf, num_bt=1, num_en2es=1):
+    es = D.lang_messages(spark, sf, "es")
+    en = D.lang_messages(spark, sf, "en")
+    return G.augment(es, en, D.translations(spark, sf), num_bt, num_en2es)
+
+
+@register("backtranslate")
+def q_backtranslate(spark, sf):
+    es = D.lang_messages(spark, sf, "es")
+    out = G.back_translate(es, D.translations(spark, sf), num_bt=2)
+    return out.select(F.col("msg_id").cast("bigint"), "message", "label")
+
+
+@register("translate_distinct")
+def q_translate_distinct(spark, sf):
+    en = D.lang_messages(spark, sf, "en")
+    out = G.translate_distinct(en, D.translations(spark, sf), num_en2es=3)
+    return out.select(F.col("msg_id").cast("bigint"), "message", "label")
+
+
+@register("augment_union")
+def q_augment_union(spark, sf):
+    return _augment(spark, sf)["union"].select("message", "label", "aug_type")
+
+
+@register("augment_counts")
+def q_augment_counts(spark, sf):
+    return G.augment_counts(_augment(spark, sf)).select("kind", F.col("n").cast("bigint"))
