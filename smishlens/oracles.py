@@ -543,3 +543,12 @@ ORACLE["augment_counts"] = with_ctes("""
 SELECT 'originals' AS kind, CAST(count(*) AS BIGINT) AS n FROM es_msgs
 UNION ALL SELECT 'bt', count(*) FROM bt1
 UNION ALL SELECT 'en2es', count(*) FROM en2es""", "es_msgs", "bt1", "en2es")
+
+ORACLE["soft_vote"] = _pipeline_sql("""
+SELECT msg_id, CAST(label AS BIGINT) AS label, round(avg(p), 6) AS p,
+       CAST(CASE WHEN avg(p) > 0.5 THEN 1 ELSE 0 END AS BIGINT) AS prediction
+FROM (SELECT msg_id, label, round(p, 12) AS p FROM c_pred UNION ALL SELECT msg_id, label, round(p, 12) FROM l_pred)
+GROUP BY msg_id, label""", es=True, es_ls=True)
+ORACLE["text_preprocessor_ml"] = f"""
+SELECT doc_id AS msg_id, array_to_string({tokens_sql(clean_after_urls_sql(f"regexp_replace(text, {q(URL_RE)}, {q(T.URL_TRUSTED_TOKEN)}, 'g')"))}, ' ') AS message
+FROM documents"""

@@ -370,3 +370,82 @@ def q_augment_union(spark, sf):
 @register("augment_counts")
 def q_augment_counts(spark, sf):
     return G.augment_counts(_augment(spark, sf)).select("kind", F.col("n").cast("bigint"))
+
+
+# ---- H2-H7, H9, M1, A5, A6: Spark ML members (rows-only checks) ---------------------------
+from smishlens.plans import ml as ML  # noqa: E402
+from smishlens.session import ensure_checkpoint_dir, materialize  # noqa: E402
+
+
+def _ml_features(spark, sf):
+    run = flagship(spark, sf)
+    stages = ML.tfidf_stages(run.tfidf, input_col="message", output_col="features")
+    cols = ["msg_id", F.col("label").cast("double").alias("label"), "features"]
+    # Iterative solvers run one job per iteration: one partition per core.
+    cores = spark.sparkContext.defaultParallelism
+    train = materialize(stages.transform(run.train).select(*cols).coalesce(cores))
+    test = materialize(stages.transform(run.test).select(*cols).coalesce(cores))
+    return run, train, test, run.train.count()
+
+
+def _ml_out(df):
+    return df.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"), r6(F.col("p")).alias("p"),
+                     F.col("prediction").cast("bigint"))
+
+
+@register("lr_fit")
+def q_lr_fit(spark, sf):
+    _, train, test, n = _ml_features(spark, sf)
+    return _ml_out(ML.ml_predictions(train, test, n, ("logistic_regression",)))
+
+
+@register("svm_platt")
+def q_svm_platt(spark, sf):
+    _, train, test, n = _ml_features(spark, sf)
+    return _ml_out(ML.ml_predictions(train, test, n, ("svm",)))
+
+
+@register("forest")
+def q_forest(spark, sf):
+    _, train, test, n = _ml_features(spark, sf)
+    return _ml_out(ML.ml_predictions(train, test, n, ("random_forest",)))
+
+
+@register("compare_ml")
+def q_compare_ml(spark, sf):
+    _, train, test, n = _ml_features(spark, sf)
+    preds = materialize(ML.ml_predictions(train, test, n))
+    return M.compare_models(preds).select("model", *_metric_cols(), F.col("n").cast("bigint"))
+
+
+@register("ensemble_fit")
+def q_ensemble_fit(spark, sf):
+    _, train, test, n = _ml_features(spark, sf)
+    return _ml_out(ML.ensemble_chain(train, test, n))
+
+
+@register("soft_vote")
+def q_soft_vote(spark, sf):
+    a = _preds_es(spark, sf).withColumn("model", F.lit("naive_bayes"))
+    b = _preds_es(spark, sf, lookups=True).withColumn("model", F.lit("naive_bayes_lemma_stem"))
+    return _ml_out(ML.soft_vote(a.unionByName(b)))
+
+
+@register("text_preprocessor_ml")
+def q_text_preprocessor_ml(spark, sf):
+    docs = D.messages_es(spark, sf)
+    out = ML.TextPreprocessor(inputCol="message", outputCol="clean").transform(docs)
+    return out.select(F.col("msg_id").cast("bigint"), F.col("clean").alias("message"))
+
+
+@register("production_refit")
+def q_production_refit(spark, sf):
+    prep = P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
+    data = materialize(prep.select("msg_id", "message", F.col("label").cast("double").alias("label")))
+    model_dir = ensure_checkpoint_dir(spark).rstrip("/") + "/models"
+    ML.refit_production(spark, data, model_dir, "spanish", "naive_bayes", threshold=0.429)
+    model, meta = ML.load_model(spark, f"{model_dir}/pipeline_spanish")
+    scored = model.transform(data)
+    return scored.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"),
+                         r6(ML.positive_probability("probability")).alias("p"),
+                         F.col("prediction").cast("bigint"), F.lit(meta["threshold"]).alias("threshold"))
