@@ -552,3 +552,37 @@ GROUP BY msg_id, label""", es=True, es_ls=True)
 ORACLE["text_preprocessor_ml"] = f"""
 SELECT doc_id AS msg_id, array_to_string({tokens_sql(clean_after_urls_sql(f"regexp_replace(text, {q(URL_RE)}, {q(T.URL_TRUSTED_TOKEN)}, 'g')"))}, ' ') AS message
 FROM documents"""
+
+
+# ---- H11, L1-L3 ---------------------------------------------------------------------------
+ORACLE["batch_score"] = with_ctes("""
+SELECT msg_id, round(1.0 / (1.0 + exp(-(0.01 * length(message) - 2.0))), 6) AS p,
+       CAST(CASE WHEN 1.0 / (1.0 + exp(-(0.01 * length(message) - 2.0))) >= 0.5 THEN 1 ELSE 0 END AS BIGINT)
+         AS prediction
+FROM prep_es""", "prep_es")
+ORACLE["stream_blocklist"] = """
+SELECT event_id, user_id, event_type FROM events
+WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value >= 300)"""
+ORACLE["feedback_merge"] = """
+SELECT l.doc_id AS msg_id, CAST(coalesce(f.label, l.toxic) AS BIGINT) AS label,
+       CASE WHEN f.label IS NOT NULL THEN 'feedback' ELSE 'original' END AS source
+FROM labels l LEFT JOIN (
+  SELECT msg_id, label FROM (
+    SELECT user_id AS msg_id, CASE WHEN value > 100 THEN 1 ELSE 0 END AS label,
+           row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+    FROM events WHERE event_type = 'click') WHERE rn = 1) f ON l.doc_id = f.msg_id"""
+STREAM_CUTS = (0.3, 0.7)
+ORACLE["stream_score"] = _pipeline_sql(f"""
+SELECT j.msg_id, CAST(j.label AS BIGINT) AS label, round(1.0 / (1.0 + exp(j.jll0 - j.jll1)), 6) AS p,
+       CAST(CASE WHEN j.jll1 > j.jll0 THEN 1 ELSE 0 END AS BIGINT) AS prediction,
+       CASE WHEN 1.0 / (1.0 + exp(j.jll0 - j.jll1)) >= {STREAM_CUTS[1]} THEN 'fraud'
+            WHEN 1.0 / (1.0 + exp(j.jll0 - j.jll1)) >= {STREAM_CUTS[0]} THEN 'possible_spam' ELSE 'legit' END AS verdict
+FROM (SELECT t.msg_id, t.label, pr.pr0 + coalesce(s.s0 / sqrt(s.s2), 0.0) AS jll0,
+             pr.pr1 + coalesce(s.s1 / sqrt(s.s2), 0.0) AS jll1
+      FROM sc_src t LEFT JOIN sc_s s ON t.msg_id = s.msg_id, c_prior pr) j""", es=True).replace(
+    "\nSELECT j.msg_id", f""",
+sc_src AS (SELECT * FROM prep_es WHERE msg_id IN (SELECT user_id FROM events)),
+sc_tf AS ({tf_sql('sc_src')}),
+sc_s AS (SELECT t.msg_id, sum((t.tf * l.idf) * (t.tf * l.idf)) AS s2, sum(t.tf * l.idf * l.lp0) AS s0,
+                sum(t.tf * l.idf * l.lp1) AS s1 FROM sc_tf t JOIN c_lp l ON t.term = l.term GROUP BY t.msg_id)
+SELECT j.msg_id""", 1)

@@ -449,3 +449,41 @@ def q_production_refit(spark, sf):
     return scored.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"),
                          r6(ML.positive_probability("probability")).alias("p"),
                          F.col("prediction").cast("bigint"), F.lit(meta["threshold"]).alias("threshold"))
+
+
+# ---- H11, L1-L3: batch scoring and streams ----------------------------------------------
+from smishlens.plans import scoring as SC  # noqa: E402
+from smishlens.streaming import feeds as ST  # noqa: E402
+
+STREAM_CUTS = (0.3, 0.7)
+
+
+@register("batch_score")
+def q_batch_score(spark, sf):
+    out = SC.score_texts(_prep_es(spark, sf), SC.length_model_factory)
+    return out.select(F.col("msg_id").cast("bigint"), r6(F.col("p")).alias("p"),
+                      S.threshold_decision(F.col("p"), 0.5).cast("bigint").alias("prediction"))
+
+
+@register("stream_blocklist")
+def q_stream_blocklist(spark, sf):
+    stream = ST.drop_blocked(D.events_stream(spark, sf), D.blocked_senders(spark, sf))
+    out = ST.run_to_table(stream.select("event_id", "user_id", "event_type"), spark, "blocklist")
+    return out.select(F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), "event_type")
+
+
+@register("feedback_merge")
+def q_feedback_merge(spark, sf):
+    train = D.table(spark, sf, "labels").select(F.col("doc_id").alias("msg_id"), F.col("toxic").alias("label"))
+    out = ST.merge_feedback(train, D.feedback(spark, sf))
+    return out.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"), "source")
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    run = flagship(spark, sf)
+    requests = D.events_stream(spark, sf).select(F.col("user_id").alias("msg_id"), "ts")
+    docs = D.messages_es(spark, sf)
+    out = ST.score_stream(spark, requests, docs, D.threats(spark, sf), run.nb, STREAM_CUTS)
+    return out.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"), r6(F.col("p")).alias("p"),
+                      F.col("prediction").cast("bigint"), "verdict")

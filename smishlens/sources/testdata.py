@@ -152,3 +152,24 @@ def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = corpus_words(spark, sf_dir)
     return (words.filter(F.col("word").rlike("(ing|ed)$") & (F.length("word") > 5))
             .select("word", F.regexp_replace("word", "(ing|ed)$", "").alias("stem")))
+
+
+def blocked_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block list: users who raised a large error event (``sender``)."""
+    ev = table(spark, sf_dir, "events")
+    return (ev.filter((F.col("event_type") == "error") & (F.col("value") >= 300))
+            .select(F.col("user_id").alias("sender")).distinct())
+
+
+def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User feedback: click events label the user's message spam when value > 100."""
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
+    return ev.select(F.col("user_id").alias("msg_id"), F.when(F.col("value") > 100, 1).otherwise(0).alias("label"),
+                     "ts", "event_id")
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a file stream, event time cast for watermarks."""
+    from smishlens.streaming.feeds import read_file_stream, with_event_time
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return with_event_time(read_file_stream(spark, sf_dir, "events.parquet", schema))
