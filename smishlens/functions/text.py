@@ -118,9 +118,39 @@ def lower_strip(col: Column) -> Column:
     return F.regexp_replace(F.lower(col), STRIP_PATTERN, "")
 
 
+# ASCII characters that C5 turns into a blank: neither word characters nor
+# whitespace (printable punctuation and the remaining control characters).
+ASCII_PUNCT = "".join(ch for ch in map(chr, range(128))
+                      if not (ch.isalnum() or ch == "_" or ch in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "))
+
+
+def _blank_punct(s: str) -> str:
+    return "".join(" " if ch in ASCII_PUNCT else ch for ch in s)
+
+
 def clean_after_urls(col: Column, fold_table: dict[str, str] | None = None) -> Column:
-    """C3 -> C4 -> C5 -> C6, the part of ``clean_text`` after URL tokens."""
-    return lower_strip(strip_punct(mask_numbers(fold_accents(col, fold_table))))
+    """C3 -> C4 -> C5 -> C6, the part of ``clean_text`` after URL tokens.
+
+    Same result as ``lower_strip(strip_punct(mask_numbers(fold_accents(x))))``
+    in fewer passes: the accent table is composed with C5 (a folded character
+    that is punctuation becomes a blank directly) and ASCII punctuation joins
+    the same ``translate``. C5 may run before C4 because blanks and
+    punctuation are both non-word characters for ``\\b`` and the number
+    token holds no punctuation; C3's digits (e.g. superscripts) still come
+    before C4."""
+    table = default_fold_table() if fold_table is None else fold_table
+    one = {k: _blank_punct(v) for k, v in table.items() if len(v) == 1}
+    many = {k: _blank_punct(v) for k, v in table.items() if len(v) != 1}
+    src = "".join(one.keys()) + ASCII_PUNCT
+    dst = "".join(one.values()) + " " * len(ASCII_PUNCT)
+    out = F.translate(col, src, dst)
+    chain = out
+    for k, v in sorted(many.items()):
+        chain = F.replace(chain, F.lit(k), F.lit(v))
+    has_many = out.rlike("[" + "".join(sorted(many.keys())) + "]") if many else F.lit(False)
+    folded = F.regexp_replace(F.when(has_many, chain).otherwise(out), NON_ASCII_PATTERN, "")
+    ascii_text = F.when(col.rlike(NON_ASCII_PATTERN), folded).otherwise(out)
+    return lower_strip(mask_numbers(ascii_text))
 
 
 def is_blank(col: Column) -> Column:

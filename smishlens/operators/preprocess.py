@@ -48,8 +48,17 @@ def clean_text(df: DataFrame, threats: DataFrame | None, text_col: str = "messag
 
 
 def drop_blank(df: DataFrame, text_col: str = "message") -> DataFrame:
-    """Messages that are empty after cleaning are dropped."""
-    return df.filter(~T.is_blank(F.col(text_col)))
+    """Messages that are empty after cleaning are dropped.
+
+    A filter on a computed column is pushed below the projection that
+    computes it, which would run the whole cleaning twice. Passing the text
+    through ``explode_outer`` of a one-element array keeps the filter above
+    that projection: the text is cleaned once."""
+    others = [c for c in df.columns if c != text_col]
+    kept = F.filter(F.array(F.col(text_col)), lambda t: ~T.is_blank(t))
+    return (df.select(*others, F.explode_outer(kept).alias(text_col))
+            .filter(F.col(text_col).isNotNull())
+            .select(*df.columns))
 
 
 def preprocess(df: DataFrame, threats: DataFrame | None, id_col: str = "msg_id",

@@ -59,11 +59,13 @@ def tokenise_urls(df: DataFrame, threats: DataFrame | None, text_col: str = "mes
         # Nothing can be suspicious: a single regexp_replace, no join.
         return df.withColumn(out_col, F.regexp_replace(F.col(text_col), T.URL_PATTERN,
                                                        T.URL_TRUSTED_TOKEN))
-    urls = T.extract_urls(F.col(text_col))
-    tagged = df.withColumn("_urls", urls)
-    n_urls = F.coalesce(F.size("_urls"), F.lit(0))
-    plain = tagged.filter(n_urls <= 0).drop("_urls").withColumn(out_col, F.col(text_col))
-    with_urls = tagged.filter(n_urls > 0)
+    text = F.col(text_col)
+    # Cheap substring test first: the URL regex only runs on candidates (the
+    # optimizer pushes these filters down to the scan).
+    candidate = text.contains("http://") | text.contains("https://") | text.contains("www.")
+    has_url = F.coalesce(candidate & (F.size(T.extract_urls(text)) > 0), F.lit(False))
+    plain = df.filter(~has_url).withColumn(out_col, text)
+    with_urls = df.filter(has_url).withColumn("_urls", T.extract_urls(text))
     occurrences = with_urls.select(id_col, F.posexplode("_urls").alias("_pos", "url"))
     bad = suspicious_urls(threats).withColumn("_bad", F.lit(True))
     flags = (occurrences.join(bad, "url", "left")

@@ -586,3 +586,8 @@ sc_tf AS ({tf_sql('sc_src')}),
 sc_s AS (SELECT t.msg_id, sum((t.tf * l.idf) * (t.tf * l.idf)) AS s2, sum(t.tf * l.idf * l.lp0) AS s0,
                 sum(t.tf * l.idf * l.lp1) AS s1 FROM sc_tf t JOIN c_lp l ON t.term = l.term GROUP BY t.msg_id)
 SELECT j.msg_id""", 1)
+
+ORACLE["csv_roundtrip"] = with_ctes("""
+SELECT msg_id, message, label FROM messages
+WHERE message NOT IN ('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND',
+                      '1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')""", "messages")

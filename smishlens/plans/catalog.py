@@ -122,8 +122,15 @@ from smishlens.operators.vocabulary import text_preprocessor  # noqa: E402
 from smishlens.operators.split import random_split, stratified_split  # noqa: E402
 
 
-def _prep_es(spark, sf):
-    return P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
+def _prep_es(spark, sf, reuse: bool = False):
+    """Preprocessed ``messages_es``; with ``reuse`` the cleaned table is
+    checkpointed once because several jobs (count, vocabulary, transform)
+    read it."""
+    prep = P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
+    if reuse:
+        from smishlens.session import materialize
+        return materialize(prep)
+    return prep
 
 
 @register("lemma_lookup")
@@ -188,13 +195,13 @@ def q_vocab_topk(spark, sf):
 
 @register("idf")
 def q_idf(spark, sf):
-    model = fit_tfidf(_prep_es(spark, sf))
+    model = fit_tfidf(_prep_es(spark, sf, reuse=True))
     return model.vocabulary.select("term", F.col("df").cast("bigint"), r6(F.col("idf")).alias("idf"))
 
 
 @register("tfidf")
 def q_tfidf(spark, sf):
-    prep = _prep_es(spark, sf)
+    prep = _prep_es(spark, sf, reuse=True)
     model = fit_tfidf(prep)
     return model.transform_long(prep).select(F.col("msg_id").cast("bigint"), "term",
                                              r6(F.col("tfidf")).alias("tfidf"))
@@ -487,3 +494,19 @@ def q_stream_score(spark, sf):
     out = ST.score_stream(spark, requests, docs, D.threats(spark, sf), run.nb, STREAM_CUTS)
     return out.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"), r6(F.col("p")).alias("p"),
                       F.col("prediction").cast("bigint"), "verdict")
+
+
+# ---- A1-A4: CSV round trip ---------------------------------------------------------------
+from smishlens.sources import messages as SRC  # noqa: E402
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """Labelled messages written as CSV (multi-line quoted text) and read back
+    by the message loader; rows whose text is a null marker drop out."""
+    msgs = D.messages(spark, sf).select("label", "message", F.col("msg_id").cast("string").alias("ref"))
+    path = ST.scratch_path(spark, "csv")
+    SRC.write_csv(msgs, path)
+    back = SRC.require_columns(SRC.read_csv_plain(spark, path), "message", "label", "ref")
+    back = P.drop_incomplete(back)
+    return back.select(F.col("ref").cast("bigint").alias("msg_id"), "message", "label")
