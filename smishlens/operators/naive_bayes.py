@@ -84,6 +84,8 @@ def fit_naive_bayes(tfidf: TfidfModel, train: DataFrame, id_col: str = "msg_id",
     vocab = tfidf.vocabulary.select("term", "idf")
     # fc has one row per vocabulary term at most: bounded by max_features.
     wide = vocab.join(F.broadcast(fc), "term", "left").fillna(0.0, subset=[f"fc_{c}" for c in classes])
+    # Read twice (class totals, then the table): at most max_features rows.
+    wide = materialize(wide)
     totals = wide.agg(*[F.sum(f"fc_{c}").alias(f"t_{c}") for c in classes], F.count(F.lit(1)).alias("v")).first()
     v = int(totals["v"])
     table = wide.select("term", "idf", *[

@@ -8,9 +8,10 @@ by ``md5('<seed>:<id>')`` (then id) and the first quota rows go to test.
 
 At scale the per-class order is never materialised by one task. Rows are
 bucketed by the first hex digits of the md5 key; bucket counts (a tiny table)
-give, per class, the bucket in which the test quota ends. Rows before that
-bucket are test, rows after it train, and only the boundary bucket (about
-``n / 16**digits`` rows) is ranked by a window.
+give, per class, the bucket in which the test quota ends, and only that
+boundary bucket (about ``n / 16**digits`` rows) is ranked by a window to find
+the last test row. The result is a cut table with one row per class; the
+split itself is then a narrow pass (broadcast join and a comparison).
 """
 
 from __future__ import annotations
@@ -49,13 +50,14 @@ def class_quotas(counts: DataFrame, test_size: float, groups: list[str], label_c
     return q.select(*groups, label_col, "n_c", checked.cast("bigint").alias("n_test_c"))
 
 
-def stratified_split(df: DataFrame, label_col: str = "label", test_size: float = 0.2, seed: int = 42,
-                     id_col: str = "msg_id", groups: list[str] | None = None,
-                     bucket_digits: int = 4, split_col: str = "split") -> DataFrame:
-    """D1 (and D3 with ``groups``): add ``split`` = 'train' | 'test'."""
+def split_cuts(df: DataFrame, label_col: str = "label", test_size: float = 0.2, seed: int = 42,
+               id_col: str = "msg_id", groups: list[str] | None = None, bucket_digits: int = 4) -> DataFrame:
+    """Per class: the bucket where the test quota ends and the last test row's
+    ``(key, id)`` there. One row per class (a tiny table)."""
     groups = list(groups or [])
     strata = groups + [label_col]
-    keyed = (df.withColumn("_key", order_key(id_col, seed))
+    keyed = (df.select(*strata, id_col)
+             .withColumn("_key", order_key(id_col, seed))
              .withColumn("_bucket", F.substring("_key", 1, bucket_digits)))
     buckets = keyed.groupBy(*strata, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     counts = buckets.groupBy(*strata).agg(F.sum("_cnt").alias("n_c"))
@@ -70,18 +72,40 @@ def stratified_split(df: DataFrame, label_col: str = "label", test_size: float =
                 .select(*strata, F.col("_bucket").alias("_bb"),
                         (F.col("n_test_c") - F.col("_before")).alias("_need")))
     # One row per class: bounded by the number of classes, safe to broadcast.
-    marked = keyed.join(F.broadcast(boundary), strata, "left")
-    before = F.coalesce(F.col("_bucket") < F.col("_bb"), F.lit(False))
-    at = F.coalesce(F.col("_bucket") == F.col("_bb"), F.lit(False))
-    settled = (marked.filter(~at)
-               .withColumn(split_col, F.when(before, F.lit("test")).otherwise(F.lit("train"))))
-    rank_w = Window.partitionBy(*strata).orderBy("_key", id_col)
-    edge = (marked.filter(at)
-            .withColumn("_rn", F.row_number().over(rank_w))
-            .withColumn(split_col, F.when(F.col("_rn") <= F.col("_need"), F.lit("test"))
-                        .otherwise(F.lit("train")))
-            .drop("_rn"))
-    return settled.unionByName(edge).drop("_key", "_bucket", "_bb", "_need")
+    # Only rows of the boundary bucket (about n / 16**digits) are ranked.
+    edge = (keyed.join(F.broadcast(boundary), strata)
+            .filter(F.col("_bucket") == F.col("_bb"))
+            .withColumn("_rn", F.row_number().over(Window.partitionBy(*strata).orderBy("_key", id_col)))
+            .filter(F.col("_rn") == F.col("_need"))
+            .select(*strata, "_bb", F.col("_key").alias("_key_cut"), F.col(id_col).alias("_id_cut")))
+    return edge
+
+
+def assign_split(df: DataFrame, cuts: DataFrame, label_col: str = "label", seed: int = 42,
+                 id_col: str = "msg_id", groups: list[str] | None = None, bucket_digits: int = 4,
+                 split_col: str = "split") -> DataFrame:
+    """Narrow pass: a row is test when its ``(bucket, key, id)`` comes no later
+    than its class's cut. Classes without a cut (quota 0) are all train."""
+    strata = list(groups or []) + [label_col]
+    key = order_key(id_col, seed)
+    bucket = F.substring(key, 1, bucket_digits)
+    marked = df.join(F.broadcast(cuts), strata, "left")
+    is_test = ((bucket < F.col("_bb"))
+               | ((bucket == F.col("_bb")) & ((key < F.col("_key_cut"))
+                                              | ((key == F.col("_key_cut")) & (F.col(id_col) <= F.col("_id_cut"))))))
+    return (marked.withColumn(split_col, F.when(F.coalesce(is_test, F.lit(False)), F.lit("test"))
+                              .otherwise(F.lit("train")))
+            .drop("_bb", "_key_cut", "_id_cut"))
+
+
+def stratified_split(df: DataFrame, label_col: str = "label", test_size: float = 0.2, seed: int = 42,
+                     id_col: str = "msg_id", groups: list[str] | None = None,
+                     bucket_digits: int = 4, split_col: str = "split") -> DataFrame:
+    """D1 (and D3 with ``groups``): add ``split`` = 'train' | 'test'.
+
+    For reuse, materialise ``df`` first (the cuts read it once more)."""
+    cuts = split_cuts(df, label_col, test_size, seed, id_col, groups, bucket_digits)
+    return assign_split(df, cuts, label_col, seed, id_col, groups, bucket_digits, split_col)
 
 
 def random_split(df: DataFrame, test_size: float = 0.1, seed: int = 42, id_col: str = "msg_id",

@@ -3,8 +3,9 @@
 preprocess (labels, URL join, cleaning) -> seeded stratified split ->
 TF-IDF fitted on the train part -> naive Bayes -> scores of the test part.
 
-The split table is checkpointed once: the fit runs several jobs over it and
-the test part is scored from it, so the text is cleaned only once.
+The cleaned corpus is checkpointed once (the fit runs several jobs over it and
+the test part is scored from it, so the text is cleaned only once); the split
+is a narrow pass over it with a checkpointed one-row-per-class cut table.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from smishlens.operators.naive_bayes import NaiveBayesModel, fit_naive_bayes
 from smishlens.operators.preprocess import preprocess
-from smishlens.operators.split import stratified_split
+from smishlens.operators.split import assign_split, split_cuts
 from smishlens.operators.tfidf import MAX_FEATURES, TfidfModel, fit_tfidf
 from smishlens.operators.vocabulary import text_preprocessor
 from smishlens.session import materialize
@@ -44,7 +45,10 @@ def prepared_split(messages: DataFrame, threats: DataFrame | None, test_size: fl
     prep = preprocess(messages, threats)
     if lemmas is not None or stems is not None:
         prep = text_preprocessor(prep, lemmas, stems)
-    return materialize(stratified_split(prep, "label", test_size, seed))
+    # The cleaned corpus is read by the split and by every fit job: clean once.
+    prep = materialize(prep)
+    cuts = materialize(split_cuts(prep, "label", test_size, seed))
+    return assign_split(prep, cuts, "label", seed)
 
 
 def run_classic(messages: DataFrame, threats: DataFrame | None, test_size: float = 0.3, seed: int = 42,

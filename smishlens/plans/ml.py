@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
@@ -40,6 +41,16 @@ SVM_TOL = 1e-3
 FOREST_MAX_DEPTH = 15
 PLATT_FOLDS = 5
 MODEL_ORDER = ("random_forest", "logistic_regression", "naive_bayes", "svm")
+# Independent fits are submitted from a small thread pool, as Spark's own
+# CrossValidator does with its ``parallelism`` param: iterative solvers on
+# small data are bound by per-iteration job latency, not by the cluster.
+FIT_PARALLELISM = 6
+
+
+def fit_all(pairs):
+    """Fit ``[(estimator, dataframe), ...]`` concurrently; models in order."""
+    with ThreadPoolExecutor(max_workers=max(1, min(FIT_PARALLELISM, len(pairs)))) as pool:
+        return list(pool.map(lambda p: p[0].fit(p[1]), pairs))
 
 
 class TextPreprocessor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -141,10 +152,14 @@ class PlattSvm:
             label: str = "label", folds: int = PLATT_FOLDS, seed: int = 42) -> "PlattSvm":
         fold = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(folds))
         tagged = train.withColumn("_fold", fold)
+        n_part = int(n_train * (folds - 1) / folds)
+        jobs = [(estimator("svm", n_part, features, label, "svm_"), tagged.filter(F.col("_fold") != k))
+                for k in range(folds)]
+        jobs.append((estimator("svm", n_train, features, label, "svm_"), train))
+        models = fit_all(jobs)
+        svm = models[-1]
         oof = None
-        for k in range(folds):
-            part = tagged.filter(F.col("_fold") != k)
-            m = estimator("svm", int(n_train * (folds - 1) / folds), features, label, "svm_").fit(part)
+        for k, m in enumerate(models[:-1]):
             scored = m.transform(tagged.filter(F.col("_fold") == k)) \
                 .select(label, vector_to_array(F.col("svm_raw"))[1].alias("_margin"))
             oof = scored if oof is None else oof.unionByName(scored)
@@ -160,7 +175,6 @@ class PlattSvm:
         platt = LogisticRegression(featuresCol="_mv", labelCol="y", weightCol="w", regParam=0.0,
                                    standardization=False, predictionCol="_pp", probabilityCol="_pprob",
                                    rawPredictionCol="_praw").fit(pairs)
-        svm = estimator("svm", n_train, features, label, "svm_").fit(train)
         return PlattSvm(svm, platt)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -176,6 +190,8 @@ def ml_predictions(features_train: DataFrame, features_test: DataFrame, n_train:
                    models: tuple[str, ...] = MODEL_ORDER, id_col: str = "msg_id") -> DataFrame:
     """H7: fit every configured model on the same features and score the
     test part; long ``(model, id, label, prediction, p)`` table."""
+    plain = [n for n in models if n != "svm"]
+    fitted = dict(zip(plain, fit_all([(estimator(n, n_train), features_train) for n in plain])))
     out = None
     for name in models:
         if name == "svm":
@@ -184,8 +200,7 @@ def ml_predictions(features_train: DataFrame, features_test: DataFrame, n_train:
                 F.lit(name).alias("model"), id_col, "label",
                 F.col("svm_prediction").cast("int").alias("prediction"), F.col("svm_p").alias("p"))
         else:
-            m = estimator(name, n_train).fit(features_train)
-            scored = m.transform(features_test).select(
+            scored = fitted[name].transform(features_test).select(
                 F.lit(name).alias("model"), id_col, "label", F.col("prediction").cast("int").alias("prediction"),
                 positive_probability("probability").alias("p"))
         out = scored if out is None else out.unionByName(scored)
@@ -205,8 +220,9 @@ def ensemble_chain(features_train: DataFrame, features_test: DataFrame, n_train:
     each member writes its own columns, then the mean is a Column."""
     scored = features_test
     ps = []
-    for name in ("random_forest", "logistic_regression", "naive_bayes"):
-        m = estimator(name, n_train, prefix=f"{name}_").fit(features_train)
+    names = ("random_forest", "logistic_regression", "naive_bayes")
+    fitted = fit_all([(estimator(n, n_train, prefix=f"{n}_"), features_train) for n in names])
+    for name, m in zip(names, fitted):
         scored = m.transform(scored)
         ps.append(positive_probability(f"{name}_probability"))
     svm = PlattSvm.fit(features_train, n_train, id_col)
