@@ -148,7 +148,8 @@ def q_stem_lookup(spark, sf):
 @register("text_preprocessor")
 def q_text_preprocessor(spark, sf):
     prep = P.preprocess(D.messages(spark, sf), D.threats(spark, sf))
-    out = text_preprocessor(prep, lemmas=D.lemmas(spark, sf), stems=D.stems(spark, sf))
+    lem, stm = D.word_tables(spark, sf)
+    out = text_preprocessor(prep, lemmas=lem, stems=stm)
     return out.select(F.col("msg_id").cast("bigint"), "message", F.col("label").cast("bigint"))
 
 
@@ -243,10 +244,9 @@ def _preds_toxic(spark, sf):
                                   S.threshold_decision(p, TOXIC_THRESHOLD).alias("prediction"))
 
 
-def _preds_es(spark, sf, lookups: bool = False):
-    lem = D.lemmas(spark, sf) if lookups else None
-    stm = D.stems(spark, sf) if lookups else None
-    run = run_classic(D.messages_es(spark, sf), D.threats(spark, sf), lemmas=lem, stems=stm)
+def _preds_es(spark, sf, lookups: bool = False, prep=None):
+    lem, stm = D.word_tables(spark, sf) if lookups else (None, None)
+    run = run_classic(D.messages_es(spark, sf), D.threats(spark, sf), lemmas=lem, stems=stm, prep=prep)
     return run.predictions.select("msg_id", "label", F.round(F.col("p"), 12).alias("p"), "prediction")
 
 
@@ -293,8 +293,10 @@ MODEL_ORDER = {"naive_bayes": 0, "naive_bayes_lemma_stem": 1}
 
 
 def _compare(spark, sf):
-    a = _preds_es(spark, sf).withColumn("model", F.lit("naive_bayes"))
-    b = _preds_es(spark, sf, lookups=True).withColumn("model", F.lit("naive_bayes_lemma_stem"))
+    """Both variants start from one checkpointed preprocessed corpus."""
+    prep = _prep_es(spark, sf, reuse=True)
+    a = _preds_es(spark, sf, prep=prep).withColumn("model", F.lit("naive_bayes"))
+    b = _preds_es(spark, sf, lookups=True, prep=prep).withColumn("model", F.lit("naive_bayes_lemma_stem"))
     return M.compare_models(a.unionByName(b))
 
 
@@ -433,8 +435,9 @@ def q_ensemble_fit(spark, sf):
 
 @register("soft_vote")
 def q_soft_vote(spark, sf):
-    a = _preds_es(spark, sf).withColumn("model", F.lit("naive_bayes"))
-    b = _preds_es(spark, sf, lookups=True).withColumn("model", F.lit("naive_bayes_lemma_stem"))
+    prep = _prep_es(spark, sf, reuse=True)
+    a = _preds_es(spark, sf, prep=prep).withColumn("model", F.lit("naive_bayes"))
+    b = _preds_es(spark, sf, lookups=True, prep=prep).withColumn("model", F.lit("naive_bayes_lemma_stem"))
     return _ml_out(ML.soft_vote(a.unionByName(b)))
 
 

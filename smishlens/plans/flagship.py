@@ -41,8 +41,11 @@ class ClassicRun:
 
 
 def prepared_split(messages: DataFrame, threats: DataFrame | None, test_size: float = 0.3, seed: int = 42,
-                   lemmas: DataFrame | None = None, stems: DataFrame | None = None) -> DataFrame:
-    prep = preprocess(messages, threats)
+                   lemmas: DataFrame | None = None, stems: DataFrame | None = None,
+                   prep: DataFrame | None = None) -> DataFrame:
+    """``prep``: an already preprocessed (and materialised) table to reuse."""
+    if prep is None:
+        prep = preprocess(messages, threats)
     if lemmas is not None or stems is not None:
         prep = text_preprocessor(prep, lemmas, stems)
     # The cleaned corpus is read by the split and by every fit job: clean once.
@@ -53,8 +56,8 @@ def prepared_split(messages: DataFrame, threats: DataFrame | None, test_size: fl
 
 def run_classic(messages: DataFrame, threats: DataFrame | None, test_size: float = 0.3, seed: int = 42,
                 max_features: int = MAX_FEATURES, lemmas: DataFrame | None = None,
-                stems: DataFrame | None = None) -> ClassicRun:
-    split = prepared_split(messages, threats, test_size, seed, lemmas, stems)
+                stems: DataFrame | None = None, prep: DataFrame | None = None) -> ClassicRun:
+    split = prepared_split(messages, threats, test_size, seed, lemmas, stems, prep)
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     tfidf = fit_tfidf(train, max_features=max_features)

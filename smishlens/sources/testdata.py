@@ -140,20 +140,27 @@ def corpus_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.filter(F.col("word").isNotNull()).distinct()
 
 
-def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lemmas(spark: SparkSession, sf_dir: str, words: DataFrame | None = None) -> DataFrame:
     """A lemma table over the corpus words: plural-looking words lose trailing s."""
-    words = corpus_words(spark, sf_dir)
+    words = corpus_words(spark, sf_dir) if words is None else words
     return (words.filter(F.col("word").endswith("s") & (F.length("word") > 3))
             .select("word", F.rtrim(F.col("word"), F.lit("s")).alias("lemma")))
 
 
-def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stems(spark: SparkSession, sf_dir: str, words: DataFrame | None = None) -> DataFrame:
     """A stem table over the corpus words: -ing / -ed endings removed."""
-    words = corpus_words(spark, sf_dir)
+    words = corpus_words(spark, sf_dir) if words is None else words
     return (words.filter(F.col("word").rlike("(ing|ed)$") & (F.length("word") > 5))
             .select("word", F.regexp_replace("word", "(ing|ed)$", "").alias("stem")))
 
 
+def word_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(lemmas, stems)`` from one checkpointed pass over the corpus words."""
+    from smishlens.session import materialize
+    words = materialize(corpus_words(spark, sf_dir))
+    return lemmas(spark, sf_dir, words), stems(spark, sf_dir, words)
+
+
 def blocked_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block list: users who raised a large error event (``sender``)."""
     ev = table(spark, sf_dir, "events")
