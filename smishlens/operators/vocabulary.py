@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smishlens.functions import text as T
+from smishlens.operators.porter import porter_stems
 
 
 def explode_tokens(df: DataFrame, text_col: str = "message", id_col: str = "msg_id") -> DataFrame:
@@ -62,3 +63,31 @@ def text_preprocessor(df: DataFrame, lemmas: DataFrame | None = None, stems: Dat
     if stems is not None:
         toks = apply_lookup(toks, stems, "stem")
     return regroup_tokens(toks, id_col, text_col)
+
+
+def porter_stem_tokens(df: DataFrame, text_col: str = "message", id_col: str = "msg_id",
+                       mode: str = "library") -> DataFrame:
+    """C10 as the reference runs it: every token Porter-stemmed. The stem
+    table is built from the distinct tokens of ``df`` itself (one projection
+    chain per distinct word), then joined back like any supplied table.
+
+    The stem table is checkpointed: it is vocabulary-sized, and without the
+    cut the optimizer pushes the lookup's ``word <> stem`` filter down the
+    rule chain, substituting each step's expression into it (the filter then
+    grows with the product of the references per step)."""
+    from smishlens.session import materialize
+    toks = explode_tokens(df, text_col, id_col)
+    words = toks.select(F.col("tok").alias("word")).filter(F.col("word").isNotNull())
+    stems = materialize(porter_stems(words, mode=mode))
+    return regroup_tokens(apply_lookup(toks, stems, "stem"), id_col, text_col)
+
+
+def stem_texts(df: DataFrame, text_col: str, mode: str = "library") -> DataFrame:
+    """Porter-stem the tokens of ``text_col`` without a row id: the work runs
+    on the distinct texts (equal texts stem equally), and the stemmed text is
+    joined back on the text. Used where rows carry no key (ML pipelines)."""
+    key = "_text_key"
+    texts = df.select(F.col(text_col).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    stemmed = porter_stem_tokens(texts.withColumn("_t", F.col(key)), "_t", key, mode)
+    out = df.join(stemmed, df[text_col].eqNullSafe(stemmed[key]), "left")
+    return out.withColumn(text_col, F.coalesce(F.col("_t"), F.col(text_col))).drop(key, "_t")

@@ -118,7 +118,8 @@ def q_tokenise(spark, sf):
 
 
 # ---- C9-C11: lookups ------------------------------------------------------------
-from smishlens.operators.vocabulary import text_preprocessor  # noqa: E402
+from smishlens.operators.porter import porter_stems  # noqa: E402
+from smishlens.operators.vocabulary import porter_stem_tokens, text_preprocessor  # noqa: E402
 from smishlens.operators.split import random_split, stratified_split  # noqa: E402
 
 
@@ -145,6 +146,20 @@ def q_stem_lookup(spark, sf):
     return out.select(F.col("msg_id").cast("bigint"), "message")
 
 
+@register("porter")
+def q_porter(spark, sf):
+    """C10 rule table: Porter stems (library variant) of every corpus word."""
+    return porter_stems(D.corpus_words(spark, sf))
+
+
+@register("stem_porter")
+def q_stem_porter(spark, sf):
+    """C10/C11 as the reference runs use_stem: each token of the preprocessed
+    messages replaced by its Porter stem."""
+    out = porter_stem_tokens(_prep_es(spark, sf).select("msg_id", "message"))
+    return out.select(F.col("msg_id").cast("bigint"), "message")
+
+
 @register("text_preprocessor")
 def q_text_preprocessor(spark, sf):
     prep = P.preprocess(D.messages(spark, sf), D.threats(spark, sf))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from smishlens.functions import text as T
 from smishlens.operators.tfidf import MAX_FEATURES, TfidfModel, fit_tfidf
+from smishlens.operators.vocabulary import stem_texts
 
 # The reference's model settings.
 C = 1.0
@@ -55,9 +56,11 @@ def fit_all(pairs):
 
 class TextPreprocessor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """M1: clean text (URLs as trusted tokens, accents, numbers, punctuation,
-    case) and re-join whitespace tokens with one blank; lemma/stem tables are
-    applied by ``operators.vocabulary.text_preprocessor`` (joins) upstream.
-    ``useLemma``/``useStem``/``language`` are kept as params like the reference."""
+    case) and re-join whitespace tokens with one blank. ``useStem`` Porter-stems
+    every token (always the English rules, as the reference does, whatever
+    ``language`` says). Lemmas need a supplied ``(word, lemma)`` table and are
+    applied by ``operators.vocabulary.text_preprocessor`` (joins) upstream;
+    ``useLemma``/``language`` are kept as params like the reference."""
 
     useLemma = Param(Params._dummy(), "useLemma", "lemmatise tokens", TypeConverters.toBoolean)
     useStem = Param(Params._dummy(), "useStem", "stem tokens", TypeConverters.toBoolean)
@@ -72,7 +75,11 @@ class TextPreprocessor(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
     def _transform(self, dataset: DataFrame) -> DataFrame:
         src = F.col(self.getInputCol())
         cleaned = T.clean_after_urls(F.regexp_replace(src, T.URL_PATTERN, T.URL_TRUSTED_TOKEN))
-        return dataset.withColumn(self.getOutputCol(), T.join_tokens(T.whitespace_tokens(cleaned)))
+        out = dataset.withColumn(self.getOutputCol(), T.join_tokens(T.whitespace_tokens(cleaned)))
+        if self.getOrDefault(self.useStem):
+            # Porter on the distinct texts, joined back on the text (no row id here).
+            out = stem_texts(out, self.getOutputCol())
+        return out
 
 
 class TopTermsTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
