@@ -58,3 +58,15 @@ def test_original_differs_where_expected(spark):
     words = spark.createDataFrame([("ties",), ("say",), ("ate",)], "word string")
     got = {r["word"]: r["stem"] for r in porter_stems(words, mode="original").collect()}
     assert got == {"ties": "ti", "say": "sai", "ate": "at"}
+
+
+def test_text_preprocessor_use_stem(spark):
+    from smishlens.plans.ml import TextPreprocessor
+    rows = [(1, "Cats were RUNNING happily"), (2, "Cats were RUNNING happily"), (3, None), (4, "the ties")]
+    df = spark.createDataFrame(rows, "id int, message string")
+    out = TextPreprocessor(inputCol="message", outputCol="clean", useStem=True).transform(df)
+    got = {r["id"]: r["clean"] for r in out.collect()}
+    assert out.count() == 4
+    assert got[1] == got[2] == "cat were run happili"
+    assert got[4] == "the tie"
+    assert got[3] in (None, "")
