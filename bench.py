@@ -21,6 +21,7 @@ HEADLINE = (
     "preprocess",        # labels + URL join + cleaning
     "tokenise",
     "text_preprocessor",  # lemma/stem lookup joins
+    "stem_porter",       # Porter stems of the corpus vocabulary, joined back
     "split_stratified",
     "term_counts",
     "tfidf",
