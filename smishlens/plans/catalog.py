@@ -308,10 +308,16 @@ MODEL_ORDER = {"naive_bayes": 0, "naive_bayes_lemma_stem": 1}
 
 
 def _compare(spark, sf):
-    """Both variants start from one checkpointed preprocessed corpus."""
+    """Both variants start from one checkpointed preprocessed corpus. Their
+    fits are independent chains of small jobs (checkpoints, vocabulary, model
+    tables), so they are submitted from two threads and share the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
     prep = _prep_es(spark, sf, reuse=True)
-    a = _preds_es(spark, sf, prep=prep).withColumn("model", F.lit("naive_bayes"))
-    b = _preds_es(spark, sf, lookups=True, prep=prep).withColumn("model", F.lit("naive_bayes_lemma_stem"))
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fa = pool.submit(_preds_es, spark, sf, prep=prep)
+        fb = pool.submit(_preds_es, spark, sf, lookups=True, prep=prep)
+        a = fa.result().withColumn("model", F.lit("naive_bayes"))
+        b = fb.result().withColumn("model", F.lit("naive_bayes_lemma_stem"))
     return M.compare_models(a.unionByName(b))
 
 
