@@ -482,6 +482,20 @@ def q_production_refit(spark, sf):
                          F.col("prediction").cast("bigint"), F.lit(meta["threshold"]).alias("threshold"))
 
 
+@register("evaluate_saved")
+def q_evaluate_saved(spark, sf):
+    """Evaluate entry: a naive Bayes text pipeline fitted on the train part and
+    saved; the test part is scored through the loaded artefact; class report."""
+    run = flagship(spark, sf)
+    train = run.train.select("msg_id", "message", F.col("label").cast("double").alias("label"))
+    n = train.count()
+    path = ST.scratch_path(spark, "model-eval")
+    ML.save_model(spark, ML.text_pipeline("naive_bayes", n).fit(train), path, {"model_key": "naive_bayes"})
+    ev = ML.evaluate(spark, run.test.select("msg_id", "message", "label"), path)
+    return ev.report.select("class", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")],
+                            F.col("support").cast("bigint"))
+
+
 # ---- H11, L1-L3: batch scoring and streams ----------------------------------------------
 from smishlens.plans import scoring as SC  # noqa: E402
 from smishlens.streaming import feeds as ST  # noqa: E402

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from smishlens.functions import text as T
 from smishlens.operators.tfidf import MAX_FEATURES, TfidfModel, fit_tfidf
+from smishlens.operators import metrics as M
 from smishlens.operators.vocabulary import stem_texts
 
 # The reference's model settings.
@@ -283,3 +285,29 @@ def refit_production(spark: SparkSession, messages: DataFrame, model_dir: str, l
     save_model(spark, model, f"{model_dir}/pipeline_{language}", meta)
     save_model(spark, model, f"{model_dir}/{language}/production/{model_key}_prod_{stamp}", meta)
     return model
+
+
+@dataclass
+class Evaluation:
+    predictions: DataFrame  # id, label, p, prediction
+    report: DataFrame       # I5 class report
+    confusion: DataFrame    # I1
+    auc: DataFrame          # I6
+    roc: DataFrame          # I7
+    meta: dict
+
+
+def evaluate(spark: SparkSession, messages: DataFrame, model_path: str, id_col: str = "msg_id",
+             label_col: str = "label") -> Evaluation:
+    """Evaluate entry: a saved pipeline (A5; missing artefact ->
+    FileNotFoundError) scores preprocessed, labelled messages; the class
+    report, confusion matrix, ROC AUC and ROC points are small aggregations
+    over one checkpointed prediction table (scored once, read four times)."""
+    from smishlens.session import materialize
+    model, meta = load_model(spark, model_path)
+    scored = model.transform(messages)
+    preds = materialize(scored.select(
+        id_col, F.col(label_col).cast("int").alias("label"), positive_probability("probability").alias("p"),
+        F.col("prediction").cast("int").alias("prediction")))
+    return Evaluation(preds, M.class_report(preds), M.confusion_matrix(preds), M.roc_auc(preds),
+                      M.roc_points(preds), meta)

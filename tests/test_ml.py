@@ -44,3 +44,23 @@ def test_pipeline_persistence(spark):
     assert any(p.startswith("naive_bayes_prod_") for p in os.listdir(os.path.join(d, "english", "production")))
     with pytest.raises(FileNotFoundError):
         ML.load_model(spark, os.path.join(d, "missing"))
+
+
+def test_evaluate_saved_pipeline(spark):
+    rows = [(i, ("win free prize now" if i % 3 == 0 else "see you at lunch") + f" n{i}", float(i % 3 == 0))
+            for i in range(45)]
+    msgs = spark.createDataFrame(rows, "msg_id long, message string, label double")
+    d = tempfile.mkdtemp(prefix="smishlens-eval-")
+    ML.save_model(spark, ML.text_pipeline("naive_bayes", 45).fit(msgs), d, {"model_key": "naive_bayes"})
+    ev = ML.evaluate(spark, msgs, d)
+    assert ev.meta == {"model_key": "naive_bayes"}
+    assert sum(r["n"] for r in ev.confusion.collect()) == 45
+    preds = ev.predictions.collect()
+    pos = [r["p"] for r in preds if r["label"] == 1]
+    neg = [r["p"] for r in preds if r["label"] == 0]
+    brute = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
+    assert ev.auc.first()["auc"] == pytest.approx(brute)
+    report = {r["class"]: r for r in ev.report.collect()}
+    assert report["1"]["support"] == 15 and report["0"]["support"] == 30
+    with pytest.raises(FileNotFoundError):
+        ML.evaluate(spark, msgs, os.path.join(d, "missing"))
