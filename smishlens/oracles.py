@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from smishlens.functions import text as T
 from smishlens.functions.labels import NEGATIVE_LABELS, POSITIVE_LABELS
+from smishlens.operators.porter import IRREGULAR, STEP2, STEP3, STEP4
 from smishlens.operators.urls import SUSPICIOUS_TYPES
 from smishlens.sources.testdata import TRANSLATION_MAX_CHARS
 
@@ -219,7 +220,110 @@ SELECT word, regexp_replace(word, '(ing|ed)$', '') AS stem FROM corpus_words
 WHERE regexp_matches(word, '(ing|ed)$') AND length(word) > 5""", ("corpus_words",))
 
 
-def lookup_sql(src: str, lemma: bool, stem: bool, extra_cols: str = "") -> tuple[str, tuple[str, ...]]:
+# ---- C10: Porter stems (library variant) in plain SQL ------------------------------
+# Written step by step as CASE expressions over nested selects. The
+# consonant/vowel form is a fold over the letters (list_reduce), so a y takes
+# its class from the letter before it for runs of any length.
+
+def _p_m(c: str) -> str:
+    return f"((length({c}) - length(replace({c}, 'VC', ''))) // 2)"
+
+
+def _p_cvc(s: str, c: str) -> str:
+    return f"((ends_with({c}, 'CVC') AND right({s}, 1) NOT IN ('w', 'x', 'y')) OR {c} = 'VC')"
+
+
+def _p_dbl(s: str, c: str) -> str:
+    return f"(length({s}) >= 2 AND right({s}, 1) = substr({s}, length({s}) - 1, 1) AND ends_with({c}, 'C'))"
+
+
+def _p_form(text: str) -> str:
+    return "".join("V" if ch in "aeiou" else "C" for ch in text)
+
+
+def _p_rules(src: str, rules, cond: str, special: dict | None = None) -> str:
+    """One suffix step over ``src(word, w, c)``; ``cond`` uses ``stem``/``cvp``."""
+    ordered = sorted(rules, key=lambda r: -len(r[0]))
+    hit = "CASE " + " ".join(f"WHEN ends_with(w, {q(sfx)}) THEN {q(sfx)}" for sfx, _ in ordered) + " END"
+    rep = "CASE hit " + " ".join(f"WHEN {q(sfx)} THEN {q(r)}" for sfx, r in ordered) + " END"
+    form = "CASE hit " + " ".join(f"WHEN {q(sfx)} THEN {q(_p_form(r))}" for sfx, r in ordered) + " END"
+    ok = cond
+    for sfx, extra in (special or {}).items():
+        ok = f"CASE WHEN hit = {q(sfx)} THEN ({extra}) ELSE ({ok}) END"
+    return f"""SELECT word,
+  CASE WHEN hit IS NOT NULL AND ({ok}) THEN stem || {rep} ELSE w END AS w,
+  CASE WHEN hit IS NOT NULL AND ({ok}) THEN cvp || {form} ELSE c END AS c
+FROM (SELECT *, left(w, length(w) - length(coalesce(hit, ''))) AS stem,
+             left(c, length(c) - length(coalesce(hit, ''))) AS cvp
+      FROM (SELECT word, w, c, {hit} AS hit FROM ({src})))"""
+
+
+def porter_sql(src: str) -> str:
+    """``(word, stem)`` for the distinct ``word`` values of ``src``."""
+    cv = ("list_reduce(list_prepend('', string_split(word, '')), lambda acc, ch: acc || "
+          "CASE WHEN ch IN ('a', 'e', 'i', 'o', 'u') THEN 'V' "
+          "WHEN ch = 'y' THEN (CASE WHEN acc = '' OR right(acc, 1) = 'V' THEN 'C' ELSE 'V' END) "
+          "ELSE 'C' END)")
+    cur = f"SELECT word, word AS w, {cv} AS c FROM (SELECT DISTINCT word FROM {src} WHERE word IS NOT NULL)"
+    # 1a
+    cur = _p_rules(cur, [("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")], "TRUE")
+    four = "(ends_with(word, 'ies') AND length(word) = 4)"  # 1a reads the word itself
+    cur = f"""SELECT word,
+  CASE WHEN {four} THEN left(word, 1) || 'ie' ELSE w END AS w,
+  CASE WHEN {four} THEN left(c, 1) || 'VV' ELSE c END AS c
+FROM ({cur})"""
+    # 1b
+    ed_ok = "(ends_with(w, 'ed') AND contains(left(c, length(c) - 2), 'V'))"
+    ing_ok = "(ends_with(w, 'ing') AND contains(left(c, length(c) - 3), 'V'))"
+    eed_fire = f"({_p_m('left(c, length(c) - 3)')} > 0)"
+    cur = f"""SELECT word,
+  CASE WHEN ends_with(w, 'ied') THEN left(w, length(w) - 3) || (CASE WHEN length(w) = 4 THEN 'ie' ELSE 'i' END)
+       WHEN ends_with(w, 'eed') THEN (CASE WHEN {eed_fire} THEN left(w, length(w) - 1) ELSE w END)
+       WHEN {ed_ok} THEN left(w, length(w) - 2)
+       WHEN {ing_ok} THEN left(w, length(w) - 3)
+       ELSE w END AS w,
+  CASE WHEN ends_with(w, 'ied') THEN left(c, length(c) - 3) || (CASE WHEN length(w) = 4 THEN 'VV' ELSE 'V' END)
+       WHEN ends_with(w, 'eed') THEN (CASE WHEN {eed_fire} THEN left(c, length(c) - 1) ELSE c END)
+       WHEN {ed_ok} THEN left(c, length(c) - 2)
+       WHEN {ing_ok} THEN left(c, length(c) - 3)
+       ELSE c END AS c,
+  (NOT ends_with(w, 'ied') AND NOT ends_with(w, 'eed') AND ({ed_ok} OR {ing_ok})) AS f
+FROM ({cur})"""
+    add_e0 = "(ends_with(w, 'at') OR ends_with(w, 'bl') OR ends_with(w, 'iz'))"
+    undouble = f"(NOT {add_e0} AND {_p_dbl('w', 'c')} AND right(w, 1) NOT IN ('l', 's', 'z'))"
+    add_e = f"({add_e0} OR (NOT {_p_dbl('w', 'c')} AND {_p_m('c')} = 1 AND {_p_cvc('w', 'c')}))"
+    cur = f"""SELECT word,
+  CASE WHEN f AND {add_e} THEN w || 'e' WHEN f AND {undouble} THEN left(w, length(w) - 1) ELSE w END AS w,
+  CASE WHEN f AND {add_e} THEN c || 'V' WHEN f AND {undouble} THEN left(c, length(c) - 1) ELSE c END AS c
+FROM ({cur})"""
+    # 1c
+    cur = _p_rules(cur, [("y", "i")], "length(stem) > 1 AND ends_with(cvp, 'C')")
+    # 2: alli first, then the rule list
+    alli = f"(ends_with(w, 'alli') AND {_p_m('left(c, length(c) - 4)')} > 0)"
+    cur = f"""SELECT word,
+  CASE WHEN {alli} THEN left(w, length(w) - 4) || 'al' ELSE w END AS w,
+  CASE WHEN {alli} THEN left(c, length(c) - 4) || 'VC' ELSE c END AS c
+FROM ({cur})"""
+    rules2 = [r for r in STEP2 if r[0] != "abli"] + [("bli", "ble"), ("fulli", "ful"), ("logi", "log")]
+    cur = _p_rules(cur, rules2, f"{_p_m('cvp')} > 0", {"logi": f"{_p_m("(cvp || 'C')")} > 0"})
+    # 3, 4
+    cur = _p_rules(cur, STEP3, f"{_p_m('cvp')} > 0")
+    cur = _p_rules(cur, [(x, "") for x in STEP4], f"{_p_m('cvp')} > 1",
+                   {"ion": f"{_p_m('cvp')} > 1 AND (ends_with(stem, 's') OR ends_with(stem, 't'))"})
+    # 5a, 5b
+    e_stem, e_cvp = "left(w, length(w) - 1)", "left(c, length(c) - 1)"
+    drop_e = (f"(ends_with(w, 'e') AND ({_p_m(e_cvp)} > 1 OR ({_p_m(e_cvp)} = 1 AND NOT {_p_cvc(e_stem, e_cvp)})))")
+    cur = f"""SELECT word, CASE WHEN {drop_e} THEN {e_stem} ELSE w END AS w,
+  CASE WHEN {drop_e} THEN {e_cvp} ELSE c END AS c FROM ({cur})"""
+    single_l = f"({_p_m('c')} > 1 AND {_p_dbl('w', 'c')} AND ends_with(w, 'l'))"
+    cur = f"SELECT word, CASE WHEN {single_l} THEN left(w, length(w) - 1) ELSE w END AS w FROM ({cur})"
+    irregular = "CASE word " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in IRREGULAR.items()) + " END"
+    return f"""SELECT word, coalesce({irregular}, CASE WHEN length(word) <= 2 THEN word ELSE w END) AS stem
+FROM ({cur})"""
+
+
+def lookup_sql(src: str, lemma: bool, stem: bool, extra_cols: str = "",
+               stem_table: str = "stems") -> tuple[str, tuple[str, ...]]:
     steps = f"""
 toks AS (SELECT p.msg_id, t.i AS pos, t.tok FROM {src} p,
          unnest({tokens_sql('p.message')}) WITH ORDINALITY AS t(tok, i))"""
@@ -234,9 +338,9 @@ t_lem AS (SELECT x.msg_id, x.pos, coalesce(l.lemma, x.tok) AS tok FROM {cur} x
     if stem:
         steps += f""",
 t_stem AS (SELECT x.msg_id, x.pos, coalesce(s.stem, x.tok) AS tok FROM {cur} x
-           LEFT JOIN (SELECT word, stem FROM stems WHERE word <> stem) s ON x.tok = s.word)"""
+           LEFT JOIN (SELECT word, stem FROM {stem_table} WHERE word <> stem) s ON x.tok = s.word)"""
         cur = "t_stem"
-        deps.append("stems")
+        deps.append(stem_table)
     final = f""",
 agg AS (SELECT msg_id, string_agg(tok, ' ' ORDER BY pos) AS message FROM {cur} GROUP BY msg_id)
 SELECT p.msg_id, coalesce(a.message, '') AS message{extra_cols} FROM {src} p LEFT JOIN agg a ON p.msg_id = a.msg_id"""
@@ -253,6 +357,10 @@ ORACLE["lemma_lookup"] = _with_steps(*lookup_sql("prep_es", True, False))
 ORACLE["stem_lookup"] = _with_steps(*lookup_sql("prep_es", False, True))
 ORACLE["text_preprocessor"] = _with_steps(*lookup_sql("prep", True, True, ", CAST(p.label AS BIGINT) AS label"))
 
+ORACLE["porter"] = with_ctes(porter_sql("corpus_words"), "corpus_words")
+cte("porter_es", porter_sql(f"(SELECT unnest({tokens_sql('message')}) AS word FROM prep_es)"), ("prep_es",))
+ORACLE["stem_porter"] = _with_steps(*lookup_sql("prep_es", False, True, stem_table="porter_es"))
+
 
 # ---- D: splits ----------------------------------------------------------------------
 def split_ctes(prefix: str, src: str, test_size: float, seed: int, groups: tuple[str, ...] = (),
