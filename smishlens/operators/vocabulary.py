@@ -66,10 +66,11 @@ def text_preprocessor(df: DataFrame, lemmas: DataFrame | None = None, stems: Dat
 
 
 def porter_stem_tokens(df: DataFrame, text_col: str = "message", id_col: str = "msg_id",
-                       mode: str = "library") -> DataFrame:
-    """C10 as the reference runs it: every token Porter-stemmed. The stem
-    table is built from the distinct tokens of ``df`` itself (one projection
-    chain per distinct word), then joined back like any supplied table.
+                       mode: str = "library", lemmas: DataFrame | None = None) -> DataFrame:
+    """C10 as the reference runs it: every token Porter-stemmed (after the
+    optional lemma lookup, C11 order). The stem table is built from the
+    distinct tokens of ``df`` itself (one projection chain per distinct word),
+    then joined back like any supplied table.
 
     The stem table is checkpointed: it is vocabulary-sized, and without the
     cut the optimizer pushes the lookup's ``word <> stem`` filter down the
@@ -77,17 +78,32 @@ def porter_stem_tokens(df: DataFrame, text_col: str = "message", id_col: str = "
     grows with the product of the references per step)."""
     from smishlens.session import materialize
     toks = explode_tokens(df, text_col, id_col)
+    if lemmas is not None:
+        toks = apply_lookup(toks, lemmas, "lemma")
     words = toks.select(F.col("tok").alias("word")).filter(F.col("word").isNotNull())
     stems = materialize(porter_stems(words, mode=mode))
     return regroup_tokens(apply_lookup(toks, stems, "stem"), id_col, text_col)
 
 
-def stem_texts(df: DataFrame, text_col: str, mode: str = "library") -> DataFrame:
-    """Porter-stem the tokens of ``text_col`` without a row id: the work runs
-    on the distinct texts (equal texts stem equally), and the stemmed text is
-    joined back on the text. Used where rows carry no key (ML pipelines)."""
+def normalise_texts(df: DataFrame, text_col: str, lemmas: DataFrame | None = None, stem: bool = False,
+                    mode: str = "library") -> DataFrame:
+    """Lemma lookup and/or Porter stems on ``text_col`` without a row id: the
+    work runs on the distinct texts (equal texts normalise equally), and the
+    result is joined back on the text. Used where rows carry no key (ML
+    pipelines)."""
+    if lemmas is None and not stem:
+        return df
     key = "_text_key"
-    texts = df.select(F.col(text_col).alias(key)).filter(F.col(key).isNotNull()).distinct()
-    stemmed = porter_stem_tokens(texts.withColumn("_t", F.col(key)), "_t", key, mode)
-    out = df.join(stemmed, df[text_col].eqNullSafe(stemmed[key]), "left")
+    texts = df.select(F.col(text_col).alias(key)).filter(F.col(key).isNotNull()).distinct() \
+        .withColumn("_t", F.col(key))
+    if stem:
+        done = porter_stem_tokens(texts, "_t", key, mode, lemmas=lemmas)
+    else:
+        done = regroup_tokens(apply_lookup(explode_tokens(texts, "_t", key), lemmas, "lemma"), key, "_t")
+    out = df.join(done, df[text_col].eqNullSafe(done[key]), "left")
     return out.withColumn(text_col, F.coalesce(F.col("_t"), F.col(text_col))).drop(key, "_t")
+
+
+def stem_texts(df: DataFrame, text_col: str, mode: str = "library") -> DataFrame:
+    """Porter stems on ``text_col`` without a row id (see ``normalise_texts``)."""
+    return normalise_texts(df, text_col, stem=True, mode=mode)

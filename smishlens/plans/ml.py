@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from smishlens.functions import text as T
 from smishlens.operators.tfidf import MAX_FEATURES, TfidfModel, fit_tfidf
 from smishlens.operators import metrics as M
-from smishlens.operators.vocabulary import stem_texts
+from smishlens.operators.vocabulary import normalise_texts
 
 # The reference's model settings.
 C = 1.0
@@ -58,30 +58,38 @@ def fit_all(pairs):
 
 class TextPreprocessor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """M1: clean text (URLs as trusted tokens, accents, numbers, punctuation,
-    case) and re-join whitespace tokens with one blank. ``useStem`` Porter-stems
-    every token (always the English rules, as the reference does, whatever
-    ``language`` says). Lemmas need a supplied ``(word, lemma)`` table and are
-    applied by ``operators.vocabulary.text_preprocessor`` (joins) upstream;
-    ``useLemma``/``language`` are kept as params like the reference."""
+    case) and re-join whitespace tokens with one blank. Then, as in the
+    reference, lemmas before stems: ``useLemma`` looks tokens up in the
+    ``(word, lemma)`` parquet table at ``lemmaPath`` (no lexicon is bundled,
+    so the table is required); ``useStem`` Porter-stems every token (always
+    the English rules, as the reference does, whatever ``language`` says)."""
 
     useLemma = Param(Params._dummy(), "useLemma", "lemmatise tokens", TypeConverters.toBoolean)
     useStem = Param(Params._dummy(), "useStem", "stem tokens", TypeConverters.toBoolean)
     language = Param(Params._dummy(), "language", "language name", TypeConverters.toString)
+    lemmaPath = Param(Params._dummy(), "lemmaPath", "parquet table (word, lemma) used by useLemma",
+                      TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, inputCol="message", outputCol="clean", useLemma=False, useStem=False, language="english"):
+    def __init__(self, inputCol="message", outputCol="clean", useLemma=False, useStem=False, language="english",
+                 lemmaPath=""):
         super().__init__()
-        self._setDefault(useLemma=False, useStem=False, language="english")
+        self._setDefault(inputCol="message", outputCol="clean", useLemma=False, useStem=False, language="english",
+                         lemmaPath="")
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         src = F.col(self.getInputCol())
         cleaned = T.clean_after_urls(F.regexp_replace(src, T.URL_PATTERN, T.URL_TRUSTED_TOKEN))
         out = dataset.withColumn(self.getOutputCol(), T.join_tokens(T.whitespace_tokens(cleaned)))
-        if self.getOrDefault(self.useStem):
-            # Porter on the distinct texts, joined back on the text (no row id here).
-            out = stem_texts(out, self.getOutputCol())
-        return out
+        lemmas = None
+        if self.getOrDefault(self.useLemma):
+            path = self.getOrDefault(self.lemmaPath)
+            if not path:
+                raise ValueError("useLemma needs lemmaPath: a parquet table (word, lemma); no lexicon is bundled")
+            lemmas = dataset.sparkSession.read.parquet(path).select("word", "lemma")
+        # Lookups run on the distinct texts and join back on the text (no row id here).
+        return normalise_texts(out, self.getOutputCol(), lemmas, self.getOrDefault(self.useStem))
 
 
 class TopTermsTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -93,7 +101,7 @@ class TopTermsTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable,
     @keyword_only
     def __init__(self, inputCol="clean", outputCol="features", maxFeatures=MAX_FEATURES):
         super().__init__()
-        self._setDefault(maxFeatures=MAX_FEATURES)
+        self._setDefault(inputCol="clean", outputCol="features", maxFeatures=MAX_FEATURES)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> Model:
@@ -244,13 +252,13 @@ def ensemble_chain(features_train: DataFrame, features_test: DataFrame, n_train:
 
 # ---- A5 / A6 / H9: persistence and production refit -------------------------------------
 def text_pipeline(model_name: str, n_train: int, use_lemma: bool = False, use_stem: bool = False,
-                  language: str = "english") -> Pipeline:
+                  language: str = "english", lemma_path: str = "") -> Pipeline:
     """H6: preprocess -> TF-IDF -> classifier as one Spark ML pipeline."""
     if model_name == "svm":
         raise ValueError("the calibrated SVM is fitted with PlattSvm, not as a pipeline stage")
     return Pipeline(stages=[
         TextPreprocessor(inputCol="message", outputCol="clean", useLemma=use_lemma, useStem=use_stem,
-                         language=language),
+                         language=language, lemmaPath=lemma_path),
         TopTermsTfidf(inputCol="clean", outputCol="features"),
         estimator(model_name, n_train),
     ])

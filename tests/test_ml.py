@@ -64,3 +64,10 @@ def test_evaluate_saved_pipeline(spark):
     assert report["1"]["support"] == 15 and report["0"]["support"] == 30
     with pytest.raises(FileNotFoundError):
         ML.evaluate(spark, msgs, os.path.join(d, "missing"))
+
+
+def test_stage_defaults(spark):
+    msgs = spark.createDataFrame([(1, "win a prize now"), (2, "see you at lunch")], "msg_id long, message string")
+    clean = ML.TextPreprocessor().transform(msgs)
+    out = ML.TopTermsTfidf().fit(clean).transform(clean)
+    assert "features" in out.columns and out.count() == 2

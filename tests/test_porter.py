@@ -70,3 +70,19 @@ def test_text_preprocessor_use_stem(spark):
     assert got[1] == got[2] == "cat were run happili"
     assert got[4] == "the tie"
     assert got[3] in (None, "")
+
+
+def test_text_preprocessor_lemma_then_stem(spark, tmp_path):
+    import pytest
+    from smishlens.plans.ml import TextPreprocessor
+    lemmas = str(tmp_path / "lemmas")
+    spark.createDataFrame([("geese", "goose"), ("running", "run")], "word string, lemma string") \
+        .write.parquet(lemmas)
+    df = spark.createDataFrame([(1, "Geese RUNNING happily"), (2, "geese")], "id int, message string")
+    tp = TextPreprocessor(inputCol="message", outputCol="clean", useLemma=True, lemmaPath=lemmas)
+    assert {r["id"]: r["clean"] for r in tp.transform(df).collect()} == {1: "goose run happily", 2: "goose"}
+    both = tp.copy({tp.useStem: True})
+    assert {r["id"]: r["clean"] for r in both.transform(df).collect()} == {1: "goos run happili", 2: "goos"}
+    assert TextPreprocessor().transform(df).columns == ["id", "message", "clean"]
+    with pytest.raises(ValueError):
+        TextPreprocessor(useLemma=True).transform(df)
