@@ -87,20 +87,25 @@ def porter_stem_tokens(df: DataFrame, text_col: str = "message", id_col: str = "
 
 def normalise_texts(df: DataFrame, text_col: str, lemmas: DataFrame | None = None, stem: bool = False,
                     mode: str = "library") -> DataFrame:
-    """Lemma lookup and/or Porter stems on ``text_col`` without a row id: the
-    work runs on the distinct texts (equal texts normalise equally), and the
-    result is joined back on the text. Used where rows carry no key (ML
-    pipelines)."""
+    """Lemma lookup and/or Porter stems on ``text_col`` without a row id (ML
+    pipelines): the work runs once per distinct text and is joined back.
+
+    The key of a text is a pair of independently seeded 64-bit hashes of it
+    (128 bits; a collision among 10^10 distinct texts has odds near 10^-19).
+    A compact key matters: every exploded token row carries it, so keying by
+    the text itself would copy each message once per token."""
     if lemmas is None and not stem:
         return df
     key = "_text_key"
-    texts = df.select(F.col(text_col).alias(key)).filter(F.col(key).isNotNull()).distinct() \
-        .withColumn("_t", F.col(key))
+    keyed = df.withColumn(key, F.when(F.col(text_col).isNotNull(), F.struct(
+        F.xxhash64(F.col(text_col)).alias("h1"), F.xxhash64(F.lit("seed-2"), F.col(text_col)).alias("h2"))))
+    texts = (keyed.filter(F.col(key).isNotNull()).select(key, F.col(text_col).alias("_t"))
+             .dropDuplicates([key]))
     if stem:
         done = porter_stem_tokens(texts, "_t", key, mode, lemmas=lemmas)
     else:
         done = regroup_tokens(apply_lookup(explode_tokens(texts, "_t", key), lemmas, "lemma"), key, "_t")
-    out = df.join(done, df[text_col].eqNullSafe(done[key]), "left")
+    out = keyed.join(done, key, "left")
     return out.withColumn(text_col, F.coalesce(F.col("_t"), F.col(text_col))).drop(key, "_t")
 
 

@@ -660,6 +660,9 @@ GROUP BY msg_id, label""", es=True, es_ls=True)
 ORACLE["text_preprocessor_ml"] = f"""
 SELECT doc_id AS msg_id, array_to_string({tokens_sql(clean_after_urls_sql(f"regexp_replace(text, {q(URL_RE)}, {q(T.URL_TRUSTED_TOKEN)}, 'g')"))}, ' ') AS message
 FROM documents"""
+cte("ml_clean", ORACLE["text_preprocessor_ml"])
+cte("porter_ml", porter_sql(f"(SELECT unnest({tokens_sql('message')}) AS word FROM ml_clean)"), ("ml_clean",))
+ORACLE["text_preprocessor_ml_stem"] = _with_steps(*lookup_sql("ml_clean", False, True, stem_table="porter_ml"))
 
 
 # ---- H11, L1-L3 ---------------------------------------------------------------------------

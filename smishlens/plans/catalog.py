@@ -469,6 +469,15 @@ def q_text_preprocessor_ml(spark, sf):
     return out.select(F.col("msg_id").cast("bigint"), F.col("clean").alias("message"))
 
 
+@register("text_preprocessor_ml_stem")
+def q_text_preprocessor_ml_stem(spark, sf):
+    """M1 with useStem: Porter stems inside the ML transformer (no row id:
+    distinct texts, joined back on the text)."""
+    docs = D.messages_es(spark, sf)
+    out = ML.TextPreprocessor(inputCol="message", outputCol="clean", useStem=True).transform(docs)
+    return out.select(F.col("msg_id").cast("bigint"), F.col("clean").alias("message"))
+
+
 @register("production_refit")
 def q_production_refit(spark, sf):
     prep = P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
