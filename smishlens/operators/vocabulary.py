@@ -29,11 +29,15 @@ def explode_tokens(df: DataFrame, text_col: str = "message", id_col: str = "msg_
                      F.posexplode_outer(T.whitespace_tokens(F.col(text_col))).alias("pos", "tok"))
 
 
-def apply_lookup(tokens: DataFrame, table: DataFrame, value_col: str, tok_col: str = "tok") -> DataFrame:
-    """Replace ``tok`` by the table's value where the word is listed."""
+def apply_lookup(tokens: DataFrame, table: DataFrame, value_col: str, tok_col: str = "tok",
+                 unique: bool = False) -> DataFrame:
+    """Replace ``tok`` by the table's value where the word is listed.
+    A supplied table may list a word twice (one entry is kept); ``unique``
+    says the table is distinct by word already, which saves its shuffle."""
     changes = (table.filter(F.col("word") != F.col(value_col))
-               .select(F.col("word").alias("_w"), F.col(value_col).alias("_v"))
-               .dropDuplicates(["_w"]))
+               .select(F.col("word").alias("_w"), F.col(value_col).alias("_v")))
+    if not unique:
+        changes = changes.dropDuplicates(["_w"])
     joined = tokens.join(changes, tokens[tok_col] == changes["_w"], "left")
     return joined.withColumn(tok_col, F.coalesce(F.col("_v"), F.col(tok_col))).drop("_w", "_v")
 
@@ -82,7 +86,7 @@ def porter_stem_tokens(df: DataFrame, text_col: str = "message", id_col: str = "
         toks = apply_lookup(toks, lemmas, "lemma")
     words = toks.select(F.col("tok").alias("word")).filter(F.col("word").isNotNull())
     stems = materialize(porter_stems(words, mode=mode))
-    return regroup_tokens(apply_lookup(toks, stems, "stem"), id_col, text_col)
+    return regroup_tokens(apply_lookup(toks, stems, "stem", unique=True), id_col, text_col)
 
 
 def normalise_texts(df: DataFrame, text_col: str, lemmas: DataFrame | None = None, stem: bool = False,
