@@ -86,3 +86,12 @@ def test_text_preprocessor_lemma_then_stem(spark, tmp_path):
     assert TextPreprocessor().transform(df).columns == ["id", "message", "clean"]
     with pytest.raises(ValueError):
         TextPreprocessor(useLemma=True).transform(df)
+
+
+def test_stem_tokens_same_for_any_partitioning(spark):
+    from smishlens.operators.vocabulary import porter_stem_tokens
+    rows = [(i, " ".join(["running", "cats", "happily", "generously", "the", "ties"][: 1 + i % 6])) for i in range(60)]
+    df = spark.createDataFrame(rows, "msg_id long, message string")
+    one = {r["msg_id"]: r["message"] for r in porter_stem_tokens(df.repartition(1)).collect()}
+    many = {r["msg_id"]: r["message"] for r in porter_stem_tokens(df.repartition(7)).collect()}
+    assert one == many and one[5] == "run cat happili gener the tie"
