@@ -7,8 +7,10 @@ provides: ``spark.checkpoint.dir`` is read from the session and only filled in
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,11 +43,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True for ``local`` masters, where driver and tasks are one process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) a new scratch folder is made.
+    It is used as it is. Only a local master may leave it unset; a new scratch
+    folder is then made. Any other master without the setting is an error, as a
+    folder of the driver's machine would be invisible to the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="smishlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -62,3 +73,36 @@ def materialize(df):
     """Cut lineage with a reliable checkpoint in the cluster's shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SCRATCH: dict[str, str] = {}
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path ``<shared folder>/smishlens-<session>/<name>-<unique>``.
+
+    The session's folder is deleted when the driver's Python ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = f"{ensure_checkpoint_dir(spark)}/smishlens-{uuid.uuid4().hex[:12]}"
+        atexit.register(_drop_folder, spark, _SCRATCH[app])
+    return f"{_SCRATCH[app]}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session has ended already: nothing is left to ask
+        return
+
+
+def shared_table(df, name: str):
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Cuts the lineage like a checkpoint, and keeps column pruning, compression
+    and size statistics for what reads it."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
