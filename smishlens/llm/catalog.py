@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smishlens.llm import chat, decontaminate, langid, quality, simhash
+from smishlens.llm import chat, decontaminate, langid, quality, simhash, token_files
+from smishlens.llm.tokens import vocabulary_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,13 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.examples(turns.unionByName(told)))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from the token files."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = token_files.write(docs, token_files.new_folder(docs), vocabulary_path(), end_id=1)
+    return token_files.read_back(manifest)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,7 +70,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_chat_formatting, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
+    op1_language_id, op2_chat_formatting, op6_token_files, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": r"""
