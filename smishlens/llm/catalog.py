@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smishlens.llm import chat, decontaminate, langid, quality, simhash, token_files
+from smishlens.llm import chat, decontaminate, langid, packing, quality, simhash, token_files
 from smishlens.llm.tokens import vocabulary_path
 
 
@@ -38,6 +38,14 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.examples(turns.unionByName(told)))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document's tokens with its place in a sequence."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = packing.pieces(docs, vocabulary_path(), end_id=2)
+    rows = cut.select("piece", F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.pack(rows).drop("piece")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from the token files."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -70,7 +78,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_chat_formatting, op6_token_files, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
+    op1_language_id, op2_chat_formatting, op5_packing, op6_token_files, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": r"""

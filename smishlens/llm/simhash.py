@@ -101,21 +101,18 @@ def _distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def bucket_rows(prints: DataFrame, max_bits: int) -> DataFrame:
-    """(segment, value, fp, probe, pivot): the index and probe rows of all buckets
-    with two fingerprints or more. A bucket's pivot is its fingerprint with the
-    most documents (column ``n``; the smallest of several)."""
+def _rows(prints: DataFrame, max_bits: int, *more: str) -> DataFrame:
+    """The index and probe rows (segment, value, fp, n, probe) of all fingerprints."""
     def rows(wildcards: bool) -> DataFrame:
-        return prints.select("fp", "n", F.lit(wildcards).alias("probe"),
+        return prints.select("fp", "n", *more, F.lit(wildcards).alias("probe"),
                              F.explode(_keys(F.col("fp"), max_bits, wildcards)).alias("key")) \
-            .select("key.segment", "key.value", "fp", "n", "probe")
+            .select("key.segment", "key.value", "fp", "n", *more, "probe")
 
-    both = rows(False).unionByName(rows(True))
-    pivots = both.groupBy("segment", "value").agg(
-        F.min("fp").alias("low"), F.max("fp").alias("high"),
-        F.min(F.struct((-F.col("n")).alias("n"), "fp")).alias("top"))
-    pivots = pivots.filter("low < high").select("segment", "value", F.col("top.fp").alias("pivot"))
-    return shared_table(both.drop("n").join(pivots, ["segment", "value"]), "buckets")
+    return rows(False).unionByName(rows(True))
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -123,33 +120,36 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     documents each): each is a verified pair within ``max_bits`` bits, and they
     connect all fingerprints that such pairs connect.
 
-    First every member of a bucket is compared with the bucket's pivot only, and
-    the components of these links are formed. Then, bucket by bucket, all pairs
-    are joined but those of two members of the pivot's own component, which
-    are connected already. So a dense ball costs about its size, not its square,
-    and members far from the pivot still meet everybody."""
-    rows = bucket_rows(prints, max_bits)
-    star = rows.filter((F.col("fp") != F.col("pivot")) & (_distance("fp", "pivot") <= max_bits)) \
-        .select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).distinct()
-    star = shared_table(star, "star_links")
-    label = components(star)
-    own = label.withColumnRenamed("node", "fp").withColumnRenamed("label", "own")
-    of_pivot = label.withColumnRenamed("node", "pivot").withColumnRenamed("label", "pivots")
-    far = rows.join(own, "fp", "left").join(of_pivot, "pivot", "left").select(
-        "segment", "value", "fp", "probe",
-        (F.coalesce("own", "fp") != F.coalesce("pivots", "pivot")).alias("minor"))
-    far = shared_table(far, "bucket_labels")
-    mixed = far.filter("minor").select("segment", "value").distinct()
-    far = shared_table(far.join(mixed, ["segment", "value"], "left_semi"), "mixed_buckets")
+    First every member of a bucket is compared with the bucket's pivot only (its
+    fingerprint with the most documents), and the components of these links are
+    formed. Then, bucket by bucket, all pairs are joined but those of two
+    members of the pivot's own component, which are connected already. So a
+    dense ball costs about its size, not its square, and members far from the pivot
+    still meet everybody. All joins verify the distance themselves: what they put
+    out are links, not candidates."""
+    bucket = ["segment", "value"]
+    rows = _rows(prints, max_bits)
+    pivots = rows.groupBy(*bucket).agg(F.min("fp").alias("low"), F.max("fp").alias("high"),
+                                       F.min(F.struct((-F.col("n")).alias("n"), "fp")).alias("top"))
+    pivots = pivots.filter("low < high").select(*bucket, F.col("top.fp").alias("pivot"))
+    star = rows.select(*bucket, "fp").join(pivots, bucket) \
+        .filter((F.col("fp") != F.col("pivot")) & (_distance("fp", "pivot") <= max_bits))
+    star = shared_table(star.select(*_ordered("fp", "pivot")).distinct(), "star_links")
+
+    label = components(star).withColumnRenamed("node", "fp")
+    labelled = prints.join(label, "fp", "left").select("fp", "n", F.coalesce("label", "fp").alias("label"))
+    rows = _rows(shared_table(labelled, "labelled_prints"), max_bits, "label")
+    tops = rows.groupBy(*bucket).agg(F.min(F.struct((-F.col("n")).alias("n"), "fp", "label")).alias("top"))
+    rows = rows.join(tops, bucket).select(*bucket, "fp", "probe", (F.col("label") != F.col("top.label")).alias("minor"))
+    rows = shared_table(rows, "bucket_rows")
 
     def pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
-        a = index.filter("not probe").select("segment", "value", F.col("fp").alias("a"))
-        b = probe.filter("probe").select("segment", "value", F.col("fp").alias("b"))
-        near = a.join(b, ["segment", "value"]).filter(
-            (F.col("a") != F.col("b")) & (_distance("a", "b") <= max_bits))
-        return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        a = index.filter("not probe").select(*bucket, F.col("fp").alias("a"))
+        b = probe.filter("probe").select(*bucket, F.col("fp").alias("b"))
+        near = a.join(b, bucket).filter((F.col("a") != F.col("b")) & (_distance("a", "b") <= max_bits))
+        return near.select(*_ordered("a", "b"))
 
-    rest = pairs(far.filter("minor"), far).unionByName(pairs(far.filter("not minor"), far.filter("minor")))
+    rest = pairs(rows.filter("minor"), rows).unionByName(pairs(rows.filter("not minor"), rows.filter("minor")))
     return star.unionByName(rest).distinct()
 
 
