@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smishlens.llm import chat, decontaminate, langid, packing, quality, simhash, token_files
+from smishlens.llm import chat, decontaminate, langid, packing, quality, sharding, simhash, token_files
 from smishlens.llm.tokens import vocabulary_path
 
 
@@ -38,6 +38,16 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.examples(turns.unionByName(told)))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of 40 and place in it; whole rows are exchanged."""
+    docs = _table(spark, sf_dir, "documents")
+    placed = sharding.uniform_shards(docs, 40, ["doc_id", "text"])
+    return placed.select(
+        "doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 16).cast("long").alias("size"),
+        F.crc32("text").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document's tokens with its place in a sequence."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,7 +88,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_chat_formatting, op5_packing, op6_token_files, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
+    op1_language_id, op2_chat_formatting, op4_sharding, op5_packing, op6_token_files, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": r"""
