@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smishlens.llm import chat, decontaminate, langid, packing, quality, sharding, simhash, token_files
+from smishlens.llm import chat, decontaminate, html_text, langid, packing, quality, sharding, simhash, token_files
 from smishlens.llm.tokens import vocabulary_path
 
 
@@ -63,6 +63,13 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(manifest)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    found = pages.select("page_id", "url", html_text.main_text(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -88,7 +95,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_chat_formatting, op4_sharding, op5_packing, op6_token_files, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
+    op1_language_id, op2_chat_formatting, op4_sharding, op5_packing, op6_token_files,
+    op7_html_extraction, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": r"""
