@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smishlens.llm import chat, decontaminate, html_text, langid, packing, quality, sharding, simhash, token_files
+from smishlens.llm import chat, decontaminate, html_text, langid, packing, ppm, quality, sharding, simhash, token_files
 from smishlens.llm.tokens import vocabulary_path
 
 
@@ -38,6 +38,15 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.examples(turns.unionByName(told)))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document; learned from those whose crc32(doc_id) mod 7 is not 2."""
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    docs = _table(spark, sf_dir, "documents").select(
+        F.struct("doc_id", F.coalesce(held, F.lit(False)).alias("held_out")).alias("row"), "text")
+    found = ppm.score(docs, docs.filter(~F.col("row.held_out")), "row")
+    return found.select("row.*", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 40 and place in it; whole rows are exchanged."""
     docs = _table(spark, sf_dir, "documents")
@@ -95,7 +104,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_chat_formatting, op4_sharding, op5_packing, op6_token_files,
+    op1_language_id, op2_chat_formatting, op3_lm_scoring, op4_sharding, op5_packing, op6_token_files,
     op7_html_extraction, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {
