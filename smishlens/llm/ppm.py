@@ -43,15 +43,15 @@ from smishlens.llm.arrow_text import chunks, row_sums, split_words, text_bytes
 from smishlens.session import shared_table
 
 #: Longest context in bytes, contexts per order, words in the broadcast table.
-ORDER = 4
-CONTEXTS = 1 << 15
+ORDER = 6
+CONTEXTS = 1 << 17
 HEAVY = 1 << 21
 
 SYMBOLS = 257  # bytes and the end of the text
 END = 256
 BITS = 9  # a context symbol: 0 for the start of the text, else byte + 1
 COUNT_BYTES = 8 << 20
-SCORE_BYTES = 1 << 20
+SCORE_BYTES = 1 << 18
 WORD_BYTES = 8 << 20
 
 
