@@ -35,62 +35,96 @@ STRIP_PATTERN = r"^[" + WS_CLASS + r"]+|[" + WS_CLASS + r"]+$"
 SPLIT_PATTERN = r"[" + WS_CLASS + r"]+"
 NON_ASCII_PATTERN = r"[^\x00-\x7F]"
 
-# Transliterations of the accent folder for characters that have
-# no canonical decomposition, and for symbols (a symbol turned into N
-# punctuation characters later becomes N blanks, so the lengths matter).
-FOLD_SPECIAL = {
-    "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o",
-    "Þ": "Th", "þ": "th", "Ð": "D", "ð": "d", "Đ": "D", "đ": "d", "Ħ": "H",
-    "ħ": "h", "ı": "i", "Ł": "L", "ł": "l", "Ŋ": "NG", "ŋ": "ng", "Ŧ": "T",
-    "ŧ": "t", "ĸ": "q", "ſ": "s",
-    "×": "x", "÷": "/", "¿": "?", "¡": "!", "«": "<<", "»": ">>", "‘": "'",
-    "’": "'", "‚": ",", "“": '"', "”": '"', "„": ",,", "–": "-", "—": "--",
-    "…": "...", "€": "EUR", "£": "PS", "¢": "C/", "¥": "Y=", "©": "(c)",
-    "®": "(r)", "°": "deg", "±": "+-", "µ": "u", "·": "*", "ª": "a", "º": "o",
-    "¹": "1", "²": "2", "³": "3", "¼": " 1/4", "½": " 1/2", "¾": " 3/4",
-    "§": "SS", "¶": "P",
+# Transliterations of the accent folder for characters that the
+# decomposition rule below does not give (a symbol that becomes N punctuation
+# characters later becomes N blanks, so the lengths matter).
+FOLD_LATIN = {
+    "¡": "!", "¢": "C/", "£": "PS", "¤": "$?", "¥": "Y=", "¦": "|", "§": "SS", "¨": '"', "©": "(c)",
+    "ª": "a", "«": "<<", "¬": "!", "®": "(r)", "¯": "-", "°": "deg", "±": "+-", "²": "2", "³": "3",
+    "´": "'", "µ": "u", "¶": "P", "·": "*", "¸": ",", "¹": "1", "º": "o", "»": ">>", "¼": " 1/4",
+    "½": " 1/2", "¾": " 3/4", "¿": "?", "×": "x", "÷": "/",
+    "Æ": "AE", "æ": "ae", "Ð": "D", "ð": "d", "Ø": "O", "ø": "o", "Þ": "Th", "þ": "th", "ß": "ss",
+    "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "ĸ": "q", "Ł": "L", "ł": "l", "Ŋ": "NG", "ŋ": "ng",
+    "Œ": "OE", "œ": "oe", "Ŧ": "T", "ŧ": "t", "ſ": "s",
 }
+FOLD_PUNCTUATION = {
+    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "―": "--", "‖": "||", "‗": "_", "‘": "'", "’": "'",
+    "‚": ",", "‛": "'", "“": '"', "”": '"', "„": ",,", "‟": '"', "†": "+", "‡": "++", "•": "*", "‣": "*>",
+    "․": ".", "‥": "..", "…": "...", "‧": ".", "‰": "%0", "′": "'", "″": "''", "‵": "`", "‹": "<", "›": ">",
+    "※": "*", "‼": "!!", "⁄": "/", "€": "EUR", "−": "-",
+}
+FOLD_GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k",
+    "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t",
+    "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+FOLD_CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "io", "ж": "zh", "з": "z", "и": "i",
+    "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t",
+    "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": '"', "ы": "y",
+    "ь": "'", "э": "e", "ю": "iu", "я": "ia",
+    "ђ": "dj", "ѓ": "gj", "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j", "љ": "lj", "њ": "nj",
+    "ћ": "tsh", "ќ": "kj", "ў": "u", "џ": "dzh", "ґ": "g'",
+}
+# Not in the reference: a letter or digit of a script without a table keeps its
+# place as this letter, so a message in such letters is not blank.
+FOLD_UNKNOWN = "x"
 
 
-def _rule_fold_table() -> dict[str, str]:
-    """Latin letters U+00C0..U+024F folded by canonical/compatibility decomposition,
-    Unicode space separators to a blank (a rule, not a list)."""
-    table: dict[str, str] = {}
-    for cp in range(0x00C0, 0x0250):
-        ch = chr(cp)
-        ascii_part = "".join(c for c in unicodedata.normalize("NFKD", ch) if ord(c) < 128)
-        if ascii_part:
-            table[ch] = ascii_part
-    for cp in range(0x00A0, 0x3001):
-        ch = chr(cp)
-        if unicodedata.category(ch) == "Zs":
-            table[ch] = " "
-    table["\u2028"] = "\n"
-    table["\u2029"] = "\n"
+def _letters() -> dict[str, str]:
+    """The letter tables with their upper case (first letter of the value upper-cased)."""
+    table = {**FOLD_LATIN, **FOLD_PUNCTUATION}
+    for lower in (FOLD_GREEK, FOLD_CYRILLIC):
+        table.update(lower)
+        table.update({k.upper(): v[0].upper() + v[1:] for k, v in lower.items() if k != "ς"})
     return table
 
 
 def default_fold_table() -> dict[str, str]:
-    table = _rule_fold_table()
-    table.update(FOLD_SPECIAL)
+    """Character -> ASCII. The tables above, and by rule for Latin, Greek and
+    Cyrillic letters, punctuation, letterlike and width forms: the parts of the
+    compatibility decomposition, each folded; space separators are blanks."""
+    table = _letters()
+    for first, last in ((0x00A0, 0x0600), (0x1E00, 0x2400), (0x3000, 0x3001), (0xFF00, 0xFFF0)):
+        for cp in range(first, last):
+            ch = chr(cp)
+            if ch in table:
+                continue
+            if unicodedata.category(ch) == "Zs":
+                table[ch] = " "
+                continue
+            parts = unicodedata.normalize("NFKD", ch)
+            folded = "".join(c if ord(c) < 128 else table.get(c, "") for c in parts)
+            if folded and parts != ch:
+                table[ch] = folded
+    table["\u2028"] = "\n"
+    table["\u2029"] = "\n"
     return table
 
 
+def _fold(col: Column, table: dict[str, str], ascii_map: dict[str, str]) -> Column:
+    """The fold of a text with non-ASCII characters: one ``translate`` for 1:1 pairs
+    (and for ``ascii_map``), then ``replace`` for 1:n. Texts within Latin-1 and Latin
+    Extended-A take a short chain. In the others, letters and digits without an
+    entry become ``FOLD_UNKNOWN``; what is left beyond ASCII (marks, pictographs)
+    is removed. Each text runs through one of the two branches."""
+    def chain(part: dict[str, str]) -> Column:
+        one = {k: v for k, v in part.items() if len(v) == 1} | ascii_map
+        out = F.translate(col, "".join(one.keys()), "".join(one.values()))
+        for k, v in sorted(part.items()):
+            if len(v) != 1:
+                out = F.replace(out, F.lit(k), F.lit(v))
+        return out
+
+    latin = chain({k: v for k, v in table.items() if ord(k) < 0x0180})
+    full = F.regexp_replace(chain(table), r"[\p{L}\p{N}&&[^\x00-\x7F]]", FOLD_UNKNOWN)
+    return F.regexp_replace(F.when(col.rlike(r"[^\x00-\u017F]"), full).otherwise(latin), NON_ASCII_PATTERN, "")
+
+
 def fold_accents(col: Column, table: dict[str, str] | None = None) -> Column:
-    """Fold to ASCII. One ``translate`` for 1:1 pairs, ``replace`` for 1:n,
-    then every remaining non-ASCII character is removed."""
+    """Fold to ASCII; ASCII text is left as it is."""
     table = default_fold_table() if table is None else table
-    one = {k: v for k, v in table.items() if len(v) == 1}
-    many = {k: v for k, v in table.items() if len(v) != 1}
-    out = F.translate(col, "".join(one.keys()), "".join(one.values()))
-    chain = out
-    for k, v in sorted(many.items()):
-        chain = F.replace(chain, F.lit(k), F.lit(v))
-    # The 1:n replacements only run on texts holding one of their characters.
-    has_many = out.rlike("[" + "".join(sorted(many.keys())) + "]") if many else F.lit(False)
-    folded = F.regexp_replace(F.when(has_many, chain).otherwise(out), NON_ASCII_PATTERN, "")
-    # ASCII text is left as it is.
-    return F.when(col.rlike(NON_ASCII_PATTERN), folded).otherwise(col)
+    return F.when(col.rlike(NON_ASCII_PATTERN), _fold(col, table, {})).otherwise(col)
 
 
 def extract_urls(col: Column) -> Column:
@@ -139,17 +173,10 @@ def clean_after_urls(col: Column, fold_table: dict[str, str] | None = None) -> C
     token holds no punctuation; C3's digits (e.g. superscripts) still come
     before C4."""
     table = default_fold_table() if fold_table is None else fold_table
-    one = {k: _blank_punct(v) for k, v in table.items() if len(v) == 1}
-    many = {k: _blank_punct(v) for k, v in table.items() if len(v) != 1}
-    src = "".join(one.keys()) + ASCII_PUNCT
-    dst = "".join(one.values()) + " " * len(ASCII_PUNCT)
-    out = F.translate(col, src, dst)
-    chain = out
-    for k, v in sorted(many.items()):
-        chain = F.replace(chain, F.lit(k), F.lit(v))
-    has_many = out.rlike("[" + "".join(sorted(many.keys())) + "]") if many else F.lit(False)
-    folded = F.regexp_replace(F.when(has_many, chain).otherwise(out), NON_ASCII_PATTERN, "")
-    ascii_text = F.when(col.rlike(NON_ASCII_PATTERN), folded).otherwise(out)
+    blanked = {k: _blank_punct(v) for k, v in table.items()}
+    blanks = {ch: " " for ch in ASCII_PUNCT}
+    plain = F.translate(col, "".join(blanks), " " * len(blanks))
+    ascii_text = F.when(col.rlike(NON_ASCII_PATTERN), _fold(col, blanked, blanks)).otherwise(plain)
     return lower_strip(mask_numbers(ascii_text))
 
 

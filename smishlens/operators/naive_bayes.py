@@ -45,7 +45,7 @@ class NaiveBayesModel:
                              keep: list[str] | None = None) -> DataFrame:
         keep = keep or []
         counts = term_counts(df, id_col, text_col, keep, outer=True)
-        joined = counts.join(F.broadcast(self.table), "term", "left")
+        joined = counts.join(self.tfidf.bounded(self.table), "term", "left")
         w = F.col("tf") * F.col("idf")
         sums = [F.sum(w * w).alias("_s2")] + [F.sum(w * F.col(f"lp_{c}")).alias(f"_s_{c}") for c in self.classes]
         per_doc = joined.groupBy(id_col).agg(*[F.first(c).alias(c) for c in keep], *sums)
@@ -83,7 +83,7 @@ def fit_naive_bayes(tfidf: TfidfModel, train: DataFrame, id_col: str = "msg_id",
           .agg(*[F.sum(F.when(F.col(label_col) == c, F.col("tfidf"))).alias(f"fc_{c}") for c in classes]))
     vocab = tfidf.vocabulary.select("term", "idf")
     # fc has one row per vocabulary term at most: bounded by max_features.
-    wide = vocab.join(F.broadcast(fc), "term", "left").fillna(0.0, subset=[f"fc_{c}" for c in classes])
+    wide = vocab.join(tfidf.bounded(fc), "term", "left").fillna(0.0, subset=[f"fc_{c}" for c in classes])
     # Read twice (class totals, then the table): at most max_features rows.
     wide = materialize(wide)
     totals = wide.agg(*[F.sum(f"fc_{c}").alias(f"t_{c}") for c in classes], F.count(F.lit(1)).alias("v")).first()

@@ -69,8 +69,3 @@ def preprocess(df: DataFrame, threats: DataFrame | None, id_col: str = "msg_id",
     mapped = map_label_df(df, "label", label_mode)
     cleaned = clean_text(mapped, threats, "message", id_col, fold_table=fold_table)
     return drop_blank(cleaned).select(id_col, "message", "label")
-
-
-def feature_target(df: DataFrame, id_col: str = "msg_id") -> DataFrame:
-    """The ``X``/``y`` projection."""
-    return df.select(id_col, "message", "label")

@@ -11,7 +11,7 @@ bucketed by the first hex digits of the md5 key; bucket counts (a tiny table)
 give, per class, the bucket in which the test quota ends, and only that
 boundary bucket (about ``n / 16**digits`` rows) is ranked by a window to find
 the last test row. The result is a cut table with one row per class; the
-split itself is then a narrow pass (broadcast join and a comparison).
+split itself is then one join with that table and a comparison.
 """
 
 from __future__ import annotations
@@ -71,9 +71,9 @@ def split_cuts(df: DataFrame, label_col: str = "label", test_size: float = 0.2,
                            & (F.col("n_test_c") <= F.col("_before") + F.col("_cnt")))
                 .select(*strata, F.col("_bucket").alias("_bb"),
                         (F.col("n_test_c") - F.col("_before")).alias("_need")))
-    # One row per class: bounded by the number of classes, safe to broadcast.
+    # One row per group and class. AQE broadcasts it when it is small at run time.
     # Only rows of the boundary bucket (about n / 16**digits) are ranked.
-    edge = (keyed.join(F.broadcast(boundary), strata)
+    edge = (keyed.join(boundary, strata)
             .filter(F.col("_bucket") == F.col("_bb"))
             .withColumn("_rn", F.row_number().over(Window.partitionBy(*strata).orderBy("_key", id_col)))
             .filter(F.col("_rn") == F.col("_need"))
@@ -89,7 +89,7 @@ def assign_split(df: DataFrame, cuts: DataFrame, label_col: str = "label", seed:
     strata = list(groups or []) + [label_col]
     key = order_key(id_col, seed)
     bucket = F.substring(key, 1, bucket_digits)
-    marked = df.join(F.broadcast(cuts), strata, "left")
+    marked = df.join(cuts, strata, "left")
     is_test = ((bucket < F.col("_bb"))
                | ((bucket == F.col("_bb")) & ((key < F.col("_key_cut"))
                                               | ((key == F.col("_key_cut")) & (F.col(id_col) <= F.col("_id_cut"))))))

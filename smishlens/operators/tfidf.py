@@ -25,6 +25,9 @@ from smishlens.session import materialize
 
 # Fixed value: vocabulary cap of the reference's vectoriser.
 MAX_FEATURES = 10000
+# A model table is broadcast by hint up to so many terms (about 100 bytes each);
+# with a larger ``max_features`` the join is left to AQE.
+BROADCAST_TERMS = 1_000_000
 
 _ENTRY = ArrayType(StructType([StructField("term", StringType()), StructField("tf", LongType())]))
 
@@ -68,9 +71,13 @@ class TfidfModel:
     n_docs: int
     max_features: int
 
+    def bounded(self, table: DataFrame) -> DataFrame:
+        """``table``, of at most ``max_features`` rows, marked for broadcast if that is few."""
+        return F.broadcast(table) if self.max_features <= BROADCAST_TERMS else table
+
     def weights(self) -> DataFrame:
-        """Broadcast side for joins; bounded by ``max_features`` rows."""
-        return F.broadcast(self.vocabulary.select("term", "idf"))
+        """Side for joins with at most ``max_features`` rows."""
+        return self.bounded(self.vocabulary.select("term", "idf"))
 
     def transform_long(self, df: DataFrame, id_col: str = "msg_id", text_col: str = "message",
                        keep: list[str] | None = None, keep_empty: bool = False) -> DataFrame:

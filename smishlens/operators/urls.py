@@ -11,6 +11,8 @@ service is a ``threats(url, threat_type)`` table and the lookup is a join:
    message crosses the shuffle) and the text is rebuilt from the pieces between
    the URLs with ``zip_with``.
 
+A message is identified by its id and a hash of its text, and its flags are a set:
+rows that share an id keep their own flags, and equal rows share theirs.
 Messages without a URL never enter the join.
 """
 
@@ -31,17 +33,6 @@ def suspicious_urls(threats: DataFrame) -> DataFrame:
             .select("url").distinct())
 
 
-def url_reputation(urls: DataFrame, threats: DataFrame | None, url_col: str = "url") -> DataFrame:
-    """``(url, suspicious INT)`` for every distinct URL of ``urls``;
-    no match means not suspicious."""
-    distinct = urls.select(F.col(url_col).alias("url")).distinct()
-    if threats is None:
-        return distinct.withColumn("suspicious", F.lit(0))
-    bad = suspicious_urls(threats).withColumn("_hit", F.lit(1))
-    return (distinct.join(bad, "url", "left")
-            .select("url", F.coalesce("_hit", F.lit(0)).alias("suspicious")))
-
-
 def _rebuild(text_col: str, flags_col: str):
     pieces = T.split_on_urls(F.col(text_col))
     tokens = F.transform(F.col(flags_col), lambda f: F.when(f["bad"], F.lit(T.URL_SUSPICIOUS_TOKEN))
@@ -66,14 +57,17 @@ def tokenise_urls(df: DataFrame, threats: DataFrame | None, text_col: str = "mes
     has_url = F.coalesce(candidate & (F.size(T.extract_urls(text)) > 0), F.lit(False))
     plain = df.filter(~has_url).withColumn(out_col, text)
     with_urls = df.filter(has_url).withColumn("_urls", T.extract_urls(text))
-    occurrences = with_urls.select(id_col, F.posexplode("_urls").alias("_pos", "url"))
+    with_urls = with_urls.withColumn("_text_key", F.xxhash64(text))
+    occurrences = with_urls.select(id_col, "_text_key", F.posexplode("_urls").alias("_pos", "url"))
     bad = suspicious_urls(threats).withColumn("_bad", F.lit(True))
     flags = (occurrences.join(bad, "url", "left")
-             .groupBy(id_col)
-             .agg(F.array_sort(F.collect_list(F.struct(
+             .groupBy(id_col, "_text_key")
+             .agg(F.array_sort(F.collect_set(F.struct(
                  F.col("_pos").alias("pos"),
                  F.coalesce(F.col("_bad"), F.lit(False)).alias("bad")))).alias("_flags")))
-    rebuilt = (with_urls.drop("_urls").join(flags, id_col)
+    own = with_urls.drop("_urls")
+    flags = flags.withColumnsRenamed({id_col: "_flags_id", "_text_key": "_flags_key"})
+    rebuilt = (own.join(flags, own[id_col].eqNullSafe(flags["_flags_id"]) & (own["_text_key"] == flags["_flags_key"]))
                .withColumn(out_col, _rebuild(text_col, "_flags"))
-               .drop("_flags"))
+               .drop("_flags", "_flags_id", "_flags_key", "_text_key"))
     return plain.unionByName(rebuilt)

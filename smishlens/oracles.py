@@ -8,19 +8,43 @@ Doubles are rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
-from smishlens.functions import text as T
-from smishlens.functions.labels import NEGATIVE_LABELS, POSITIVE_LABELS
-from smishlens.operators.porter import IRREGULAR, STEP2, STEP3, STEP4
-from smishlens.operators.urls import SUSPICIOUS_TYPES
-from smishlens.sources.testdata import TRANSLATION_MAX_CHARS
-
+# The twins state all values themselves: they import nothing of the code they check.
 # RE2 spellings of the patterns (no (?U); the oracle data is ASCII-blank only).
 URL_RE = r"https?://\S+|www\.\S+"
-PHONE_RE = T.PHONE_PATTERN
-PUNCT_RE = T.PUNCT_PATTERN
-STRIP_RE = T.STRIP_PATTERN
-SPLIT_RE = T.SPLIT_PATTERN
+PHONE_RE = r"\b\d{10,}\b"
+BLANKS = r"\t\n\x0B\f\r\x1C-\x1F "
+PUNCT_RE = rf"[^A-Za-z0-9_{BLANKS}]"
+STRIP_RE = rf"^[{BLANKS}]+|[{BLANKS}]+$"
+SPLIT_RE = rf"[{BLANKS}]+"
 TOKEN_RE = r"\b\w\w+\b"
+PHONE_TOKEN, URL_SUSPICIOUS_TOKEN, URL_TRUSTED_TOKEN = " PHONE_NUM ", " URL_SUSPICIOUS ", " URL_TRUSTED "
+POSITIVE_LABELS, NEGATIVE_LABELS = ("spam", "1"), ("ham", "0")
+SUSPICIOUS_TYPES = ("MALWARE", "SOCIAL_ENGINEERING")
+
+# Suffix rules of the published stemming algorithm (steps 2 to 4) and
+# the irregular words of its library variant.
+STEP2 = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+         ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
+         ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"),
+         ("iviti", "ive"), ("biliti", "ble"), ("alli", "al"), ("bli", "ble"), ("fulli", "ful"), ("logi", "log")]
+STEP3 = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", "")]
+STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate",
+         "iti", "ous", "ive", "ize"]
+IRREGULAR = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+    "cannings": "canning", "canning": "canning", "howe": "howe", "proceed": "proceed",
+    "exceed": "exceed", "succeed": "succeed",
+}
+
+
+# Foldings of the accent folder that strip_accents does not give,
+# stated here once more so that the twin does not depend on the code it checks.
+FOLD_TWIN = {
+    "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o", "Þ": "Th", "þ": "th", "Ð": "D", "ð": "d",
+    "¿": "?", "¡": "!", "«": "<<", "»": ">>", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--", "…": "...",
+    "€": "EUR", "£": "PS", "©": "(c)", "®": "(r)", "°": "deg", "·": "*", "ª": "a", "º": "o", "´": "'", "•": "*",
+}
 
 
 def q(s: str) -> str:
@@ -29,14 +53,14 @@ def q(s: str) -> str:
 
 def fold_sql(expr: str) -> str:
     out = expr
-    for k, v in sorted(T.FOLD_SPECIAL.items()):
+    for k, v in FOLD_TWIN.items():
         out = f"replace({out}, {q(k)}, {q(v)})"
     out = f"strip_accents({out})"
     return f"regexp_replace({out}, '[^\\x00-\\x7F]', '', 'g')"
 
 
 def mask_sql(expr: str) -> str:
-    return f"regexp_replace({expr}, {q(PHONE_RE)}, {q(T.PHONE_TOKEN)}, 'g')"
+    return f"regexp_replace({expr}, {q(PHONE_RE)}, {q(PHONE_TOKEN)}, 'g')"
 
 
 def punct_sql(expr: str) -> str:
@@ -131,13 +155,17 @@ FROM labels l JOIN documents d ON l.doc_id = d.doc_id""")
 cte("labels_mixed", f"""
 SELECT l.doc_id AS msg_id, {_spelt_sql(False)} AS label
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id""")
-cte("translations", f"""
+cte("translations", """
 SELECT DISTINCT * FROM (
   SELECT 'es' AS src_lang, 'en' AS tgt_lang, text AS text_in, reverse(text) AS text_out
     FROM documents WHERE lang = 'es'
   UNION ALL SELECT 'en', 'es', reverse(text), lower(text) FROM documents WHERE lang = 'es'
+  UNION ALL SELECT 'en', 'es', reverse(text), upper(text) FROM documents WHERE lang = 'es'
   UNION ALL SELECT 'en', 'es', text, reverse(text) FROM documents WHERE lang = 'en'
-) WHERE length(text_in) <= {TRANSLATION_MAX_CHARS}""")
+  UNION ALL SELECT 'en', 'es', text, text FROM documents WHERE lang = 'en')
+WHERE text_in IS NOT NULL""")
+cte("options", """
+SELECT src_lang, tgt_lang, text_in, list_sort(list(text_out)) AS options FROM translations GROUP BY ALL""", ("translations",))
 
 
 def url_tokens_cte(name: str, src: str) -> None:
@@ -147,7 +175,7 @@ SELECT m.msg_id, 2 * t.i - 1 AS k, t.piece
 FROM {src} m, unnest(string_split_regex(m.message, {q(URL_RE)})) WITH ORDINALITY AS t(piece, i)
 UNION ALL
 SELECT u.msg_id, 2 * u.i AS k,
-       CASE WHEN b.url IS NULL THEN {q(T.URL_TRUSTED_TOKEN)} ELSE {q(T.URL_SUSPICIOUS_TOKEN)} END
+       CASE WHEN b.url IS NULL THEN {q(URL_TRUSTED_TOKEN)} ELSE {q(URL_SUSPICIOUS_TOKEN)} END
 FROM (SELECT m.msg_id, t.url, t.i
       FROM {src} m, unnest(regexp_extract_all(m.message, {q(URL_RE)})) WITH ORDINALITY AS t(url, i)) u
 LEFT JOIN bad_urls b ON b.url = u.url""", (src, "bad_urls"))
@@ -209,7 +237,7 @@ FROM prep_es""", "prep_es")
 # ---- C9-C11 ---------------------------------------------------------------------
 cte("corpus_words", f"""
 SELECT DISTINCT w AS word FROM (
-  SELECT unnest(regexp_extract_all(lower({clean_after_urls_sql(f"regexp_replace(text, {q(URL_RE)}, {q(T.URL_TRUSTED_TOKEN)}, 'g')")}),
+  SELECT unnest(regexp_extract_all(lower({clean_after_urls_sql(f"regexp_replace(text, {q(URL_RE)}, {q(URL_TRUSTED_TOKEN)}, 'g')")}),
                                    {q(TOKEN_RE)})) AS w
   FROM documents)""")
 cte("lemmas", """
@@ -304,8 +332,7 @@ FROM ({cur})"""
   CASE WHEN {alli} THEN left(w, length(w) - 4) || 'al' ELSE w END AS w,
   CASE WHEN {alli} THEN left(c, length(c) - 4) || 'VC' ELSE c END AS c
 FROM ({cur})"""
-    rules2 = [r for r in STEP2 if r[0] != "abli"] + [("bli", "ble"), ("fulli", "ful"), ("logi", "log")]
-    cur = _p_rules(cur, rules2, f"{_p_m('cvp')} > 0", {"logi": f"{_p_m("(cvp || 'C')")} > 0"})
+    cur = _p_rules(cur, STEP2, f"{_p_m('cvp')} > 0", {"logi": f"{_p_m("(cvp || 'C')")} > 0"})
     # 3, 4
     cur = _p_rules(cur, STEP3, f"{_p_m('cvp')} > 0")
     cur = _p_rules(cur, [(x, "") for x in STEP4], f"{_p_m('cvp')} > 1",
@@ -400,7 +427,7 @@ cte("msg_labels", "SELECT msg_id, label FROM messages", ("messages",))
 cte("es_ids", "SELECT msg_id, 1 AS _one FROM messages_es", ("messages_es",))
 cte("lang_msgs", """
 SELECT d.lang AS source, d.doc_id AS msg_id, CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang IN ('en', 'es', 'fr', 'de')""")
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 ORACLE["split_stratified"] = sql_with_split(
     ("msg_labels",), split_ctes("s", "msg_labels", 0.2, 42),
     "SELECT msg_id, label, split FROM s_split")
@@ -561,7 +588,7 @@ def _ranks_sql(src: str, group: str = "") -> str:
        coalesce(sum(pos) OVER ({part} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_lt,
        sum(pos) OVER ({part}) AS P, sum(neg) OVER ({part}) AS N
 FROM (SELECT {g}p AS score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
-             sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM {src} GROUP BY {g}p)"""
+             sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS neg FROM {src} WHERE label IN (0, 1) GROUP BY {g}p)"""
 
 
 def _auc_sql(src: str, group: str = "") -> str:
@@ -630,19 +657,31 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang = 'es'""")
 cte("en_msgs", """
 SELECT d.doc_id AS msg_id, d.text AS message, CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang = 'en'""")
-cte("bt1", """
-SELECT e.msg_id, t2.text_out AS message, e.label
-FROM es_msgs e
-JOIN translations t1 ON t1.src_lang = 'es' AND t1.tgt_lang = 'en' AND t1.text_in = e.message
-JOIN translations t2 ON t2.src_lang = 'en' AND t2.tgt_lang = 'es' AND t2.text_in = t1.text_out""",
-    ("es_msgs", "translations"))
-cte("en2es", """
-SELECT DISTINCT e.msg_id, t.text_out AS message, e.label
-FROM en_msgs e JOIN translations t ON t.src_lang = 'en' AND t.tgt_lang = 'es' AND t.text_in = e.message""",
-    ("en_msgs", "translations"))
-ORACLE["backtranslate"] = with_ctes(
-    "SELECT msg_id, message, label FROM bt1, range(2) r", "bt1")
-ORACLE["translate_distinct"] = with_ctes("SELECT msg_id, message, label FROM en2es", "en2es")
+# ``attempts``: G1 and G2 take candidate j modulo the number of candidates in attempt j.
+def bt_cte(name: str, attempts: int) -> None:
+    cte(name, f"""
+SELECT e.msg_id, t2.options[(r.j % len(t2.options)) + 1] AS message, e.label
+FROM es_msgs e CROSS JOIN (SELECT unnest(range({attempts})) AS j) r
+JOIN options t1 ON t1.src_lang = 'es' AND t1.tgt_lang = 'en' AND t1.text_in = e.message
+JOIN options t2 ON t2.src_lang = 'en' AND t2.tgt_lang = 'es' AND t2.text_in = t1.options[(r.j % len(t1.options)) + 1]""",
+        ("es_msgs", "options"))
+
+
+def en2es_cte(name: str, attempts: int) -> None:
+    cte(name, f"""
+SELECT msg_id, message, label FROM (
+  SELECT e.msg_id, e.label, unnest(list_distinct(list_transform(range({attempts}),
+    lambda j: t.options[(j % len(t.options)) + 1]))) AS message
+  FROM en_msgs e JOIN options t ON t.src_lang = 'en' AND t.tgt_lang = 'es' AND t.text_in = e.message)""",
+        ("en_msgs", "options"))
+
+
+bt_cte("bt1", 1)
+bt_cte("bt2", 2)
+en2es_cte("en2es", 1)
+en2es_cte("en2es_3", 3)
+ORACLE["backtranslate"] = with_ctes("SELECT msg_id, message, label FROM bt2", "bt2")
+ORACLE["translate_distinct"] = with_ctes("SELECT msg_id, message, label FROM en2es_3", "en2es_3")
 ORACLE["augment_union"] = with_ctes("""
 SELECT message, label, 'original_es' AS aug_type FROM es_msgs
 UNION ALL SELECT message, label, CAST(NULL AS VARCHAR) FROM bt1
@@ -658,7 +697,7 @@ SELECT msg_id, CAST(label AS BIGINT) AS label, round(avg(p), 6) AS p,
 FROM (SELECT msg_id, label, round(p, 12) AS p FROM c_pred UNION ALL SELECT msg_id, label, round(p, 12) FROM l_pred)
 GROUP BY msg_id, label""", es=True, es_ls=True)
 ORACLE["text_preprocessor_ml"] = f"""
-SELECT doc_id AS msg_id, array_to_string({tokens_sql(clean_after_urls_sql(f"regexp_replace(text, {q(URL_RE)}, {q(T.URL_TRUSTED_TOKEN)}, 'g')"))}, ' ') AS message
+SELECT doc_id AS msg_id, array_to_string({tokens_sql(clean_after_urls_sql(f"regexp_replace(text, {q(URL_RE)}, {q(URL_TRUSTED_TOKEN)}, 'g')"))}, ' ') AS message
 FROM documents"""
 cte("ml_clean", ORACLE["text_preprocessor_ml"])
 cte("porter_ml", porter_sql(f"(SELECT unnest({tokens_sql('message')}) AS word FROM ml_clean)"), ("ml_clean",))

@@ -15,6 +15,7 @@ from smishlens.functions import text as T
 from smishlens.functions.labels import map_label_df
 from smishlens.operators import preprocess as P
 from smishlens.operators.urls import tokenise_urls
+from smishlens.session import shared_table
 from smishlens.sources import testdata as D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,13 +126,10 @@ from smishlens.operators.split import random_split, stratified_split  # noqa: E4
 
 def _prep_es(spark, sf, reuse: bool = False):
     """Preprocessed ``messages_es``; with ``reuse`` the cleaned table is
-    checkpointed once because several jobs (count, vocabulary, transform)
+    written once because several jobs (count, vocabulary, transform)
     read it."""
     prep = P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
-    if reuse:
-        from smishlens.session import materialize
-        return materialize(prep)
-    return prep
+    return shared_table(prep, "prepared") if reuse else prep
 
 
 @register("lemma_lookup")
@@ -171,7 +169,9 @@ def q_text_preprocessor(spark, sf):
 # ---- D: splits --------------------------------------------------------------------
 @register("split_stratified")
 def q_split_stratified(spark, sf):
-    out = stratified_split(D.messages(spark, sf).select("msg_id", "label"), "label", 0.2, 42)
+    # narrow and read by several steps of the split: joined once
+    narrow = shared_table(D.messages(spark, sf).select("msg_id", "label"), "labelled")
+    out = stratified_split(narrow, "label", 0.2, 42)
     return out.select(F.col("msg_id").cast("bigint"), "label", "split")
 
 
@@ -183,12 +183,8 @@ def q_split_random(spark, sf):
 
 @register("split_by_source")
 def q_split_by_source(spark, sf):
-    parts = [D.lang_messages(spark, sf, lang).select(F.lit(lang).alias("source"), "msg_id", "label")
-             for lang in ("en", "es", "fr", "de")]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    out = stratified_split(union, "label", 0.2, 42, groups=["source"])
+    narrow = shared_table(D.source_messages(spark, sf), "labelled")
+    out = stratified_split(narrow, "label", 0.2, 42, groups=["source"])
     return out.select("source", F.col("msg_id").cast("bigint"), "label", "split")
 
 

@@ -33,19 +33,25 @@ def require_columns(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-def with_message_ids(df: DataFrame, id_col: str = "msg_id") -> DataFrame:
-    """Stable ids for CSV rows: md5 of label and message plus the row's
-    position in its file split. A file is always read in the same order, so
-    a recomputed task yields the same ids; write the result to Parquet once."""
-    key = F.md5(F.concat_ws("␟", F.coalesce("label", F.lit("")), F.coalesce("message", F.lit(""))))
-    return df.withColumn(id_col, F.concat_ws("#", key, F.monotonically_increasing_id().cast("string")))
+def with_message_ids(df: DataFrame, id_col: str = "msg_id", file_col: str = "_file") -> DataFrame:
+    """Ids for CSV rows: file name, md5 of label and message, occurrence number.
+
+    Rows equal in all of these are counted and written out again with their
+    numbers, so ids depend on the files' content only, not on how a file is read."""
+    content = F.md5(F.to_json(F.struct("label", "message")))
+    counted = df.groupBy(file_col, "label", "message").agg(F.count(F.lit(1)).alias("_n"))
+    numbered = counted.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    return numbered.select(F.concat_ws("#", file_col, content, F.col("_k").cast("string")).alias(id_col),
+                           "message", "label")
 
 
 def read_messages(spark: SparkSession, path: str, null_markers=NULL_MARKERS, with_ids: bool = True) -> DataFrame:
     """A1 + B1 + B2: the message loader."""
-    df = normalise_columns(read_csv_plain(spark, path, null_markers), id_col=None)
-    df = drop_incomplete(df)
-    return with_message_ids(df) if with_ids else df
+    df = read_csv_plain(spark, path, null_markers)
+    if not with_ids:
+        return drop_incomplete(normalise_columns(df, id_col=None))
+    named = df.withColumn("_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    return with_message_ids(drop_incomplete(normalise_columns(named, id_col="_file")))
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

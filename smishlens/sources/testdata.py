@@ -11,32 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smishlens.functions import text as T
-
-# The translation service refuses texts longer than this
-# (the failure path of augmentation).
-TRANSLATION_MAX_CHARS = 5000
-
-
-# Tables whose rows carry long text: the per-row work dominates.
-TEXT_TABLES = ("documents", "pages", "conversations")
+from smishlens.session import shared_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return rebalance_scan(df) if name in TEXT_TABLES else df
-
-
-def rebalance_scan(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned text scan over the cores.
-
-    A parquet file with a single row group is read by one task however many
-    splits it has. When a scan yields fewer partitions than twice the
-    default parallelism, rows are dealt round-robin; a large table (many row
-    groups, many splits) is left untouched, so at scale this never shuffles."""
-    target = 2 * df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,21 +85,20 @@ def labels_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A translation table for Spanish and English documents: es->en reverses
-    the text, en->es of that gives it back lower-cased, en->es of English
-    text reverses it. Texts over the length limit have no translation."""
-    docs = table(spark, sf_dir, "documents").select("text", "lang")
-    es = docs.filter(F.col("lang") == "es").select("text")
-    en = docs.filter(F.col("lang") == "en").select("text")
-    es_en = es.select(F.lit("es").alias("src_lang"), F.lit("en").alias("tgt_lang"),
-                      F.col("text").alias("text_in"), F.reverse("text").alias("text_out"))
-    back = es.select(F.lit("en").alias("src_lang"), F.lit("es").alias("tgt_lang"),
-                     F.reverse("text").alias("text_in"), F.lower("text").alias("text_out"))
-    en_es = en.select(F.lit("en").alias("src_lang"), F.lit("es").alias("tgt_lang"),
-                      F.col("text").alias("text_in"), F.reverse("text").alias("text_out"))
-    return (es_en.unionByName(back).unionByName(en_es)
-            .filter(F.length("text_in") <= TRANSLATION_MAX_CHARS)
-            .distinct())
+    """A translation table for all Spanish and English documents: es->en reverses
+    the text, en->es of that gives it back in lower and in upper case (two
+    candidates), en->es of English text reverses it or gives it back as it is."""
+    docs = table(spark, sf_dir, "documents").select("text", "lang").filter(F.col("lang").isin("es", "en"))
+    text, es = F.col("text"), F.col("lang") == "es"
+
+    def entry(src: str, tgt: str, text_in, text_out):
+        return F.struct(F.lit(src).alias("src_lang"), F.lit(tgt).alias("tgt_lang"),
+                        text_in.alias("text_in"), text_out.alias("text_out"))
+
+    spanish = F.array(entry("es", "en", text, F.reverse(text)), entry("en", "es", F.reverse(text), F.lower(text)),
+                      entry("en", "es", F.reverse(text), F.upper(text)))
+    english = F.array(entry("en", "es", text, F.reverse(text)), entry("en", "es", text, text))
+    return docs.select(F.explode(F.when(es, spanish).otherwise(english)).alias("e")).select("e.*").distinct()
 
 
 def lang_messages(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
@@ -132,6 +110,15 @@ def lang_messages(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
                     F.when(F.col("toxic") == 1, "spam").otherwise("ham").alias("label")))
 
 
+def source_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(source, msg_id, label)`` of all labelled documents; the source is their language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return (docs.join(labels, "doc_id")
+            .select(F.col("lang").alias("source"), F.col("doc_id").alias("msg_id"),
+                    F.when(F.col("toxic") == 1, "spam").otherwise("ham").alias("label")))
+
+
 def corpus_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct vectoriser tokens of the cleaned documents."""
     docs = table(spark, sf_dir, "documents").select("text")
@@ -155,9 +142,8 @@ def stems(spark: SparkSession, sf_dir: str, words: DataFrame | None = None) -> D
 
 
 def word_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``(lemmas, stems)`` from one checkpointed pass over the corpus words."""
-    from smishlens.session import materialize
-    words = materialize(corpus_words(spark, sf_dir))
+    """``(lemmas, stems)`` from one pass over the corpus words."""
+    words = shared_table(corpus_words(spark, sf_dir), "words")
     return lemmas(spark, sf_dir, words), stems(spark, sf_dir, words)
 
 

@@ -2,6 +2,7 @@
 Python version of the same rules."""
 
 import re
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
@@ -67,19 +68,39 @@ def test_drop_blank_keeps_columns(spark):
     assert drop_blank(df).count() == 1
 
 
+FOLDED = [
+    ("don´t", "don't"), ("ＡＢ１", "AB1"), ("Москва щука", "Moskva shchuka"), ("раураl", "raural"), ("Ψυχή ΑΘΗΝΑ", "Psukhe AThENA"),
+    ("a•b™ ¨x¨ ¬", 'a*bTM "x" !'), ("…–—„ok”", '...---,,ok"'), ("漢字 ok", "xx ok"), ("½ ② x²", " 1/2 x x2"), ("ﬀ ĳ", "x ij"),
+]
+
+
+@pytest.mark.parametrize("text,want", FOLDED)
+def test_fold_goldens(spark, text, want):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(T.fold_accents(F.col("t"))).first()[0] == want
+
+
+def test_no_script_vanishes(spark):
+    """A message wholly in another script is not blank after cleaning."""
+    texts = ["ПРИВЕТ", "γειά", "שלום", "مرحبا", "こんにちは", "안녕", "ＷＩＮ"]
+    df = spark.createDataFrame([(i, t, "ham") for i, t in enumerate(texts)], "msg_id long, message string, label string")
+    assert preprocess(df, None).count() == len(texts)
+
+
 # A plain Python statement of C3-C6 with the same fold table (brute force).
 _TABLE = T.default_fold_table()
 
 
 def py_clean(s: str) -> str:
-    s = "".join(_TABLE.get(ch, ch) for ch in s)
+    wide = any(ord(ch) > 0x017F for ch in s)
+    s = "".join(_TABLE.get(ch, T.FOLD_UNKNOWN if wide and ord(ch) > 127 and unicodedata.category(ch)[0] in "LN" else ch) for ch in s)
     s = "".join(ch for ch in s if ord(ch) < 128)
     s = re.sub(r"\b\d{10,}\b", " PHONE_NUM ", s)
     s = re.sub(r"[^A-Za-z0-9_\t\n\x0b\x0c\r\x1c-\x1f ]", " ", s)
     return s.lower().strip("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ")
 
 
-ALPHABET = st.sampled_from(list("aZ09_ .,!?¿¡-'\"\t\néñüßæœ½²€—…😀") + ["1234567890", "98765432101", " "])
+ALPHABET = st.sampled_from(list("aZ09_ .,!?¿¡-'\"\t\néñüßæœ½²€—…😀´¨жΩ漢Ａ•") + ["1234567890", "98765432101", " "])
 
 
 @settings(max_examples=60, deadline=None)
