@@ -43,16 +43,17 @@ from smishlens.llm.arrow_text import chunks, row_sums, split_words, text_bytes
 from smishlens.session import shared_table
 
 #: Longest context in bytes, contexts per order, words in the broadcast table.
-ORDER = 6
+ORDER = 5
 CONTEXTS = 1 << 17
 HEAVY = 1 << 21
 
 SYMBOLS = 257  # bytes and the end of the text
 END = 256
 BITS = 9  # a context symbol: 0 for the start of the text, else byte + 1
-COUNT_BYTES = 8 << 20
+COUNT_BYTES = 4 << 20
+MERGE_GRAMS = 2_000_000
 SCORE_BYTES = 1 << 18
-WORD_BYTES = 8 << 20
+WORD_BYTES = 4 << 20
 
 
 def padded(data: np.ndarray, bounds: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,17 +76,29 @@ def count_grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (context, symbol) keys of the texts and their counts. A key is the symbol
     with the context symbols above it, the last byte lowest."""
     context, symbol, _ = padded(*text_bytes(texts), order)
-    at = np.flatnonzero(symbol >= 0)
-    key = symbol[at].astype(np.int64)
+    key = symbol.astype(np.int64)
     for j in range(1, order + 1):
-        key |= context[at - j].astype(np.int64) << (BITS * j)
-    found = pc.value_counts(pa.array(key))
+        key[j:] |= context[:-j].astype(np.int64) << (BITS * j)
+    found = pc.value_counts(pa.array(key[symbol >= 0]))
     return found.field("values").to_numpy(), found.field("counts").to_numpy()
 
 
-def corpus_counts(docs: DataFrame, text: str, order: int) -> DataFrame:
-    """(word, gram, n) over all texts: rows of words and rows of grams, counted in one pass."""
+def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of distinct keys over all parts."""
+    table = pa.table({"key": np.concatenate([k for k, _ in parts]), "n": np.concatenate([n for _, n in parts])})
+    total = table.group_by("key").aggregate([("n", "sum")])
+    return total["key"].to_numpy(), total["n_sum"].to_numpy()
+
+
+def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, DataFrame]:
+    """(word, n) and (gram, n) over all texts. Both come from one pass; a task adds
+    up its own grams, as long as they are few, before it sends them on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def grams(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.string()), pa.array(keys), pa.array(counts)],
+                                              ["word", "gram", "n"])
+
+        own: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for _, texts in chunks(batch.column(0), COUNT_BYTES):
                 words = pc.value_counts(split_words(texts, lower=True)[1])
@@ -93,12 +106,19 @@ def corpus_counts(docs: DataFrame, text: str, order: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [words.field("values").cast(pa.string()), pa.nulls(n, pa.int64()), words.field("counts")],
                     ["word", "gram", "n"])
-                keys, counts = count_grams(texts, order)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(keys), pa.string()), pa.array(keys), pa.array(counts)], ["word", "gram", "n"])
+                own.append(count_grams(texts, order))
+                if sum(len(k) for k, _ in own) > MERGE_GRAMS:
+                    own = [merge_counts(own)]
+                    if len(own[0][0]) > MERGE_GRAMS // 2:
+                        yield grams(*own.pop())
+        if own:
+            yield grams(*merge_counts(own))
 
-    partial = docs.select(text).mapInArrow(run, "word string, gram long, n long")
-    return shared_table(partial.groupBy("word", "gram").agg(F.sum("n").alias("n")), "corpus_counts")
+    # the partial counts are written once: words and grams are then added up apart
+    partial = shared_table(docs.select(text).mapInArrow(run, "word string, gram long, n long"), "partial_counts")
+    words, grams = partial.filter("word is not null"), partial.filter("gram is not null")
+    return (shared_table(words.groupBy("word").agg(F.sum("n").alias("n")), "word_counts"),
+            grams.groupBy("gram").agg(F.sum("n").alias("n")))
 
 
 @dataclass
@@ -128,24 +148,21 @@ class ByteTrie:
         return row_sums(value, bounds)
 
 
-def build(levels: list[list[tuple[int, list[tuple[int, int]]]]], order: int) -> ByteTrie:
-    """The trie from ``levels[k]``: (context key, [(symbol, count), ...]) of order k."""
-    levels = [sorted(x) for x in levels]
-    keys = [np.array([c for c, _ in x], np.int64) for x in levels]
-    seen = sorted({s for _, pairs in levels[0] for s, _ in pairs})
+def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], order: int) -> ByteTrie:
+    """The trie from ``levels[k]``: parallel arrays of context key, symbol and count of order k."""
+    keys = [np.unique(context) for context, _, _ in levels]
+    seen = np.unique(levels[0][1])
     symbol_class = np.full(SYMBOLS + 1, len(seen), np.int64)  # the last entry answers for -1
     symbol_class[seen] = np.arange(len(seen))
+    if not len(keys[0]):
+        keys[0] = np.zeros(1, np.int64)
     counts = []
-    for level in levels:
-        dense = np.zeros((len(level), len(seen)))
-        for i, (_, pairs) in enumerate(level):
-            for s, n in pairs:
-                dense[i, symbol_class[s]] = n
+    for own, (context, symbol, n) in zip(keys, levels):
+        dense = np.zeros((len(own), len(seen)))
+        dense[np.searchsorted(own, context), symbol_class[symbol]] = n
         counts.append(dense)
-    if not levels[0]:
-        keys[0], counts[0] = np.zeros(1, np.int64), np.zeros((1, 0))
 
-    used = sorted({int(c >> (BITS * (k - 1))) for k in range(1, order + 1) for c in keys[k]})
+    used = np.unique(np.concatenate([keys[k] >> (BITS * (k - 1)) for k in range(1, order + 1)]))
     context_class = np.zeros(SYMBOLS, np.int32)
     context_class[used] = np.arange(1, len(used) + 1)
     children, bases, logs = [], [0], []
@@ -181,23 +198,28 @@ def _logs(counts: list[np.ndarray]) -> np.ndarray:
     return np.log10(np.maximum(p, 1e-300))
 
 
-def fit_trie(counts: DataFrame, order: int, contexts: int) -> tuple[ByteTrie, int]:
-    """The trie from the rows of grams, and the number of training texts."""
-    grams = counts.filter("gram is not null").select("gram", "n")
-    totals = grams.agg(F.sum("n"), F.sum(F.when(F.col("gram").bitwiseAND(F.lit(511)) == END, F.col("n")))).first()
-    n_symbols, n_texts = totals[0] or 0, totals[1] or 0
-    above = F.shiftright("gram", BITS)
-    each = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), above.bitwiseAND(F.lit((1 << (BITS * k)) - 1)).alias("context"))
-        for k in range(order + 1)]))
-    pairs = grams.select(each.alias("of"), F.col("gram").bitwiseAND(F.lit(511)).cast("int").alias("symbol"), "n") \
-        .groupBy("of", "symbol").agg(F.sum("n").alias("n"))
-    # a context has 257 symbols at most
-    known = pairs.groupBy("of").agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("pairs")) \
-        .filter(F.col("total") * contexts >= n_symbols)
-    levels: list[list] = [[] for _ in range(order + 1)]
-    for row in known.select("of.k", "of.context", "pairs").toLocalIterator():
-        levels[row[0]].append((row[1], [(s, n) for s, n in row[2]]))
+def fit_trie(grams: DataFrame, order: int, contexts: int) -> tuple[ByteTrie, int]:
+    """The trie from the counted grams, and the number of training texts."""
+    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n_symbols = n_texts = 0
+    # from the longest contexts down: each order's table is added up from the one before
+    for k in range(order, -1, -1):
+        if k < order:
+            mask = (1 << (BITS * (k + 1))) - 1
+            grams = grams.select(F.col("gram").bitwiseAND(F.lit(mask).cast("long")).alias("gram"), "n") \
+                .groupBy("gram").agg(F.sum("n").alias("n"))
+        grams = shared_table(grams, f"grams_{k}")
+        if k == order:
+            n_symbols = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        pairs = grams.select(F.shiftright("gram", BITS).alias("context"), F.col("gram").bitwiseAND(F.lit(511)).alias("symbol"), "n")
+        # a context has 257 symbols at most; the kept contexts are ``contexts`` at most
+        known = pairs.groupBy("context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("pairs")) \
+            .filter(F.col("total") * contexts >= n_symbols).select("context", F.explode("pairs").alias("of")) \
+            .select("context", F.col("of.symbol").alias("symbol"), F.col("of.n").alias("n")).toArrow()
+        levels.append(tuple(known[c].to_numpy() for c in ("context", "symbol", "n")))
+    levels.reverse()
+    ends = levels[0][1] == END
+    n_texts = int(levels[0][2][ends].sum())
     return build(levels, order), n_texts
 
 
@@ -205,9 +227,8 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: st
           contexts: int = CONTEXTS, heavy: int = HEAVY) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``."""
     spark = docs.sparkSession
-    counts = corpus_counts(training, text, order)
-    trie, n_texts = fit_trie(counts, order, contexts)
-    words = counts.filter("word is not null").select("word", "n")
+    words, grams = corpus_counts(training, text, order)
+    trie, n_texts = fit_trie(grams, order, contexts)
     n_words, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_train = n_words + n_texts
     whole = n_train + n_distinct + (1 if n_texts else 0) + 1
