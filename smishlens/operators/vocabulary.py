@@ -111,8 +111,3 @@ def normalise_texts(df: DataFrame, text_col: str, lemmas: DataFrame | None = Non
         done = regroup_tokens(apply_lookup(explode_tokens(texts, "_t", key), lemmas, "lemma"), key, "_t")
     out = keyed.join(done, key, "left")
     return out.withColumn(text_col, F.coalesce(F.col("_t"), F.col(text_col))).drop(key, "_t")
-
-
-def stem_texts(df: DataFrame, text_col: str, mode: str = "library") -> DataFrame:
-    """Porter stems on ``text_col`` without a row id (see ``normalise_texts``)."""
-    return normalise_texts(df, text_col, stem=True, mode=mode)

@@ -722,6 +722,7 @@ FROM labels l LEFT JOIN (
            row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
     FROM events WHERE event_type = 'click') WHERE rn = 1) f ON l.doc_id = f.msg_id"""
 STREAM_CUTS = (0.3, 0.7)
+# L1: every document id once, scored by the model fitted on the train part.
 ORACLE["stream_score"] = _pipeline_sql(f"""
 SELECT j.msg_id, CAST(j.label AS BIGINT) AS label, round(1.0 / (1.0 + exp(j.jll0 - j.jll1)), 6) AS p,
        CAST(CASE WHEN j.jll1 > j.jll0 THEN 1 ELSE 0 END AS BIGINT) AS prediction,
@@ -729,14 +730,38 @@ SELECT j.msg_id, CAST(j.label AS BIGINT) AS label, round(1.0 / (1.0 + exp(j.jll0
             WHEN 1.0 / (1.0 + exp(j.jll0 - j.jll1)) >= {STREAM_CUTS[0]} THEN 'possible_spam' ELSE 'legit' END AS verdict
 FROM (SELECT t.msg_id, t.label, pr.pr0 + coalesce(s.s0 / sqrt(s.s2), 0.0) AS jll0,
              pr.pr1 + coalesce(s.s1 / sqrt(s.s2), 0.0) AS jll1
-      FROM sc_src t LEFT JOIN sc_s s ON t.msg_id = s.msg_id, c_prior pr) j""", es=True).replace(
+      FROM prep_es t LEFT JOIN sc_s s ON t.msg_id = s.msg_id, c_prior pr) j""", es=True).replace(
     "\nSELECT j.msg_id", f""",
-sc_src AS (SELECT * FROM prep_es WHERE msg_id IN (SELECT user_id FROM events)),
-sc_tf AS ({tf_sql('sc_src')}),
+sc_tf AS ({tf_sql('prep_es')}),
 sc_s AS (SELECT t.msg_id, sum((t.tf * l.idf) * (t.tf * l.idf)) AS s2, sum(t.tf * l.idf * l.lp0) AS s0,
                 sum(t.tf * l.idf * l.lp1) AS s1 FROM sc_tf t JOIN c_lp l ON t.term = l.term GROUP BY t.msg_id)
 SELECT j.msg_id""", 1)
 
+
+# ---- H2-H9: solvers. Their numbers have no closed form: the queries compare each result
+# with an independent statement (see solver_checks), which must hold for every test row.
+_AGREES = "SELECT msg_id, CAST(label AS BIGINT) AS label, TRUE AS agrees FROM c_test"
+for _name in ("lr_fit", "svm_platt", "forest", "ensemble_fit"):
+    ORACLE[_name] = _pipeline_sql(_AGREES, es=True)
+ORACLE["compare_ml"] = _pipeline_sql("""
+SELECT m.model, (SELECT count(*) FROM c_test) AS n, TRUE AS agrees
+FROM (SELECT unnest(['random_forest', 'logistic_regression', 'naive_bayes', 'svm']) AS model) m""", es=True)
+ORACLE["best_of_four"] = _pipeline_sql("""
+SELECT CAST(4 AS BIGINT) AS n_models, count(*) AS n, TRUE AS is_best, TRUE AS is_saved, TRUE AS scores_again FROM c_test""",
+                                       es=True)
+# The refit learns from all rows and scores them: the closed form with train = test = all.
+cte("all_es", "SELECT *, 'train' AS split FROM prep_es UNION ALL SELECT *, 'test' FROM prep_es", ("prep_es",))
+ORACLE["production_refit"] = sql_with_split(
+    ("all_es",), classic_ctes("c", "prep_es").replace(split_ctes("c", "prep_es", 0.3, 42) + ",\n", "\n")
+    .replace("c_split", "all_es"), """
+SELECT msg_id, CAST(label AS BIGINT) AS label, round(p, 6) AS p, CAST(prediction AS BIGINT) AS prediction,
+       CAST(0.429 AS DOUBLE) AS threshold FROM c_pred""")
+ORACLE["evaluate_saved"] = (_pipeline_sql("SELECT 1 AS one", es=True)[:-len("\nSELECT 1 AS one")] + ",\n"
+                            + "tox_preds AS (SELECT label, prediction FROM c_pred)\n"
+                            + ORACLE["class_report"][ORACLE["class_report"].rindex("\nSELECT class"):])
+ORACLE["text_preprocessor_ml_urls"] = with_ctes(f"""
+SELECT msg_id, array_to_string({tokens_sql(clean_after_urls_sql('message'))}, ' ') AS message FROM url_tok""", "url_tok")
+
 ORACLE["csv_roundtrip"] = with_ctes("""
 SELECT msg_id, message, label FROM messages
 WHERE message NOT IN ('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND',

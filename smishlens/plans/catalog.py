@@ -398,20 +398,19 @@ def q_augment_counts(spark, sf):
     return G.augment_counts(_augment(spark, sf)).select("kind", F.col("n").cast("bigint"))
 
 
-# ---- H2-H7, H9, M1, A5, A6: Spark ML members (rows-only checks) ---------------------------
+# ---- H2-H9, M1, A5, A6: Spark ML members ---------------------------------------------------
 from smishlens.plans import ml as ML  # noqa: E402
-from smishlens.session import ensure_checkpoint_dir, materialize  # noqa: E402
+from smishlens.plans import solver_checks as CK  # noqa: E402
+from smishlens.session import scratch_folder  # noqa: E402
 
 
 def _ml_features(spark, sf):
     run = flagship(spark, sf)
     stages = ML.tfidf_stages(run.tfidf, input_col="message", output_col="features")
     cols = ["msg_id", F.col("label").cast("double").alias("label"), "features"]
-    # Iterative solvers run one job per iteration: one partition per core.
-    cores = spark.sparkContext.defaultParallelism
-    train = materialize(stages.transform(run.train).select(*cols).coalesce(cores))
-    test = materialize(stages.transform(run.test).select(*cols).coalesce(cores))
-    return run, train, test, run.train.count()
+    train = shared_table(stages.transform(run.train).select(*cols), "ml_train")
+    test = shared_table(stages.transform(run.test).select(*cols), "ml_test")
+    return run, train, test, train.count()
 
 
 def _ml_out(df):
@@ -419,35 +418,91 @@ def _ml_out(df):
                      F.col("prediction").cast("bigint"))
 
 
+def _agrees(df, condition):
+    """The checked form of a solver's result: per test message whether it agrees
+    with an independent statement of what the solver must return."""
+    return df.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"),
+                     F.coalesce(condition, F.lit(False)).alias("agrees"))
+
+
 @register("lr_fit")
 def q_lr_fit(spark, sf):
+    """H2: agrees when the objective's gradient is near zero on the train part
+    and the label is p > 0.5."""
     _, train, test, n = _ml_features(spark, sf)
-    return _ml_out(ML.ml_predictions(train, test, n, ("logistic_regression",)))
+    model = ML.fit_models(train, n, ("logistic_regression",))["logistic_regression"]
+    optimal = CK.logistic_gradient(model, train, n) <= CK.LR_GRADIENT
+    out = ML.scores(model, test)
+    return _agrees(out, F.lit(optimal) & ((F.col("p") > 0.5) == (F.col("prediction") == 1)))
 
 
 @register("svm_platt")
 def q_svm_platt(spark, sf):
+    """H3: agrees when no scaling or shift of the margin lowers the objective, p is
+    the logistic function of the margin, and the label is its sign."""
     _, train, test, n = _ml_features(spark, sf)
-    return _ml_out(ML.ml_predictions(train, test, n, ("svm",)))
+    model = ML.fit_models(train, n, ("svm",))["svm"]
+    svm, platt = model.stages
+    optimal = CK.hinge_excess(svm, train, n) <= CK.SVM_EXCESS
+    a = float(platt.coefficients[1] - platt.coefficients[0])
+    margin = CK.vector_to_array(F.col("raw"))[1]
+    p = F.lit(1.0) / (1 + F.exp(-(F.lit(a) * margin + F.lit(float(platt.intercept)))))
+    out = model.transform(test)
+    return _agrees(out, F.lit(optimal and a > 0) & (F.abs(p - ML.positive_probability("probability")) < 1e-9)
+                   & ((margin > 0) == (F.col("prediction") == 1)))
 
 
 @register("forest")
 def q_forest(spark, sf):
+    """H4: agrees when p is the mean of the class shares in the trees' leaves."""
     _, train, test, n = _ml_features(spark, sf)
-    return _ml_out(ML.ml_predictions(train, test, n, ("random_forest",)))
+    model = ML.fit_models(train, n, ("random_forest",))["random_forest"]
+    shares = CK.leaf_shares(spark, model, test)
+    out = ML.scores(model, test).join(shares, "msg_id", "left")
+    return _agrees(out, F.abs(F.col("p") - F.col("share")) < 1e-9)
 
 
 @register("compare_ml")
 def q_compare_ml(spark, sf):
+    """H7/I8: agrees when the table's accuracy is the share of right labels."""
     _, train, test, n = _ml_features(spark, sf)
-    preds = materialize(ML.ml_predictions(train, test, n))
-    return M.compare_models(preds).select("model", *_metric_cols(), F.col("n").cast("bigint"))
+    preds = shared_table(ML.ml_predictions(ML.fit_models(train, n), test), "ml_predictions")
+    plain = preds.groupBy("model").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("_a"))
+    out = M.compare_models(preds).join(plain, "model")
+    return out.select("model", F.col("n").cast("bigint"), (F.abs(F.col("accuracy") - F.col("_a")) < 1e-12).alias("agrees"))
+
+
+@register("best_of_four")
+def q_best_of_four(spark, sf):
+    """H8/A5: the best of the four models is picked, saved under its name, and
+    scores the test part as before once it is loaded."""
+    run = flagship(spark, sf)
+    folder = scratch_folder(spark, "models")
+    done = ML.compare_and_save(spark, run.train, run.test, folder, "spanish")
+    model, meta = ML.load_model(spark, ML.best_path(folder, "spanish"))
+    again = ML.scores(model, run.test.withColumn("label", F.col("label").cast("double")))
+    before = done.predictions.filter(F.col("model") == done.best).select("msg_id", F.col("p").alias("_p"))
+    same = again.join(before, "msg_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                            F.max(F.abs(F.col("p") - F.col("_p"))).alias("_far"))
+    top = done.table.agg(F.max("accuracy").alias("_top"),
+                         F.max(F.when(F.col("model") == done.best, F.col("accuracy"))).alias("_own"),
+                         F.count(F.lit(1)).cast("bigint").alias("n_models"))
+    return same.join(top, F.lit(True)).select(
+        "n_models", "n", (F.col("_top") == F.col("_own")).alias("is_best"),
+        F.lit(meta["model_key"] == done.best).alias("is_saved"), (F.col("_far") < 1e-9).alias("scores_again"))
 
 
 @register("ensemble_fit")
 def q_ensemble_fit(spark, sf):
+    """H5: agrees when the fitted ensemble gives the mean of its members' table."""
     _, train, test, n = _ml_features(spark, sf)
-    return _ml_out(ML.ensemble_chain(train, test, n))
+    model = ML.fit_models(train, n, (ML.ENSEMBLE,))[ML.ENSEMBLE]
+    wide = model.transform(test)
+    long = wide.select("msg_id", "label", F.explode(F.array(*[
+        ML.positive_probability(f"{m}_probability") for m in ML.MODEL_ORDER])).alias("p"))
+    mean = ML.soft_vote(long).select("msg_id", F.col("p").alias("_p"), F.col("prediction").alias("_prediction"))
+    out = ML.scores(model, test).join(mean, "msg_id")
+    return _agrees(out, (F.abs(F.col("p") - F.col("_p")) < 1e-9) & (F.col("prediction") == F.col("_prediction")))
 
 
 @register("soft_vote")
@@ -465,10 +520,19 @@ def q_text_preprocessor_ml(spark, sf):
     return out.select(F.col("msg_id").cast("bigint"), F.col("clean").alias("message"))
 
 
+@register("text_preprocessor_ml_urls")
+def q_text_preprocessor_ml_urls(spark, sf):
+    """M1 with a table of listed URLs."""
+    path = scratch_folder(spark, "threats")
+    D.threats(spark, sf).write.parquet(path)
+    out = ML.TextPreprocessor(inputCol="message", outputCol="clean", threatsPath=path).transform(D.url_messages(spark, sf))
+    return out.select(F.col("msg_id").cast("bigint"), F.col("clean").alias("message"))
+
+
 @register("text_preprocessor_ml_stem")
 def q_text_preprocessor_ml_stem(spark, sf):
     """M1 with useStem: Porter stems inside the ML transformer (no row id:
-    distinct texts, joined back on the text)."""
+    distinct texts, joined back on a hash of the text)."""
     docs = D.messages_es(spark, sf)
     out = ML.TextPreprocessor(inputCol="message", outputCol="clean", useStem=True).transform(docs)
     return out.select(F.col("msg_id").cast("bigint"), F.col("clean").alias("message"))
@@ -477,14 +541,11 @@ def q_text_preprocessor_ml_stem(spark, sf):
 @register("production_refit")
 def q_production_refit(spark, sf):
     prep = P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
-    data = materialize(prep.select("msg_id", "message", F.col("label").cast("double").alias("label")))
-    model_dir = ensure_checkpoint_dir(spark).rstrip("/") + "/models"
+    data = shared_table(prep.select("msg_id", "message", F.col("label").cast("double").alias("label")), "production")
+    model_dir = scratch_folder(spark, "models")
     ML.refit_production(spark, data, model_dir, "spanish", "naive_bayes", threshold=0.429)
     model, meta = ML.load_model(spark, f"{model_dir}/pipeline_spanish")
-    scored = model.transform(data)
-    return scored.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"),
-                         r6(ML.positive_probability("probability")).alias("p"),
-                         F.col("prediction").cast("bigint"), F.lit(meta["threshold"]).alias("threshold"))
+    return _ml_out(ML.scores(model, data)).withColumn("threshold", F.lit(meta["threshold"]))
 
 
 @register("evaluate_saved")
@@ -493,9 +554,8 @@ def q_evaluate_saved(spark, sf):
     saved; the test part is scored through the loaded artefact; class report."""
     run = flagship(spark, sf)
     train = run.train.select("msg_id", "message", F.col("label").cast("double").alias("label"))
-    n = train.count()
-    path = ST.scratch_path(spark, "model-eval")
-    ML.save_model(spark, ML.text_pipeline("naive_bayes", n).fit(train), path, {"model_key": "naive_bayes"})
+    path = scratch_folder(spark, "models")
+    ML.save_model(spark, ML.text_pipeline("naive_bayes", train.count()).fit(train), path, {"model_key": "naive_bayes"})
     ev = ML.evaluate(spark, run.test.select("msg_id", "message", "label"), path)
     return ev.report.select("class", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")],
                             F.col("support").cast("bigint"))
@@ -531,10 +591,10 @@ def q_feedback_merge(spark, sf):
 
 @register("stream_score")
 def q_stream_score(spark, sf):
+    """L1: all documents arrive as a stream with their text; each id once."""
     run = flagship(spark, sf)
-    requests = D.events_stream(spark, sf).select(F.col("user_id").alias("msg_id"), "ts")
-    docs = D.messages_es(spark, sf)
-    out = ST.score_stream(spark, requests, docs, D.threats(spark, sf), run.nb, STREAM_CUTS)
+    messages = D.message_stream(spark, f"{sf}/documents.parquet")
+    out = ST.score_stream(spark, messages, D.threats(spark, sf), run.nb, STREAM_CUTS)
     return out.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"), r6(F.col("p")).alias("p"),
                       F.col("prediction").cast("bigint"), "verdict")
 
@@ -548,7 +608,7 @@ def q_csv_roundtrip(spark, sf):
     """Labelled messages written as CSV (multi-line quoted text) and read back
     by the message loader; rows whose text is a null marker drop out."""
     msgs = D.messages(spark, sf).select("label", "message", F.col("msg_id").cast("string").alias("ref"))
-    path = ST.scratch_path(spark, "csv")
+    path = scratch_folder(spark, "csv")
     SRC.write_csv(msgs, path)
     back = SRC.require_columns(SRC.read_csv_plain(spark, path), "message", "label", "ref")
     back = P.drop_incomplete(back)

@@ -13,13 +13,12 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# The reference's scoring batch and truncation length.
+# Fixed value: the reference's scoring batch.
 BATCH_SIZE = 64
-MAX_TOKENS = 128
 
 
 def length_model_factory() -> Callable[[np.ndarray], np.ndarray]:
@@ -43,8 +42,3 @@ def score_texts(df: DataFrame, make_predict_fn, text_col: str = "message", out_c
     """Add the class-1 probability of every text."""
     scorer = batch_scorer(make_predict_fn, batch_size)
     return df.withColumn(out_col, scorer(F.col(text_col)))
-
-
-def sigmoid_score(text: Column) -> Column:
-    """The stand-in model written as a Spark expression (for checks)."""
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(0.01) * F.length(text) - F.lit(2.0))))

@@ -161,8 +161,22 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "ts", "event_id")
 
 
+def as_pattern(path: str) -> str:
+    """A path as a pattern that matches just it: a file stream takes a pattern for
+    a single file as well as for a folder."""
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a file stream, event time cast for watermarks."""
     from smishlens.streaming.feeds import read_file_stream, with_event_time
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return with_event_time(read_file_stream(spark, sf_dir, "events.parquet", schema))
+    return with_event_time(read_file_stream(spark, as_pattern(f"{sf_dir}/events.parquet"), schema))
+
+
+def message_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """A parquet table of documents as a stream of messages; spam iff Spanish."""
+    from smishlens.streaming.feeds import read_file_stream
+    docs = read_file_stream(spark, as_pattern(path), spark.read.parquet(path).schema, max_files)
+    return docs.select(F.col("doc_id").alias("msg_id"), F.col("text").alias("message"),
+                       F.when(F.col("lang") == "es", "spam").otherwise("ham").alias("label"))

@@ -3,23 +3,23 @@
 The reference's README describes these (history of analyses, blocked numbers,
 user feedback) without code or field lists; the contracts below are ours.
 
-* L1 ``score_stream``: incoming messages -> event time watermark (10 min) ->
-  duplicates by message id dropped within the watermark -> per micro-batch
-  (``foreachBatch``): text cleaning with the URL join, naive Bayes scoring
-  against the broadcast model table, verdict -> appended to a history table.
+* L1 ``score_stream``: incoming messages with their text -> each id scored
+  once, the first time it arrives (streaming deduplication by id; its state
+  lives in the checkpoint and grows with the ids, so a large history wants the RocksDB
+  state store) -> per micro-batch (``foreachBatch``): text cleaning with the URL
+  join, naive Bayes scoring, verdict -> the history table.
 * L2 ``drop_blocked``: stream-static left-anti join with the block list.
 * L3 ``merge_feedback``: the latest user label per message (``max_by`` on
   event time, then event id) replaces the training label.
 
-Streams read files with ``availableNow`` so a run processes what is there
-and stops; state and output live under the shared checkpoint folder, so a
-restarted job resumes exactly once.
+Streams read files with ``availableNow`` so a run processes what is there and
+stops. The caller names the folder of state and output: a run on the same
+folder resumes where the last one ended. Every micro-batch writes its own
+``epoch=<id>`` folder with overwrite, so a repeated batch replaces itself.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,20 +27,15 @@ from pyspark.sql.types import StructType
 from smishlens.functions.scores import verdict
 from smishlens.operators.naive_bayes import NaiveBayesModel
 from smishlens.operators.preprocess import preprocess
-from smishlens.session import ensure_checkpoint_dir
-
-WATERMARK = "10 minutes"
-
+from smishlens.session import scratch_folder
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def read_file_stream(spark: SparkSession, folder: str, file_glob: str, schema: StructType) -> DataFrame:
-    """A parquet file stream over the files of ``folder`` matching ``file_glob``."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-            .option("recursiveFileLookup", "false").parquet(folder))
+def read_file_stream(spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    """A parquet file stream over ``folder`` (or a file pattern), ``max_files`` per micro-batch."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(folder)
 
 
 def with_event_time(stream: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -63,33 +58,31 @@ def merge_feedback(train: DataFrame, feedback: DataFrame, id_col: str = "msg_id"
                          F.when(F.col("_fb").isNotNull(), "feedback").otherwise("original").alias("source"))
 
 
-def run_to_table(stream: DataFrame, spark: SparkSession, name: str, batch_fn=None) -> DataFrame:
-    """Run a stream with ``availableNow`` into a parquet table under the
-    shared checkpoint folder and return the table as a batch DataFrame."""
-    out = scratch_path(spark, name)
+def run_to_table(stream: DataFrame, spark: SparkSession, name: str, batch_fn=None,
+                 path: str | None = None) -> DataFrame:
+    """Run a stream with ``availableNow`` into the parquet table ``{path}/data``,
+    state in ``{path}/_state``, and return the table as a batch DataFrame.
+    Without ``path`` a new folder in the shared checkpoint folder is used."""
+    out = path or scratch_folder(spark, name)
     writer = stream.writeStream.option("checkpointLocation", out + "/_state").trigger(availableNow=True)
-    if batch_fn is None:
-        query = writer.format("parquet").option("path", out + "/data").outputMode("append").start()
-    else:
-        def sink(batch: DataFrame, epoch_id: int) -> None:
-            batch_fn(batch).write.mode("append").parquet(out + "/data")
-        query = writer.foreachBatch(sink).start()
-    query.awaitTermination()
-    return spark.read.parquet(out + "/data")
 
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        result = batch_fn(batch) if batch_fn else batch
+        result.write.mode("overwrite").parquet(f"{out}/data/epoch={epoch_id}")
+
+    writer.foreachBatch(sink).start().awaitTermination()
+    return spark.read.parquet(out + "/data").drop("epoch")
 
-def score_stream(spark: SparkSession, requests: DataFrame, documents: DataFrame, threats: DataFrame | None,
-                 model: NaiveBayesModel, cuts: tuple[float, float] = (0.3, 0.7)) -> DataFrame:
-    """L1: score each requested message once; returns the written history.
 
-    ``requests`` is a stream of ``(msg_id, ts)``; ``documents`` the static
-    text table ``(msg_id, message, label)``."""
-    deduped = (requests.withWatermark("ts", WATERMARK)
-               .dropDuplicatesWithinWatermark(["msg_id"]))
+def score_stream(spark: SparkSession, messages: DataFrame, threats: DataFrame | None, model: NaiveBayesModel,
+                 cuts: tuple[float, float] = (0.3, 0.7), path: str | None = None) -> DataFrame:
+    """L1: score each message of the stream ``(msg_id, message, label)`` once by
+    id, whatever the files and batches it arrives in; returns the written history."""
+    first = messages.dropDuplicates(["msg_id"])
 
     def score(batch: DataFrame) -> DataFrame:
-        msgs = batch.select("msg_id").join(documents, "msg_id")
-        prepped = preprocess(msgs, threats)
+        prepped = preprocess(batch.select("msg_id", "message", "label"), threats)
         scored = model.predict(prepped, keep=["label"])
         return scored.withColumn("verdict", verdict(F.col("p"), *cuts))
-    return run_to_table(deduped, spark, "history", score)
+
+    return run_to_table(first, spark, "history", score, path)

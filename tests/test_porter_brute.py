@@ -140,7 +140,8 @@ def test_python_reference_on_hand_examples():
 def test_runs_of_y(spark):
     """y after a consonant y is a vowel, so runs of y alternate."""
     words = ["ayyy", "yyy", "flyy", "yyying", "sayy", "yayy", "buyyers", "toyyed", "xyyy", "xyyyyy", "yyyyy",
-             "ayyyyying", "byyyyed", "syyyyyyyyyyyyy"]
+             "ayyyyying", "byyyyed", "syyyyyyyyyyyyy",
+             "b" + "y" * 103 + "ed", "b" + "y" * 104 + "ed", "y" * 301 + "ing", "a" + "y" * 250 + "s"]
     got = {r["word"]: r["stem"] for r in porter_stems(spark.createDataFrame([(w,) for w in words], "word string"))
            .collect()}
     assert got == {w: py_stem(w) for w in words}
