@@ -57,3 +57,9 @@ def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     if len(full):
         out[full] = np.add.reduceat(values, bounds[full], dtype=np.float64)
     return out
+
+
+def release() -> None:
+    """Give memory that Arrow keeps for later back to the system: Python workers
+    stay, and what one stage has needed would stay with them."""
+    pa.default_memory_pool().release_unused()

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from smishlens.llm.arrow_text import as_array, chunks
 from smishlens.llm.ranking import with_rank
-from smishlens.llm.tokens import CHUNK_BYTES, WordTokenizer
+from smishlens.llm.tokens import CHUNK_BYTES, worker_tokenizer
 from smishlens.session import scratch_folder
 
 #: Tokens in a sequence, and tokens in one unit of the histogram.
@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
         tokenizer, piece = None, TaskContext.get().partitionId() << 40
         for rows in batches:
             for at, texts in chunks(rows.column(1), CHUNK_BYTES):
-                tokenizer = tokenizer or WordTokenizer(vocabulary)
+                tokenizer = tokenizer or worker_tokenizer(vocabulary)
                 sizes, ids = tokenizer.encode(texts, end_id)
                 n = -(-sizes // capacity)
                 row = np.repeat(np.arange(len(sizes)), n)
@@ -76,24 +76,23 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """Unbounded knapsack: the pattern of largest total price that fits."""
-    value = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
+    price = np.full(capacity + 1, -np.inf)
+    price[sizes] = prices
+    value, taken = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     for room in range(1, capacity + 1):
-        fits = int(np.searchsorted(sizes, room, side="right"))
-        value[room] = value[room - 1]
-        if fits:
-            offer = value[room - sizes[:fits]] + prices[:fits]
-            k = int(offer.argmax())
-            if offer[k] > value[room] + 1e-12:
-                value[room], taken[room] = offer[k], k
+        offer = price[1:room + 1] + value[room - 1::-1]
+        size = int(offer.argmax())
+        if offer[size] > value[room - 1] + 1e-12:
+            value[room], taken[room] = offer[size], size + 1
+        else:
+            value[room] = value[room - 1]
     pattern, room = np.zeros(len(sizes)), capacity
     while room > 0:
-        k = taken[room]
-        if k < 0:
-            room -= 1
+        if taken[room]:
+            pattern[np.searchsorted(sizes, taken[room])] += 1
+            room -= int(taken[room])
         else:
-            pattern[k] += 1
-            room -= sizes[k]
+            room -= 1
     return float(value[capacity]), pattern
 
 
@@ -103,14 +102,12 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
     the ascending ``sizes``; a pattern holds pieces per size."""
     if len(sizes) == 0:
         return []
-    n = len(sizes)
     fill = capacity // sizes
     patterns = np.diag(fill).astype(float)  # columns: the basis
     inverse = np.diag(1.0 / fill)
     x = demand / fill
     for _ in range(max_rounds):
-        prices = inverse.sum(axis=0)
-        value, pattern = best_pattern(prices, sizes, capacity)
+        value, pattern = best_pattern(inverse.sum(axis=0), sizes, capacity)
         if 1 - 1 / value <= gap:  # total / value is a lower bound of the optimum
             break
         move = inverse @ pattern

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smishlens.llm.arrow_text import chunks
-from smishlens.llm.tokens import CHUNK_BYTES, WordTokenizer
+from smishlens.llm.tokens import CHUNK_BYTES, worker_tokenizer
 from smishlens.session import scratch_folder, shared_table
 
 #: Tokens in a sequence, sequences in a record batch, bytes of text in a part.
@@ -117,7 +117,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: st
         for rows in batches:
             for at, texts in chunks(rows.column(1), CHUNK_BYTES):
                 if tokenizer is None:
-                    tokenizer = WordTokenizer(vocabulary)
+                    tokenizer = worker_tokenizer(vocabulary)
                     sinks = [store.open_output_stream(f"{name}.{kind}.arrow{attempt}") for kind in ("seq", "docs")]
                     writer = SequenceWriter(sinks[0], length, batch, n_ids)
                     listed = pa.ipc.new_stream(sinks[1], doc_schema)

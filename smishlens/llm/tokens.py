@@ -17,16 +17,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from smishlens.llm.arrow_text import split_words
+from smishlens.llm.arrow_text import release, split_words
 
 #: Vocabulary used by the queries, found by name in the public tokenizer folder.
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct words remembered per Python worker, and bytes of text handled at once.
-MAX_CACHED = 1 << 18
-CHUNK_BYTES = 16 << 20
+MAX_CACHED = 1 << 19
+CHUNK_BYTES = 12 << 20
 
 _SEPARATOR = "\x01"
+#: Words in one string to encode, and strings in one call (the library keeps
+#: a good hundred bytes per token while a call lasts).
 _JOIN = 256
+_CALL = 64
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -35,8 +38,19 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this Python worker, with the words that earlier tasks in it
+    have encoded (functions are sent anew with each task, modules stay)."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_smishlens_by_path", {})
+    if path not in kept:
+        kept[path] = WordTokenizer(path)
+    return kept[path]
+
+
 class WordTokenizer:
-    """Encodes arrays of texts; loaded once per task from a vocabulary file."""
+    """Encodes arrays of texts with a vocabulary file."""
 
     def __init__(self, path: str, max_cached: int = MAX_CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel unit
@@ -65,7 +79,8 @@ class WordTokenizer:
         for i in np.flatnonzero(odd):
             texts[i] = "x"  # encoded on its own below
         joined = [f" {_SEPARATOR} ".join(texts[i:i + _JOIN]) + f" {_SEPARATOR}" for i in range(0, len(texts), _JOIN)]
-        ids = np.concatenate([np.array(x, np.uint32) for x in self._encode_each(joined)])
+        ids = np.concatenate([np.array(x, np.uint32) for i in range(0, len(joined), _CALL)
+                              for x in self._encode_each(joined[i:i + _CALL])])
         cut = ids == self._separator
         ends = np.flatnonzero(cut)
         sizes = np.diff(np.concatenate(([-1], ends))) - 1
@@ -79,6 +94,18 @@ class WordTokenizer:
             ids = np.concatenate(parts)
         return sizes, ids
 
+    def _remember(self, new: pa.Array, sizes: np.ndarray, ids: np.ndarray, times: np.ndarray) -> None:
+        """Keep the new words that occur more than once in the batch, while there is room."""
+        room = self._max_cached - len(self._words)
+        keep = np.flatnonzero(times > 1)[:max(room, 0)]
+        if len(keep) == 0:
+            return
+        chosen = np.zeros(len(sizes), bool)
+        chosen[keep] = True
+        self._words = pa.concat_arrays([self._words, new.take(pa.array(keep))])
+        self._sizes = np.concatenate((self._sizes, sizes[keep]))
+        self._pool = np.concatenate((self._pool, ids[np.repeat(chosen, sizes)]))
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids per text, its ``end_id`` included, and all ids (null: only the end)."""
         counts, words = split_words(texts)
@@ -100,14 +127,12 @@ class WordTokenizer:
         all_sizes = np.concatenate((self._sizes, sizes))
         pool = np.concatenate((self._pool, ids))
         starts = np.cumsum(all_sizes) - all_sizes
-        room = self._max_cached - len(self._words)
-        if room > 0 and len(new):
-            self._words = pa.concat_arrays([self._words, new.slice(0, room)])
-            self._sizes = np.concatenate((self._sizes, sizes[:room]))
-            self._pool = pool[:len(self._pool) + int(sizes[:room].sum())]
-
         code = coded.indices.to_numpy(zero_copy_only=False)
+        n_old, new_sizes = len(self._words), sizes
         base = place[bare.indices.to_numpy(zero_copy_only=False)]
+        if len(new):
+            times = np.bincount(np.maximum(base[code] - n_old + 1, 0), minlength=len(new) + 1)[1:]
+            self._remember(new, new_sizes, ids, times)
         mark, size, start = mark[code], (all_sizes[base] + (mark > 0))[code], starts[base][code]
         # every text has its end id as one more word
         last = np.cumsum(counts + 1) - 1
@@ -125,4 +150,5 @@ class WordTokenizer:
         ends = upto - 1
         out[ends[is_word][mark > 0]] = self._marks[mark[mark > 0]]
         out[ends[last]] = end_id
+        release()
         return np.diff(upto[last], prepend=0), out
