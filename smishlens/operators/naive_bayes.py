@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smishlens.operators.tfidf import TfidfModel, term_counts
-from smishlens.session import materialize
+from smishlens.session import shared_table
 
 
 @dataclass
@@ -85,11 +85,11 @@ def fit_naive_bayes(tfidf: TfidfModel, train: DataFrame, id_col: str = "msg_id",
     # fc has one row per vocabulary term at most: bounded by max_features.
     wide = vocab.join(tfidf.bounded(fc), "term", "left").fillna(0.0, subset=[f"fc_{c}" for c in classes])
     # Read twice (class totals, then the table): at most max_features rows.
-    wide = materialize(wide)
+    wide = shared_table(wide, "class_weights")
     totals = wide.agg(*[F.sum(f"fc_{c}").alias(f"t_{c}") for c in classes], F.count(F.lit(1)).alias("v")).first()
     v = int(totals["v"])
     table = wide.select("term", "idf", *[
         F.log((F.col(f"fc_{c}") + F.lit(alpha)) / F.lit(float(totals[f"t_{c}"]) + alpha * v)).alias(f"lp_{c}")
         for c in classes])
-    table = materialize(table)
+    table = shared_table(table, "naive_bayes")
     return NaiveBayesModel(tfidf, classes, log_prior, table)

@@ -8,8 +8,8 @@
 * F3 smoothed IDF ``ln((1+n)/(1+df)) + 1``.
 * F4/F5 weights ``tf * idf`` normalised to unit L2 length per message.
 
-The fitted vocabulary has at most ``max_features`` rows; it is checkpointed
-once and broadcast by that proven bound.
+The fitted vocabulary has at most ``max_features`` rows; it is written once
+and broadcast by that proven bound.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from smishlens.functions import text as T
-from smishlens.session import materialize
+from smishlens.session import shared_table
 
 # Fixed value: vocabulary cap of the reference's vectoriser.
 MAX_FEATURES = 10000
@@ -32,7 +32,19 @@ BROADCAST_TERMS = 1_000_000
 _ENTRY = ArrayType(StructType([StructField("term", StringType()), StructField("tf", LongType())]))
 
 
-def with_term_count_array(df: DataFrame, text_col: str, out_col: str = "_e") -> DataFrame:
+# Column with the term counts of a message, where they have been kept.
+ENTRIES = "_entries"
+
+
+def with_entries(df: DataFrame, text_col: str = "message") -> DataFrame:
+    """``df`` written once with its messages' term counts, which every later fit
+    and transform reads instead of tokenising the text again."""
+    if ENTRIES in df.columns:
+        return df
+    return shared_table(with_term_count_array(df, text_col), "term_counts")
+
+
+def with_term_count_array(df: DataFrame, text_col: str, out_col: str = ENTRIES) -> DataFrame:
     """Add ``array<struct<term, tf>>`` of each message, terms ascending.
 
     The sorted tokens and the run starts are separate projected columns: a
@@ -56,11 +68,14 @@ def term_counts(df: DataFrame, id_col: str = "msg_id", text_col: str = "message"
     """``(id, keep..., term, tf)``. With ``outer`` a message without any
     term keeps one row with NULL term."""
     keep = keep or []
-    staged = with_term_count_array(df.select(id_col, *keep, text_col), text_col)
+    if ENTRIES in df.columns:  # counted already, see ``with_entries``
+        staged = df.select(id_col, *keep, ENTRIES)
+    else:
+        staged = with_term_count_array(df.select(id_col, *keep, text_col), text_col)
     # explode_outer + a filter on its output: an inner explode makes the
     # optimizer infer a size(...) > 0 filter below the projection, which would
     # copy the whole token expression into that filter.
-    out = (staged.select(id_col, *keep, F.explode_outer("_e").alias("_e"))
+    out = (staged.select(id_col, *keep, F.explode_outer(ENTRIES).alias("_e"))
            .select(id_col, *keep, F.col("_e.term").alias("term"), F.col("_e.tf").alias("tf")))
     return out if outer else out.filter(F.col("term").isNotNull())
 
@@ -120,5 +135,5 @@ def fit_tfidf(df: DataFrame, id_col: str = "msg_id", text_col: str = "message",
     vocab = top_terms(stats, max_features).withColumn(
         "idf", F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
     if checkpoint:
-        vocab = materialize(vocab)
+        vocab = shared_table(vocab, "vocabulary")
     return TfidfModel(vocab, n_docs, max_features)

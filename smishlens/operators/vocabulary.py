@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from smishlens.functions import text as T
 from smishlens.operators.porter import porter_stems
+from smishlens.session import shared_table
 
 
 def explode_tokens(df: DataFrame, text_col: str = "message", id_col: str = "msg_id") -> DataFrame:
@@ -76,16 +77,15 @@ def porter_stem_tokens(df: DataFrame, text_col: str = "message", id_col: str = "
     distinct tokens of ``df`` itself (one projection chain per distinct word),
     then joined back like any supplied table.
 
-    The stem table is checkpointed: it is vocabulary-sized, and without the
+    The stem table is written once: it is vocabulary-sized, and without the
     cut the optimizer pushes the lookup's ``word <> stem`` filter down the
     rule chain, substituting each step's expression into it (the filter then
     grows with the product of the references per step)."""
-    from smishlens.session import materialize
     toks = explode_tokens(df, text_col, id_col)
     if lemmas is not None:
         toks = apply_lookup(toks, lemmas, "lemma")
     words = toks.select(F.col("tok").alias("word")).filter(F.col("word").isNotNull())
-    stems = materialize(porter_stems(words, mode=mode))
+    stems = shared_table(porter_stems(words, mode=mode), "stems")
     return regroup_tokens(apply_lookup(toks, stems, "stem", unique=True), id_col, text_col)
 
 

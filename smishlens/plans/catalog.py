@@ -125,11 +125,11 @@ from smishlens.operators.split import random_split, stratified_split  # noqa: E4
 
 
 def _prep_es(spark, sf, reuse: bool = False):
-    """Preprocessed ``messages_es``; with ``reuse`` the cleaned table is
-    written once because several jobs (count, vocabulary, transform)
-    read it."""
+    """Preprocessed ``messages_es``; with ``reuse`` the cleaned table is written
+    once with its term counts, because several jobs (count, vocabulary,
+    transform) read it."""
     prep = P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
-    return shared_table(prep, "prepared") if reuse else prep
+    return with_entries(prep) if reuse else prep
 
 
 @register("lemma_lookup")
@@ -154,13 +154,15 @@ def q_porter(spark, sf):
 def q_stem_porter(spark, sf):
     """C10/C11 as the reference runs use_stem: each token of the preprocessed
     messages replaced by its Porter stem."""
-    out = porter_stem_tokens(_prep_es(spark, sf).select("msg_id", "message"))
+    # read twice: for the distinct words and for the lookup
+    prep = shared_table(_prep_es(spark, sf).select("msg_id", "message"), "prepared")
+    out = porter_stem_tokens(prep)
     return out.select(F.col("msg_id").cast("bigint"), "message")
 
 
 @register("text_preprocessor")
 def q_text_preprocessor(spark, sf):
-    prep = P.preprocess(D.messages(spark, sf), D.threats(spark, sf))
+    prep = shared_table(P.preprocess(D.messages(spark, sf), D.threats(spark, sf)), "prepared")
     lem, stm = D.word_tables(spark, sf)
     out = text_preprocessor(prep, lemmas=lem, stems=stm)
     return out.select(F.col("msg_id").cast("bigint"), "message", F.col("label").cast("bigint"))
@@ -189,7 +191,7 @@ def q_split_by_source(spark, sf):
 
 
 # ---- F, H1: TF-IDF and naive Bayes -------------------------------------------------
-from smishlens.operators.tfidf import fit_tfidf, term_counts, top_terms, vocabulary_stats  # noqa: E402
+from smishlens.operators.tfidf import fit_tfidf, term_counts, top_terms, vocabulary_stats, with_entries  # noqa: E402
 from smishlens.plans.flagship import flagship, run_classic  # noqa: E402
 
 
@@ -256,7 +258,7 @@ def _preds_toxic(spark, sf):
 
 
 def _preds_es(spark, sf, lookups: bool = False, prep=None):
-    lem, stm = D.word_tables(spark, sf) if lookups else (None, None)
+    lem, stm = D.word_tables(spark, sf, prep) if lookups else (None, None)
     run = run_classic(D.messages_es(spark, sf), D.threats(spark, sf), lemmas=lem, stems=stm, prep=prep)
     return run.predictions.select("msg_id", "label", F.round(F.col("p"), 12).alias("p"), "prediction")
 

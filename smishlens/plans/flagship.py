@@ -3,9 +3,10 @@
 preprocess (labels, URL join, cleaning) -> seeded stratified split ->
 TF-IDF fitted on the train part -> naive Bayes -> scores of the test part.
 
-The cleaned corpus is checkpointed once (the fit runs several jobs over it and
-the test part is scored from it, so the text is cleaned only once); the split
-is a narrow pass over it with a checkpointed one-row-per-class cut table.
+The cleaned corpus is written once with its messages' term counts (the fit runs
+several jobs over it and the test part is scored from it, so the text is cleaned and
+tokenised only once); the split is a narrow pass over it with a
+one-row-per-class cut table.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 from smishlens.operators.naive_bayes import NaiveBayesModel, fit_naive_bayes
 from smishlens.operators.preprocess import preprocess
 from smishlens.operators.split import assign_split, split_cuts
-from smishlens.operators.tfidf import MAX_FEATURES, TfidfModel, fit_tfidf
+from smishlens.operators.tfidf import ENTRIES, MAX_FEATURES, TfidfModel, fit_tfidf, with_entries
 from smishlens.operators.vocabulary import text_preprocessor
-from smishlens.session import materialize
+from smishlens.session import shared_table
 from smishlens.sources import testdata as D
 
 
@@ -43,14 +44,14 @@ class ClassicRun:
 def prepared_split(messages: DataFrame, threats: DataFrame | None, test_size: float = 0.3, seed: int = 42,
                    lemmas: DataFrame | None = None, stems: DataFrame | None = None,
                    prep: DataFrame | None = None) -> DataFrame:
-    """``prep``: an already preprocessed (and materialised) table to reuse."""
+    """``prep``: an already preprocessed table to reuse (with its term counts, it
+    is not written again)."""
     if prep is None:
         prep = preprocess(messages, threats)
     if lemmas is not None or stems is not None:
-        prep = text_preprocessor(prep, lemmas, stems)
-    # The cleaned corpus is read by the split and by every fit job: clean once.
-    prep = materialize(prep)
-    cuts = materialize(split_cuts(prep, "label", test_size, seed))
+        prep = text_preprocessor(prep.drop(ENTRIES), lemmas, stems)
+    prep = with_entries(prep)
+    cuts = shared_table(split_cuts(prep, "label", test_size, seed), "cuts")
     return assign_split(prep, cuts, "label", seed)
 
 

@@ -1,8 +1,8 @@
 """Spark session helpers.
 
-The library never creates a cluster-level setting that the cluster already
-provides: ``spark.checkpoint.dir`` is read from the session and only filled in
-(with a fresh folder under /tmp) when it is unset, which happens in local tests.
+``spark.checkpoint.dir`` is read from the session. Only a local master may leave it
+unset (tests); a fresh scratch folder is then made. Intermediate tables are Parquet in
+that shared folder, so they outlive executors and need no lineage.
 """
 
 from __future__ import annotations
@@ -69,12 +69,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint in the cluster's shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 _SCRATCH: dict[str, str] = {}
 
 

@@ -141,9 +141,14 @@ def stems(spark: SparkSession, sf_dir: str, words: DataFrame | None = None) -> D
             .select("word", F.regexp_replace("word", "(ing|ed)$", "").alias("stem")))
 
 
-def word_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``(lemmas, stems)`` from one pass over the corpus words."""
-    words = shared_table(corpus_words(spark, sf_dir), "words")
+def word_tables(spark: SparkSession, sf_dir: str, cleaned: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(lemmas, stems)`` over the corpus words, or over those of a cleaned table at hand."""
+    if cleaned is None:
+        words = corpus_words(spark, sf_dir)
+    else:
+        words = cleaned.select(F.explode_outer(T.vectorizer_tokens(F.col("message"))).alias("word")) \
+            .filter(F.col("word").isNotNull()).distinct()
+    words = shared_table(words, "words")
     return lemmas(spark, sf_dir, words), stems(spark, sf_dir, words)
 
 
