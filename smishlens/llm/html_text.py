@@ -11,8 +11,8 @@ prose, are kept with it. The text is the blocks of the kept elements in page ord
 
 Defined cases: a null or empty page, or one without text, gives an empty string; a
 page in which nothing scores gives its article or main element, else its body; unclosed
-and stray tags are mended as browsers do for paragraphs, list items and cells;
-repeated rows and further columns make no difference. Nothing is cut.
+and stray tags are mended as browsers do for paragraphs, list items and cells, and a tag
+with an open quote ends at the next ``>``; repeated rows and further columns make no difference. Nothing is cut.
 """
 
 from __future__ import annotations
