@@ -100,7 +100,10 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the repetition counts and the verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.quality_rules(docs).select("doc_id", "repetition.*")
+    return quality.quality_rules(docs).select(
+        "doc_id", *[f"repetition.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                                "base_failed", "kept")],
+        F.round("repetition.covered_share", 6).alias("covered_share"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -150,5 +153,34 @@ items AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(item_list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n_hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    # the rule's two limits in windows: 8 words for what is covered, 201 for a repeat beyond 200
+    "op10_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM d WHERE len(w) >= 8),
+repeated AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n FROM places)
+  WHERE n > 1),
+inside AS (SELECT DISTINCT doc_id, unnest(range(i, i + 8)) AS p FROM repeated),
+covered AS (
+  SELECT i.doc_id, count(*) AS n_repeat_words, sum(strlen(d.w[i.p])) AS bytes
+  FROM inside i JOIN d USING (doc_id) GROUP BY i.doc_id),
+too_long AS (
+  SELECT DISTINCT doc_id FROM (
+    SELECT doc_id, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 200], ' ')) AS n
+    FROM places WHERE i + 200 <= len(w))
+  WHERE n > 1),
+counted AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(bytes, 0) / greatest(strlen(array_to_string(w, '')), 1) AS share, t.doc_id IS NOT NULL AS is_long
+  FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d) d
+  LEFT JOIN covered USING (doc_id) LEFT JOIN too_long t ON t.doc_id = d.doc_id),
+failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND share <= 0.3 AND NOT is_long AS kept, round(share, 6) AS covered_share
+FROM failed
 """,
 }

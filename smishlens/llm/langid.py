@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smishlens.llm.arrow_text import as_array, chunks, row_sums, text_bytes
+from smishlens.llm.arrow_text import as_array, chunks, release, row_sums, text_bytes
 
 #: Rows of the embedding table, its width, and the n-gram sizes in bytes.
 BUCKETS = 1 << 16
@@ -212,6 +212,7 @@ def predict(text: Column, model: LanguageModel) -> Column:
                 best, top = np.where(known, p.argmax(axis=1), len(model.langs)), np.where(known, p.max(axis=1), 0.0)
             names.append(best)
             scores.append(top)
+        release()
         best = np.concatenate(names) if names else np.zeros(0, np.int64)
         top = np.concatenate(scores) if scores else np.zeros(0)
         lang = pa.array(np.array([*model.langs, UNKNOWN], object)[best], pa.string())

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smishlens.llm.arrow_text import as_array, chunks, row_sums, split_words, text_bytes
+from smishlens.llm.arrow_text import as_array, chunks, release, row_sums, split_words, text_bytes
 
 #: A repeat counts from this many words on.
 MIN_REPEAT_WORDS = 8
@@ -164,6 +164,7 @@ def repetition(text: Column, min_repeat: int = MIN_REPEAT_WORDS, max_covered: fl
     def apply(column: pa.Array) -> pa.Array:
         texts = as_array(column)
         parts = [judge(part, min_repeat, max_covered, max_longest) for _, part in chunks(texts, CHUNK_BYTES)]
+        release()
         return pa.concat_arrays(parts) if parts else judge(texts, min_repeat, max_covered, max_longest)
 
     apply.__annotations__ = {"column": pa.Array, "return": pa.Array}

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows that a sub-bucket of the largest group has, about; most sub-buckets.
-SUB_ROWS = 4096
+SUB_ROWS = 512
 MAX_SUB = 1 << 14
 
 

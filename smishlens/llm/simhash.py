@@ -102,9 +102,14 @@ def _distance(a: str, b: str) -> Column:
 
 
 def _rows(prints: DataFrame, max_bits: int, *more: str) -> DataFrame:
-    """The index and probe rows (segment, value, fp, n, probe) of all fingerprints."""
+    """The index and probe rows (segment, value, fp, n, probe) of all fingerprints.
+
+    A fingerprint makes some forty rows, and a table of fingerprints is few files:
+    it is dealt over the shuffle partitions before."""
+    spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
     def rows(wildcards: bool) -> DataFrame:
-        return prints.select("fp", "n", *more, F.lit(wildcards).alias("probe"),
+        return spread.select("fp", "n", *more, F.lit(wildcards).alias("probe"),
                              F.explode(_keys(F.col("fp"), max_bits, wildcards)).alias("key")) \
             .select("key.segment", "key.value", "fp", "n", *more, "probe")
 
