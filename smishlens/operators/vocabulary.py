@@ -23,10 +23,10 @@ from smishlens.session import shared_table
 
 
 def explode_tokens(df: DataFrame, text_col: str = "message", id_col: str = "msg_id") -> DataFrame:
-    """``(id, other columns, pos, tok)``; a message without tokens keeps one row
-    with NULL."""
+    """``(id, other columns, _row, pos, tok)``; a message without tokens keeps one row
+    with NULL. ``_row`` (a hash of the text) tells rows apart that share an id."""
     others = [c for c in df.columns if c not in (id_col, text_col)]
-    return df.select(id_col, *others,
+    return df.select(id_col, *others, F.xxhash64(text_col).alias("_row"),
                      F.posexplode_outer(T.whitespace_tokens(F.col(text_col))).alias("pos", "tok"))
 
 
@@ -44,13 +44,14 @@ def apply_lookup(tokens: DataFrame, table: DataFrame, value_col: str, tok_col: s
 
 
 def regroup_tokens(tokens: DataFrame, id_col: str = "msg_id", out_col: str = "message") -> DataFrame:
-    """Tokens back to one string per message, in position order; the other
-    columns ride along (equal within a message)."""
-    others = [c for c in tokens.columns if c not in (id_col, "pos", "tok")]
-    ordered = F.array_sort(F.collect_list(F.when(F.col("tok").isNotNull(),
-                                                 F.struct(F.col("pos"), F.col("tok")))))
-    return (tokens.groupBy(id_col)
-            .agg(*[F.first(c).alias(c) for c in others], ordered.alias("_toks"))
+    """Tokens back to one string per message, in position order, with the other
+    columns. Equal rows make one group and are written out again as often as they were."""
+    keys = [c for c in tokens.columns if c not in ("pos", "tok")]
+    others = [c for c in keys if c not in (id_col, "_row")]
+    ordered = F.array_sort(F.collect_set(F.when(F.col("tok").isNotNull(), F.struct(F.col("pos"), F.col("tok")))))
+    copies = F.count_if(F.coalesce("pos", F.lit(0)) == 0).cast("int")
+    grouped = tokens.groupBy(*keys).agg(ordered.alias("_toks"), copies.alias("_copies"))
+    return (grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
             .select(id_col, *others, F.array_join(F.transform("_toks", lambda s: s["tok"]), " ").alias(out_col)))
 
 

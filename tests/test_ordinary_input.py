@@ -10,6 +10,7 @@ from smishlens import session
 from smishlens.operators import augment as G
 from smishlens.operators import metrics as M
 from smishlens.operators.urls import tokenise_urls
+from smishlens.operators.vocabulary import text_preprocessor
 from smishlens.sources import messages as SRC
 from smishlens.sources import testdata as D
 from smishlens.streaming import feeds as ST
@@ -23,6 +24,14 @@ def test_rows_that_share_an_id_keep_their_own_url_flags(spark):
         ["see  URL_SUSPICIOUS ", "see  URL_TRUSTED ", "see  URL_SUSPICIOUS ", " URL_TRUSTED   URL_SUSPICIOUS ", "plain"])
 
 
+def test_rows_that_share_an_id_keep_their_own_tokens(spark):
+    stems = spark.createDataFrame([("going", "go")], "word string, stem string")
+    rows = [(1, "going home", 0), (1, "not going", 1), (1, "going home", 0), (2, "", 1), (None, "x going", 0)]
+    out = text_preprocessor(spark.createDataFrame(rows, "msg_id long, message string, label int"), stems=stems).collect()
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, [
+        (1, 0, "go home"), (1, 1, "not go"), (1, 0, "go home"), (2, 1, ""), (None, 0, "x go")]))
+
+
 def test_attempts_take_ranked_candidates(spark):
     tr = spark.createDataFrame(
         [("es", "en", "hola", "hello"), ("es", "en", "hola", "hi"), ("en", "es", "hello", "a"), ("en", "es", "hi", "b"),
