@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
+import sys
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -65,6 +68,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="smishlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -79,17 +83,20 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
         _SCRATCH[app] = f"{ensure_checkpoint_dir(spark)}/smishlens-{uuid.uuid4().hex[:12]}"
-        atexit.register(_drop_folder, spark, _SCRATCH[app])
+        atexit.register(_drop_folder, _SCRATCH[app])
     return f"{_SCRATCH[app]}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
+def _drop_folder(path: str) -> None:
+    """Delete a folder of any Hadoop store; the session may have been stopped before."""
+    jvm = SparkContext._jvm
+    if jvm is None:
+        return
     try:
-        jvm = spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session has ended already: nothing is left to ask
-        return
+        target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+    except Exception as problem:  # at the very end of the driver: leave a word, not a traceback
+        print(f"could not delete {path}: {type(problem).__name__}", file=sys.stderr)
 
 
 def shared_table(df, name: str):
