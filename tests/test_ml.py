@@ -12,7 +12,8 @@ from smishlens.plans import solver_checks as CK
 
 def _data(spark):
     rows = [(i, float(i % 2), Vectors.dense([1.0 if i % 2 else 0.0, (i % 7) / 7.0])) for i in range(60)]
-    return spark.createDataFrame(rows, ["msg_id", "label", "features"])
+    # one partition: an iteration of a solver is one small task
+    return spark.createDataFrame(rows, ["msg_id", "label", "features"]).coalesce(1)
 
 
 def test_registry_and_platt(spark):
@@ -78,7 +79,7 @@ def test_stage_defaults(spark):
 def _texts(spark, n=48):
     rows = [(i, ("win free prize now" if i % 3 == 0 else "see you at lunch") + f" n{i % 7}", float(i % 3 == 0))
             for i in range(n)]
-    return spark.createDataFrame(rows, "msg_id long, message string, label double")
+    return spark.createDataFrame(rows, "msg_id long, message string, label double").coalesce(1)
 
 
 def test_naive_bayes_prior_is_unsmoothed(spark):
