@@ -182,8 +182,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int =
             embeddings[index] -= np.outer(share * np.sqrt(len(index)), back)
             step += 1
     table = np.vstack([embeddings @ out, np.zeros((1, len(langs)))]).astype(np.float32)
-    model = LanguageModel(langs, table, bias)
-    return calibrate(model, [bags[i] for i in sorted(held)] or bags, number)
+    model = calibrate(LanguageModel(langs, table, bias), [bags[i] for i in sorted(held)] or bags, number)
+    del bags, embeddings  # the sample is tens of MB of the driver's memory
+    release()
+    return model
 
 
 def calibrate(model: LanguageModel, bags: list[tuple], number: dict[str, int]) -> LanguageModel:
