@@ -8,13 +8,13 @@ has n / (N + d), and d / (N + d) escapes to the next shorter context
 the empty context is shared evenly by the symbols left. Contexts do not cross the
 start of a text, which is a context symbol of its own.
 
-As the model is fixed while it scores, every context's probabilities are worked
-out once on the driver. Every (context, symbol) of the whole training corpus is
-counted by Spark. A context is in the trie when it holds at least one in
-``CONTEXTS`` of all symbols, so each order has ``CONTEXTS`` contexts at most,
-whatever the corpus, and the broadcast model has a proven bound
-(``ORDER * CONTEXTS`` rows of 258 floats). A rarer context counts through its
-shorter ones.
+Every (context, symbol) of the whole training corpus is counted by Spark, and every
+context counts. Those that hold at least one in ``CONTEXTS`` of all symbols,
+so ``CONTEXTS`` of each order at most, are in a broadcast trie (``ORDER * CONTEXTS``
+rows of 258 floats) with probabilities worked out once on the driver. A symbol after
+any other context is looked up exactly: the distinct (context, symbol) of a batch
+of documents are joined with the counts, order by order until the symbol is found,
+and come back to their batch. A context outside the trie is rare, so it is no hot key.
 
 The base score is a unigram model over words (A-Z lower-cased, an end token per
 text) with add-one smoothing over all training tokens. Words that hold at least
@@ -29,8 +29,10 @@ unknown; repeated rows are scored one by one; further columns are ignored.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +40,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
-from smishlens.llm.arrow_text import chunks, row_sums, split_words, text_bytes
-from smishlens.session import shared_table
+from smishlens.llm.arrow_text import chunks, release, row_sums, split_words, text_bytes
+from smishlens.session import _drop_folder, shared_table
 
 #: Longest context in bytes, contexts per order, words in the broadcast table.
 ORDER = 5
@@ -53,6 +57,9 @@ BITS = 9  # a context symbol: 0 for the start of the text, else byte + 1
 COUNT_BYTES = 4 << 20
 MERGE_GRAMS = 2_000_000
 SCORE_BYTES = 1 << 18
+#: Text of the documents that ask for a (context, symbol) together, and (context, symbol) per row.
+BATCH_BYTES = 32 << 20
+LISTED = 100_000
 WORD_BYTES = 4 << 20
 
 
@@ -72,6 +79,22 @@ def padded(data: np.ndarray, bounds: np.ndarray, order: int) -> tuple[np.ndarray
     return context, symbol, new
 
 
+def gram_keys(context: np.ndarray, symbol: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """The (context, symbol) keys at some places of a :func:`padded` layout."""
+    key = symbol[at].astype(np.int64)
+    for j in range(1, order + 1):
+        key |= context[at - j].astype(np.int64) << (BITS * j)
+    return key
+
+
+def packed(data: np.ndarray) -> bytes:
+    return pa.compress(data.tobytes(), codec="zstd", asbytes=True) if len(data) else b""
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, decompressed_size=size, codec="zstd"), np.uint8) if size else np.zeros(0, np.uint8)
+
+
 def count_grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (context, symbol) keys of the texts and their counts. A key is the symbol
     with the context symbols above it, the last byte lowest."""
@@ -90,8 +113,8 @@ def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
     return total["key"].to_numpy(), total["n_sum"].to_numpy()
 
 
-def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, DataFrame]:
-    """(word, n) and (gram, n) over all texts. Both come from one pass; a task adds
+def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, DataFrame, str]:
+    """(word, n) and (gram, n) over all texts, and the folder that the second is read from. Both come from one pass; a task adds
     up its own grams, as long as they are few, before it sends them on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def grams(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -116,9 +139,10 @@ def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, Da
 
     # the partial counts are written once: words and grams are then added up apart
     partial = shared_table(docs.select(text).mapInArrow(run, "word string, gram long, n long"), "partial_counts")
+    files = partial.inputFiles()
     words, grams = partial.filter("word is not null"), partial.filter("gram is not null")
     return (shared_table(words.groupBy("word").agg(F.sum("n").alias("n")), "word_counts"),
-            grams.groupBy("gram").agg(F.sum("n").alias("n")))
+            grams.groupBy("gram").agg(F.sum("n").alias("n")), os.path.dirname(files[0]) if files else "")
 
 
 @dataclass
@@ -134,6 +158,11 @@ class ByteTrie:
 
     def score(self, texts: pa.Array) -> np.ndarray:
         """log10 probability of every text, its end included."""
+        return self.score_known(texts)[0]
+
+    def score_known(self, texts: pa.Array, known_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of every text; the (context, symbol) keys of the symbols whose longest context is
+        not in the trie, and a mark for each symbol of the texts that has one (``known_only``: these add nothing)."""
         context, symbol, bounds = padded(*text_bytes(texts), self.order)
         code = self.context_class[context]
         state = np.zeros(len(symbol), np.int32)
@@ -145,7 +174,10 @@ class ByteTrie:
         width = self.logs.shape[1]
         value = self.logs.ravel()[state.astype(np.int64) * width + self.symbol_class[symbol]]
         value[symbol < 0] = 0
-        return row_sums(value, bounds)
+        open_ = (node == 0) & (symbol >= 0)
+        if known_only:
+            value[open_] = 0
+        return row_sums(value, bounds), gram_keys(context, symbol, np.flatnonzero(open_), self.order), open_[symbol >= 0]
 
 
 def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], order: int) -> ByteTrie:
@@ -198,37 +230,97 @@ def _logs(counts: list[np.ndarray]) -> np.ndarray:
     return np.log10(np.maximum(p, 1e-300))
 
 
-def fit_trie(grams: DataFrame, order: int, contexts: int) -> tuple[ByteTrie, int]:
-    """The trie from the counted grams, and the number of training texts."""
+def fit_trie(grams: DataFrame, order: int, contexts: int) -> tuple[ByteTrie, int, list[DataFrame]]:
+    """The trie from the counted grams, the number of training texts, and per order the
+    counts of the contexts that lookups need: (context, total, pairs of symbol and n)."""
     levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    tables: list[DataFrame] = []
     n_symbols = n_texts = 0
     # from the longest contexts down: each order's table is added up from the one before
     for k in range(order, -1, -1):
         if k < order:
             mask = (1 << (BITS * (k + 1))) - 1
-            grams = grams.select(F.col("gram").bitwiseAND(F.lit(mask).cast("long")).alias("gram"), "n") \
-                .groupBy("gram").agg(F.sum("n").alias("n"))
-        grams = shared_table(grams, f"grams_{k}")
-        if k == order:
-            n_symbols = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+            grams = tables[-1].select("context", F.explode("pairs").alias("of")).select(
+                F.shiftleft("context", BITS).bitwiseOR(F.col("of.symbol")).bitwiseAND(F.lit(mask).cast("long")).alias("gram"),
+                F.col("of.n").alias("n")).groupBy("gram").agg(F.sum("n").alias("n"))
         pairs = grams.select(F.shiftright("gram", BITS).alias("context"), F.col("gram").bitwiseAND(F.lit(511)).alias("symbol"), "n")
         # a context has 257 symbols at most; the kept contexts are ``contexts`` at most
-        known = pairs.groupBy("context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("pairs")) \
-            .filter(F.col("total") * contexts >= n_symbols).select("context", F.explode("pairs").alias("of")) \
+        tables.append(shared_table(pairs.groupBy("context").agg(
+            F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("pairs")), f"contexts_{k}"))
+        if k == order:
+            n_symbols = tables[0].agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+        known = tables[-1].filter(F.col("total") * contexts >= n_symbols).select("context", F.explode("pairs").alias("of")) \
             .select("context", F.col("of.symbol").alias("symbol"), F.col("of.n").alias("n")).toArrow()
         levels.append(tuple(known[c].to_numpy() for c in ("context", "symbol", "n")))
+    tables[0] = tables[0].filter(F.col("total") * contexts < n_symbols)
+    tables.reverse()
     levels.reverse()
     ends = levels[0][1] == END
     n_texts = int(levels[0][2][ends].sum())
-    return build(levels, order), n_texts
+    return build(levels, order), n_texts, tables
+
+
+def look_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """(batch, gram, score): the log10 probability of every gram of ``asked`` (batch, gram), whose
+    contexts of the highest order are not in the trie."""
+    rest = asked.groupBy("gram").agg(F.collect_list("batch").alias("batches")) \
+        .withColumns({"score": F.lit(0.0), "seen": F.array().cast("array<long>")})
+    answers = []
+    for k in range(len(tables) - 1, -1, -1):
+        mask = (1 << (BITS * (k + 1))) - 1
+        # 257 contexts at most of order 1
+        table = F.broadcast(tables[k]) if k < 2 else tables[k]
+        rest = rest.withColumn("context", F.shiftright(F.col("gram").bitwiseAND(F.lit(mask).cast("long")), BITS)) \
+            .join(table, "context", "left")
+        # what longer contexts have seen is left out; ``seen`` is a part of this context's symbols
+        rest = rest.withColumns({
+            "n": F.expr("get(filter(pairs, x -> x.symbol = (gram & 511)), 0).n"),
+            "own": F.expr("if(size(seen) = 0, total, aggregate(pairs, 0L, (a, x) -> a + if(array_contains(seen, x.symbol), 0L, x.n)))"),
+            "left": F.expr(f"if(size(pairs) = {SYMBOLS}, 0, size(pairs) - size(seen))")})
+        rest = rest.select(
+            "gram", "batches", F.col("n").isNotNull().alias("found"),
+            F.expr("score + case when n is not null then log10(n / (own + left)) "
+                   "when own > 0 then log10(left / (own + left)) else 0 end").alias("score"),
+            F.expr("case when n is null then coalesce(pairs.symbol, seen) end").alias("seen"))
+        rest = shared_table(rest, f"asked_{k}")
+        answers.append(rest.filter("found").select("gram", "batches", "score"))
+        rest = rest.filter("not found").drop("found")
+    # a symbol seen nowhere
+    answers.append(rest.select("gram", "batches", (F.col("score") - F.log10(F.lit(float(SYMBOLS)) - F.size("seen"))).alias("score")))
+    return reduce(DataFrame.unionByName, answers).select(F.explode("batches").alias("batch"), "gram", "score")
+
+
+def add_answers(texts: pa.Table, found: pa.Table, order: int) -> pa.Table:
+    """(row, looked_up): what the looked-up grams of one batch add to the score of every text."""
+    grams = found["gram"].to_numpy()
+    by = np.argsort(grams)
+    grams, values = grams[by], found["score"].to_numpy()[by]
+    rows, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for first, part in zip(texts["row"].to_pylist(), texts["part"]):
+        size = part["sizes"].values.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(size)))
+        n_symbols = int(ends[-1]) + len(size)
+        context, symbol, bounds = padded(unpacked(part["text"].as_py(), int(ends[-1])), ends, order)
+        open_ = np.unpackbits(unpacked(part["marks"].as_py(), (n_symbols + 7) // 8), count=n_symbols) > 0
+        places = np.flatnonzero(symbol >= 0)[open_]
+        coded = pa.array(gram_keys(context, symbol, places, order)).dictionary_encode()
+        value = np.zeros(len(symbol))
+        if len(places):
+            value[places] = values[np.searchsorted(grams, coded.dictionary.to_numpy())][coded.indices.to_numpy()]
+        rows.append(first + np.arange(len(size)))
+        sums.append(row_sums(value, bounds))
+    release()
+    return pa.table({"row": np.concatenate(rows), "looked_up": np.concatenate(sums)})
 
 
 def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: str = "text", order: int = ORDER,
           contexts: int = CONTEXTS, heavy: int = HEAVY) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``."""
     spark = docs.sparkSession
-    words, grams = corpus_counts(training, text, order)
-    trie, n_texts = fit_trie(grams, order, contexts)
+    words, grams, folder = corpus_counts(training, text, order)
+    trie, n_texts, tables = fit_trie(grams, order, contexts)
+    if folder:  # added up by now
+        _drop_folder(folder)
     n_words, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_train = n_words + n_texts
     whole = n_train + n_distinct + (1 if n_texts else 0) + 1
@@ -238,7 +330,19 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_trie, heavy_words, heavy_counts = model.value
         heavy_words = heavy_words.cast(pa.string())
-        row = TaskContext.get().partitionId() << 40
+        row = group = TaskContext.get().partitionId() << 40
+        size, asked = 0, []
+
+        def ask() -> Iterator[pa.RecordBatch]:
+            grams = np.unique(np.concatenate(asked)) if asked else np.zeros(0, np.int64)
+            for first in range(0, len(grams), LISTED):
+                yield table_rows(1, batch=[group], grams=[grams[first:first + LISTED]])
+            asked.clear()
+
+        def table_rows(n: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in layout], schema=layout)
+
         for batch in batches:
             for at, texts in chunks(batch.column(1), WORD_BYTES):
                 n = len(texts)
@@ -258,18 +362,36 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: st
                 owner, rare_code = np.divmod(pair, max(len(base), 1))
                 ends = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
                 listed = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(rare_code)), pa.array(times)], ["word", "times"])
-                scores = [model_trie.score(part) for _, part in chunks(texts, SCORE_BYTES)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row + np.arange(n)), batch.column(0).slice(at, n), pa.array(sizes + 1),
-                     pa.array(row_sums(known, bounds).astype(np.int64)), pa.array(row_sums(base[code], bounds)),
-                     pa.array(np.concatenate(scores)), pa.ListArray.from_arrays(pa.array(ends), listed)],
-                    ["row", "id", "n_tokens", "known", "base", "score", "rare"])
+                text_size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                if size and size + text_size.sum() > BATCH_BYTES:
+                    yield from ask()
+                    group, size = group + 1, 0
+                size += int(text_size.sum())
+                parts = [model_trie.score_known(part, known_only=True) for _, part in chunks(texts, SCORE_BYTES)]
+                asked.append(pc.unique(pa.array(np.concatenate([grams for _, grams, _ in parts]))).to_numpy())
+                marks = np.concatenate([x for _, _, x in parts])
+                part = {"sizes": text_size, "text": packed(text_bytes(texts)[0]), "marks": packed(np.packbits(marks))}
+                yield table_rows(1, batch=[group], row=[row], part=[part])
+                yield table_rows(
+                    n, row=row + np.arange(n), id=batch.column(0).slice(at, n), n_tokens=sizes + 1,
+                    known=row_sums(known, bounds).astype(np.int64), base=row_sums(base[code], bounds),
+                    score=np.concatenate([x for x, _, _ in parts]), rare=pa.ListArray.from_arrays(pa.array(ends), listed))
                 row += n
+        yield from ask()
+        release()
 
+    # a row holds a document's numbers, a chunk of texts (compressed, with the marks of what is looked up), or grams
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     kind = dict(docs.dtypes)[id_col]
-    scored = shared_table(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(
-        run, f"row long, id {kind}, n_tokens long, known long, base double, score double, "
-             "rare array<struct<word: string, times: long>>"), "scored")
+    columns = (f"batch long, row long, id {kind}, n_tokens long, known long, base double, score double, "
+               "rare array<struct<word: string, times: long>>, part struct<sizes: array<long>, text: binary, marks: binary>, grams array<long>")
+    layout = to_arrow_schema(_parse_datatype_string(columns))
+    scored = shared_table(rows.mapInArrow(run, columns), "scored")
+    found = look_up(scored.select("batch", F.explode("grams").alias("gram")), tables)
+    # batches are of like size, each of a bounded text and its distinct grams
+    looked_up = scored.filter("part is not null").select("batch", "row", "part").groupBy("batch").cogroup(found.groupBy("batch")) \
+        .applyInArrow(lambda texts, answers: add_answers(texts, answers, order), "row long, looked_up double")
+    scored = scored.filter("n_tokens is not null").drop("batch", "part", "grams")
     # ``row`` is in the written table, so both readings of it agree
     rare = scored.select("row", F.explode("rare").alias("of")).select("row", "of.word", "of.times")
     rare = rare.join(words, "word", "left").select(
@@ -277,8 +399,9 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: st
         F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known"))
     rare = rare.groupBy("row").agg(F.sum("base").alias("rare_base"), F.sum("known").alias("rare_known"))
     end = float(np.log10((n_texts + 1) / whole))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.drop("rare").join(rare, "row", "left").join(looked_up, "row").select(
         F.col("id").alias(id_col), "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0)) + (1 if n_texts else 0)).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + end).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + end).alias("base_score"),
+        (F.col("score") + F.col("looked_up")).alias("score"))

@@ -142,6 +142,25 @@ def test_ppm_probabilities_sum_to_one_and_match_a_plain_model():
     assert trie.score(pa.array(probes)).tolist() == pytest.approx([plain(t) for t in probes], rel=1e-4)
 
 
+def test_ppm_scores_do_not_depend_on_which_contexts_are_broadcast(spark):
+    order = 3
+    training = ["abracadabra", "abra", "", "banana é", "the cadabra band", "a banana band ran"] * 2
+    docs = training + ["zebra", "band é band", "漢", "ran abracad", None]
+    keys, counts = ppm.count_grams(pa.array(training), order)
+    levels = []
+    for k in range(order + 1):
+        total = Counter()
+        for key, n in zip(keys.tolist(), counts.tolist()):
+            total[(key >> 9) & ((1 << 9 * k) - 1), key & 511] += n
+        levels.append(tuple(np.array(x) for x in zip(*[(c, s, n) for (c, s), n in total.items()])))
+    want = ppm.build(levels, order).score(pa.array(docs, pa.string()))
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(training)], "doc_id long, text string")
+    for contexts in (1, 20, 1 << 17):
+        out = ppm.score(docs, train, order=order, contexts=contexts).orderBy("doc_id").collect()
+        assert [r["score"] for r in out] == pytest.approx(want.tolist(), rel=1e-4)
+
+
 def test_ppm_without_training(spark):
     docs = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
     r = ppm.score(docs, docs.limit(0)).first()
