@@ -6,8 +6,10 @@ hold. Runs of inline content are blocks. A block of some length is a paragraph a
 passes points (one, one per comma, one per hundred characters up to three) to its
 ancestors, each level getting a smaller part. An element's total is its points
 and a bonus for what it is called, discounted by the share of its text inside
-links. The best element is the container; siblings that score well, or read like
-prose, are kept with it. The text is the blocks of the kept elements in page order.
+links. The best element, widened to the article around it (the nearest article element, else
+main element, else element called an article), is the container, and all that lives in it
+is kept. Siblings that score well, or read like prose, are kept with it, and so are headings and,
+inside an element of their own, sections, lists, tables and short paragraphs. The text is the blocks of the kept elements in page order.
 
 Defined cases: a null or empty page, or one without text, gives an empty string; a
 page in which nothing scores gives its article or main element, else its body; unclosed
@@ -43,6 +45,10 @@ _DEAD_WORDS = frozenset(
     "pagination popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup "
     "skip social sponsor sponsored subscribe toolbar widget".split())
 _GOOD_WORDS = frozenset("article body content entry main page post story text".split())
+#: An element so called is an article when there is no article or main element around.
+_ARTICLE_WORDS = frozenset("article entry post story".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_FLOW = frozenset("p section ul ol dl table pre blockquote figure".split())
 _PARAGRAPHS = frozenset("p li td th pre blockquote dd dt h1 h2 h3 h4 h5 h6 figcaption caption summary".split())
 #: An element that opens ends an open element of these.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -219,12 +225,23 @@ def extract(page: str) -> str:
         named = [i for i in range(1, n) if name[i] in ("article", "main") and not dead[i]]
         kept = [(named[0], end[named[0]])] if named else [(0, n)]
     else:
+        around = [best]
+        while parent[around[-1]] > 0:
+            around.append(parent[around[-1]])
+        around = [i for i in around if name[i] not in ("body", "html")]
+        for fits in (lambda i: name[i] == "article", lambda i: name[i] == "main", lambda i: words[i] & _ARTICLE_WORDS):
+            wider = next((i for i in around if fits(i)), 0)
+            if wider:
+                best = wider
+                break
         kept, up = [(best, end[best])], parent[best]
+        own = up > 0 and name[up] not in ("body", "html") and not wider
         for i in range(1, n):
             if parent[i] == up and i != best and not dead[i] and name[i] not in _INLINE and name[i] != "#text":
                 density = linked[i] / max(chars[i], 1)
                 prose = name[i] == "p" and density < 0.25 and chars[i] > 80
-                if prose or total(i) >= max(10.0, 0.2 * most):
+                flow = not wider and name[i] in _HEADINGS or own and name[i] in _FLOW
+                if prose or flow and density < 0.25 or total(i) >= max(10.0, 0.2 * most):
                     kept.append((i, end[i]))
     # a list that is nearly all links is a menu
     menus = [(i, end[i]) for i in range(1, n)

@@ -168,6 +168,21 @@ def test_ppm_without_training(spark):
     assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (2, 0, 0, 0.0)
 
 
+def test_html_keeps_the_whole_article_around_its_best_element():
+    prose = "".join(f"<p>Paragraph {i}, with words, commas, and some length to it, {'so that it scores ' * 12}.</p>" for i in range(12))
+    for tag, attributes in (("article", ""), ("main", ""), ("div", ' class="post"'), ("div", "")):
+        page = (f"<body><nav><a href=x>Home</a></nav><{tag}{attributes}><h1>Title</h1><div class=body>{prose}</div><h2>Notes</h2>"
+                f"<ul><li>first</li><li>second</li></ul><p>The end.</p></{tag}><footer>imprint</footer></body>")
+        text = html_text.extract(page).split("\n\n")
+        assert text[0] == "Title" and text[-4:] == ["Notes", "first", "second", "The end."] and len(text) == 17
+        page = (f"<body><{tag}{attributes}><h1>Title</h1><section>{prose}</section><section><h2>Short</h2><p>One sentence here.</p></section>"
+                f"<aside>More</aside></{tag}><div class=footer>imprint</div></body>")
+        text = html_text.extract(page).split("\n\n")
+        assert text[0] == "Title" and text[-2:] == ["Short", "One sentence here."] and len(text) == 15
+    page = f"<body><h1>Title</h1><div>{prose}</div><p>imprint</p><div class=sidebar><h2>Links</h2></div></body>"
+    assert html_text.extract(page).startswith("Title\n\nParagraph 0") and "imprint" not in html_text.extract(page)
+
+
 def test_hypergeometric_sampler_beyond_numpy(monkeypatch):
     rng = np.random.default_rng(1)
     monkeypatch.setattr(sharding, "NUMPY_LIMIT", 0)
