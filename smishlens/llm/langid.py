@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smishlens.llm.arrow_text import as_array, chunks, release, row_sums, text_bytes
+from smishlens.session import shared_table
 
 #: Rows of the embedding table, its width, and the n-gram sizes in bytes.
 BUCKETS = 1 << 16
@@ -129,18 +130,31 @@ def _bags(docs: DataFrame, text: str, lang: str, buckets: int) -> DataFrame:
 
 
 def sample(docs: DataFrame, text: str, lang: str, per_lang: int, rows: int, buckets: int) -> list[tuple]:
-    """A bounded sample of labelled rows as (lang, subword rows, counts), about
-    ``per_lang`` of each language and ``rows`` at most in all, chosen by a hash of the text."""
-    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    """A bounded sample of labelled rows as (lang, subword rows, counts): of each language
+    the first ``per_lang`` distinct texts by hash, fewer when there are many languages so that
+    it is ``rows`` at most in all (one of each at least)."""
+    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")) \
+        .filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}")) \
+        .withColumn("hash", F.xxhash64("text", "lang"))
+    # copies of a text count once
+    hashes = shared_table(labelled.select("lang", "hash").distinct(), "text_hashes")
+    sizes = {r["lang"]: r["n"] for r in hashes.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return []
     per_lang = min(per_lang, max(1, rows // len(sizes)))
-    scale = 1 << 30
-    share = F.lit(0)
-    for value, n in sizes.items():
-        share = F.when(F.col("lang") == value, min(scale, scale * per_lang // n + 1)).otherwise(share)
-    chosen = labelled.filter(F.pmod(F.xxhash64("text", "lang"), F.lit(scale)) < share).distinct().limit(rows)
+
+    def up_to(table: DataFrame, limits: dict[str, int]) -> DataFrame:
+        """The rows whose hash is not above the limit of their language."""
+        limit = docs.sparkSession.createDataFrame(list(limits.items()), "lang string, upto long")
+        return table.join(F.broadcast(limit), "lang").filter("hash <= upto").drop("upto")
+
+    # so many hashes as are sure to hold the first ``per_lang``, then the last of these
+    enough = 3 * per_lang // 2 + 50
+    near = up_to(hashes, {value: min((1 << 63) - 1, (enough << 64) // n - (1 << 63)) for value, n in sizes.items()}).toArrow()
+    first: dict[str, list[int]] = {}
+    for value, h in sorted(zip(near["lang"].to_pylist(), near["hash"].to_pylist())):
+        first.setdefault(value, []).append(h)
+    chosen = up_to(labelled, {value: h[:per_lang][-1] for value, h in first.items()}).select("text", "lang").distinct()
     found = _bags(chosen, "text", "lang", buckets).toArrow()
     out = [(value.as_py(), r.values.to_numpy(), c.values.to_numpy())
            for value, r, c in zip(found["lang"], found["rows"], found["counts"])]

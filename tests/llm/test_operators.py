@@ -183,6 +183,17 @@ def test_html_keeps_the_whole_article_around_its_best_element():
     assert html_text.extract(page).startswith("Title\n\nParagraph 0") and "imprint" not in html_text.extract(page)
 
 
+def test_language_sample_counts_copies_once(spark):
+    rows = [("en", f"english text {i}") for i in range(900)] + [("de", "ein kopierter Text")] * 3000 \
+        + [("de", f"deutscher Text {i}") for i in range(40)] + [("no", str(i)) for i in range(500)] + [("no", "norsk tekst")]
+    docs = spark.createDataFrame([(t, v) for v, t in rows], "text string, lang string").repartition(5)
+    for per_lang, limit, want in ((100, 4000, {"en": 100, "de": 41, "no": 1}), (100, 90, {"en": 30, "de": 30, "no": 1})):
+        bags = langid.sample(docs, "text", "lang", per_lang, limit, 1 << 12)
+        assert Counter(value for value, _, _ in bags) == want
+    again = langid.sample(docs.repartition(3), "text", "lang", 100, 90, 1 << 12)
+    assert [(v, r.tolist()) for v, r, _ in again] == [(v, r.tolist()) for v, r, _ in bags]
+
+
 def test_hypergeometric_sampler_beyond_numpy(monkeypatch):
     rng = np.random.default_rng(1)
     monkeypatch.setattr(sharding, "NUMPY_LIMIT", 0)
