@@ -10,11 +10,13 @@ start of a text, which is a context symbol of its own.
 
 Every (context, symbol) of the whole training corpus is counted by Spark, and every
 context counts. Those that hold at least one in ``CONTEXTS`` of all symbols,
-so ``CONTEXTS`` of each order at most, are in a broadcast trie (``ORDER * CONTEXTS``
-rows of 258 floats) with probabilities worked out once on the driver. A symbol after
-any other context is looked up exactly: the distinct (context, symbol) of a batch
-of documents are joined with the counts, order by order until the symbol is found,
-and come back to their batch. A context outside the trie is rare, so it is no hot key.
+so ``CONTEXTS`` of each order at most, are in a broadcast trie with probabilities
+worked out once on the driver. Its size is known from counts before any of it is
+collected; where it would pass ``TRIE_BYTES``, the share that a context must hold is
+doubled until it does not. A symbol after any other context is looked up exactly: the
+distinct (context, symbol) of all documents are joined with the counts, order by order
+until the symbol is found, and then with the batches of documents that ask for them.
+A context outside the trie is rare, so it is no hot key.
 
 The base score is a unigram model over words (A-Z lower-cased, an end token per
 text) with add-one smoothing over all training tokens. Words that hold at least
@@ -49,13 +51,17 @@ from smishlens.session import _drop_folder, shared_table
 #: Longest context in bytes, contexts per order, words in the broadcast table.
 ORDER = 5
 CONTEXTS = 1 << 17
+#: Bytes of the broadcast trie at most.
+TRIE_BYTES = 64 << 20
 HEAVY = 1 << 21
 
 SYMBOLS = 257  # bytes and the end of the text
 END = 256
 BITS = 9  # a context symbol: 0 for the start of the text, else byte + 1
-COUNT_BYTES = 4 << 20
-MERGE_GRAMS = 2_000_000
+#: Text counted at a time; grams that a task gathers before it adds them up, and keeps after that.
+COUNT_BYTES = 1 << 20
+MERGE_GRAMS = 600_000
+KEEP_GRAMS = 1_000_000
 SCORE_BYTES = 1 << 18
 #: Text of the documents that ask for a (context, symbol) together, and (context, symbol) per row.
 BATCH_BYTES = 32 << 20
@@ -102,15 +108,19 @@ def count_grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     key = symbol.astype(np.int64)
     for j in range(1, order + 1):
         key[j:] |= context[:-j].astype(np.int64) << (BITS * j)
-    found = pc.value_counts(pa.array(key[symbol >= 0]))
-    return found.field("values").to_numpy(), found.field("counts").to_numpy()
+    key = key[symbol >= 0]
+    key.sort()
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[:len(key)])
+    return key[first], np.diff(np.append(first, len(key)))
 
 
 def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of distinct keys over all parts."""
-    table = pa.table({"key": np.concatenate([k for k, _ in parts]), "n": np.concatenate([n for _, n in parts])})
-    total = table.group_by("key").aggregate([("n", "sum")])
-    return total["key"].to_numpy(), total["n_sum"].to_numpy()
+    """Counts of distinct keys over all parts, by key."""
+    key, n = (np.concatenate(x) for x in zip(*parts))
+    by = np.argsort(key)
+    key, n = key[by], n[by]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[:len(key)])
+    return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, DataFrame, str]:
@@ -122,6 +132,7 @@ def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, Da
                                               ["word", "gram", "n"])
 
         own: list[tuple[np.ndarray, np.ndarray]] = []
+        gathered = 0  # grams in ``own`` since it was last added up
         for batch in batches:
             for _, texts in chunks(batch.column(0), COUNT_BYTES):
                 words = pc.value_counts(split_words(texts, lower=True)[1])
@@ -130,10 +141,12 @@ def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, Da
                     [words.field("values").cast(pa.string()), pa.nulls(n, pa.int64()), words.field("counts")],
                     ["word", "gram", "n"])
                 own.append(count_grams(texts, order))
-                if sum(len(k) for k, _ in own) > MERGE_GRAMS:
-                    own = [merge_counts(own)]
-                    if len(own[0][0]) > MERGE_GRAMS // 2:
+                gathered += len(own[-1][0])
+                if gathered > MERGE_GRAMS:
+                    own, gathered = [merge_counts(own)], 0
+                    if len(own[0][0]) > KEEP_GRAMS:
                         yield grams(*own.pop())
+                release()
         if own:
             yield grams(*merge_counts(own))
 
@@ -230,12 +243,20 @@ def _logs(counts: list[np.ndarray]) -> np.ndarray:
     return np.log10(np.maximum(p, 1e-300))
 
 
-def fit_trie(grams: DataFrame, order: int, contexts: int) -> tuple[ByteTrie, int, list[DataFrame]]:
+def contexts_that_fit(tables: list[DataFrame], n_symbols: int, contexts: int, trie_bytes: int) -> int:
+    """``contexts``, or the largest of its halves, quarters .. with which the trie has ``trie_bytes`` at most."""
+    choices = [contexts >> i for i in range(contexts.bit_length())]
+    kept = [F.sum((F.col("total") >= -(-n_symbols // c)).cast("long")).alias(f"n{c}") for c in choices]
+    sizes = reduce(DataFrame.unionByName, [t.select("total") for t in tables]).agg(*kept).first()
+    seen = tables[0].select(F.explode("pairs.symbol").alias("symbol")).distinct().count()
+    row = 4 * (2 * seen + 3)  # its probabilities, and its children
+    return next((c for c in choices if (sizes[f"n{c}"] or 0) * row <= trie_bytes), choices[-1])
+
+
+def fit_trie(grams: DataFrame, order: int, contexts: int, trie_bytes: int = TRIE_BYTES) -> tuple[ByteTrie, int, list[DataFrame]]:
     """The trie from the counted grams, the number of training texts, and per order the
     counts of the contexts that lookups need: (context, total, pairs of symbol and n)."""
-    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     tables: list[DataFrame] = []
-    n_symbols = n_texts = 0
     # from the longest contexts down: each order's table is added up from the one before
     for k in range(order, -1, -1):
         if k < order:
@@ -244,27 +265,27 @@ def fit_trie(grams: DataFrame, order: int, contexts: int) -> tuple[ByteTrie, int
                 F.shiftleft("context", BITS).bitwiseOR(F.col("of.symbol")).bitwiseAND(F.lit(mask).cast("long")).alias("gram"),
                 F.col("of.n").alias("n")).groupBy("gram").agg(F.sum("n").alias("n"))
         pairs = grams.select(F.shiftright("gram", BITS).alias("context"), F.col("gram").bitwiseAND(F.lit(511)).alias("symbol"), "n")
-        # a context has 257 symbols at most; the kept contexts are ``contexts`` at most
+        # a context has 257 symbols at most
         tables.append(shared_table(pairs.groupBy("context").agg(
             F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("pairs")), f"contexts_{k}"))
-        if k == order:
-            n_symbols = tables[0].agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-        known = tables[-1].filter(F.col("total") * contexts >= n_symbols).select("context", F.explode("pairs").alias("of")) \
+    tables.reverse()
+    n_symbols = tables[0].agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    least = -(-n_symbols // contexts_that_fit(tables, n_symbols, contexts, trie_bytes))
+    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for table in tables:
+        known = table.filter(F.col("total") >= least).select("context", F.explode("pairs").alias("of")) \
             .select("context", F.col("of.symbol").alias("symbol"), F.col("of.n").alias("n")).toArrow()
         levels.append(tuple(known[c].to_numpy() for c in ("context", "symbol", "n")))
-    tables[0] = tables[0].filter(F.col("total") * contexts < n_symbols)
-    tables.reverse()
-    levels.reverse()
+    tables[-1] = tables[-1].filter(F.col("total") < least)
     ends = levels[0][1] == END
     n_texts = int(levels[0][2][ends].sum())
     return build(levels, order), n_texts, tables
 
 
 def look_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
-    """(batch, gram, score): the log10 probability of every gram of ``asked`` (batch, gram), whose
-    contexts of the highest order are not in the trie."""
-    rest = asked.groupBy("gram").agg(F.collect_list("batch").alias("batches")) \
-        .withColumns({"score": F.lit(0.0), "seen": F.array().cast("array<long>")})
+    """``asked`` (asking batch, gram) with ``score``: the log10 probability of every gram, whose
+    contexts of the highest order are not in the trie. Each gram is looked up once, whoever asks."""
+    rest = asked.select("gram").distinct().withColumns({"score": F.lit(0.0), "seen": F.array().cast("array<long>")})
     answers = []
     for k in range(len(tables) - 1, -1, -1):
         mask = (1 << (BITS * (k + 1))) - 1
@@ -278,16 +299,16 @@ def look_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
             "own": F.expr("if(size(seen) = 0, total, aggregate(pairs, 0L, (a, x) -> a + if(array_contains(seen, x.symbol), 0L, x.n)))"),
             "left": F.expr(f"if(size(pairs) = {SYMBOLS}, 0, size(pairs) - size(seen))")})
         rest = rest.select(
-            "gram", "batches", F.col("n").isNotNull().alias("found"),
+            "gram", F.col("n").isNotNull().alias("found"),
             F.expr("score + case when n is not null then log10(n / (own + left)) "
                    "when own > 0 then log10(left / (own + left)) else 0 end").alias("score"),
             F.expr("case when n is null then coalesce(pairs.symbol, seen) end").alias("seen"))
         rest = shared_table(rest, f"asked_{k}")
-        answers.append(rest.filter("found").select("gram", "batches", "score"))
+        answers.append(rest.filter("found").select("gram", "score"))
         rest = rest.filter("not found").drop("found")
     # a symbol seen nowhere
-    answers.append(rest.select("gram", "batches", (F.col("score") - F.log10(F.lit(float(SYMBOLS)) - F.size("seen"))).alias("score")))
-    return reduce(DataFrame.unionByName, answers).select(F.explode("batches").alias("batch"), "gram", "score")
+    answers.append(rest.select("gram", (F.col("score") - F.log10(F.lit(float(SYMBOLS)) - F.size("seen"))).alias("score")))
+    return asked.join(reduce(DataFrame.unionByName, answers), "gram").select("asking", "gram", "score")
 
 
 def add_answers(texts: pa.Table, found: pa.Table, order: int) -> pa.Table:
@@ -387,9 +408,9 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: st
                "rare array<struct<word: string, times: long>>, part struct<sizes: array<long>, text: binary, marks: binary>, grams array<long>")
     layout = to_arrow_schema(_parse_datatype_string(columns))
     scored = shared_table(rows.mapInArrow(run, columns), "scored")
-    found = look_up(scored.select("batch", F.explode("grams").alias("gram")), tables)
+    found = look_up(scored.select(F.col("batch").alias("asking"), F.explode("grams").alias("gram")), tables)
     # batches are of like size, each of a bounded text and its distinct grams
-    looked_up = scored.filter("part is not null").select("batch", "row", "part").groupBy("batch").cogroup(found.groupBy("batch")) \
+    looked_up = scored.filter("part is not null").select("batch", "row", "part").groupBy("batch").cogroup(found.groupBy("asking")) \
         .applyInArrow(lambda texts, answers: add_answers(texts, answers, order), "row long, looked_up double")
     scored = scored.filter("n_tokens is not null").drop("batch", "part", "grams")
     # ``row`` is in the written table, so both readings of it agree
