@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smishlens.llm import chat, decontaminate, html_text, langid, packing, ppm, quality, sharding, simhash, token_files
+from smishlens.llm import (
+    chat, collocations, decontaminate, html_text, langid, packing, ppm, quality, sharding, simhash, token_files)
 from smishlens.llm.tokens import vocabulary_path
 
 
@@ -106,9 +107,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("repetition.covered_share", 6).alias("covered_share"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of two and three words of every language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_formatting, op3_lm_scoring, op4_sharding, op5_packing, op6_token_files,
-    op7_html_extraction, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules)}
+    op7_html_extraction, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules,
+    op11_phrase_collocations)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": r"""
@@ -182,5 +189,32 @@ failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND share <= 0.3 AND NOT is_long AS kept, round(share, 6) AS covered_share
 FROM failed
+""",
+    "op11_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, w[i:i + k - 1] AS words, count(*) AS a FROM places GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cuts AS (
+  SELECT p.lang, p.k, p.words, p.a, c.cut, x.a AS l, y.a AS r,
+    CAST((1000000::HUGEINT * p.a * p.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM f p JOIN (VALUES (1), (2)) AS c(cut) ON c.cut < p.k
+  JOIN f x ON x.lang = p.lang AND x.words = p.words[1:c.cut]
+  JOIN f y ON y.lang = p.lang AND y.words = p.words[c.cut + 1:p.k]
+  WHERE p.a >= 10),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, part, max(a) AS most FROM (
+    SELECT lang, a, words[1:2] AS part FROM f WHERE k = 3 UNION ALL SELECT lang, a, words[2:3] FROM f WHERE k = 3)
+  GROUP BY ALL),
+left_over AS (
+  SELECT b.lang, array_to_string(b.words, ' ') AS phrase, a, l, r, score FROM best b
+  LEFT JOIN longer g ON g.lang = b.lang AND g.part = b.words WHERE most IS NULL OR most < 10 OR 100 * most < 50 * a)
+SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM left_over o JOIN sizes s ON s.lang = o.lang QUALIFY rank <= 2000
 """,
 }
