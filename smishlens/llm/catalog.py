@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smishlens.llm import (
-    chat, collocations, decontaminate, html_text, langid, packing, ppm, quality, sharding, simhash, token_files)
+    chat, collocations, decontaminate, html_text, langid, packing, ppm, prefix_trie, quality, sharding, simhash,
+    token_files)
 from smishlens.llm.tokens import vocabulary_path
 
 
@@ -112,10 +113,16 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    found = prefix_trie.paths(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.nodes(prefix_trie.grafted(found, "conv_id - conv_id % 5", "crc32(cast(conv_id as string)) % 9"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_formatting, op3_lm_scoring, op4_sharding, op5_packing, op6_token_files,
     op7_html_extraction, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules,
-    op11_phrase_collocations)}
+    op11_phrase_collocations, op13_conversation_prefix_trie)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": r"""
@@ -216,5 +223,37 @@ left_over AS (
   LEFT JOIN longer g ON g.lang = b.lang AND g.part = b.words WHERE most IS NULL OR most < 10 OR 100 * most < 50 * a)
 SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM left_over o JOIN sizes s ON s.lang = o.lang QUALIFY rank <= 2000
+""",
+    # crc32 bit by bit: a byte is taken in, then eight halvings (-1) follow
+    "op13_conversation_prefix_trie": r"""
+WITH own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT c, c - c % 5 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+    lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM own)),
+rebuilt AS (
+  SELECT i.c, o.pos AS d, role, text FROM ids i JOIN own o ON o.c = i.base AND o.pos <= i.h
+  UNION ALL
+  SELECT i.c, o.pos - i.h + least(i.h, (SELECT count(*) FROM own b WHERE b.c = i.base)), role, text
+  FROM ids i JOIN own o ON o.c = i.c AND o.pos > i.h),
+members AS (
+  SELECT c, d, string_agg(md5(strlen(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS key, strlen(text) AS bytes FROM rebuilt
+  UNION ALL SELECT c, 0, '', 0 FROM ids),
+node AS (SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM members GROUP BY key, d),
+children AS (SELECT left(key, 32 * (d - 1)) AS key, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+full_node AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM node n LEFT JOIN children c USING (key)),
+above AS (SELECT left(key, 32 * unnest(range(0, d + 1))) AS key, n_children = 0 AS leaf, (n_convs - 1) * bytes AS saved FROM full_node),
+sums AS (SELECT key, CAST(count(*) FILTER (leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM above GROUP BY key),
+tips AS (
+  SELECT key, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS listed
+  FROM (SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY c ORDER BY d DESC) = 1) GROUP BY key)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, CASE WHEN n.d > 0 THEN p.conv_id END AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens,
+  sha256(coalesce(listed, '')) AS ends_sha256
+FROM full_node n JOIN sums USING (key) LEFT JOIN tips USING (key)
+LEFT JOIN node p ON p.key = left(n.key, 32 * (n.d - 1)) AND p.d = n.d - 1
 """,
 }
