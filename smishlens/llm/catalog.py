@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smishlens.llm import (
-    chat, collocations, decontaminate, html_text, langid, packing, ppm, prefix_trie, quality, sharding, simhash,
-    token_files)
+    chat, collocations, decontaminate, html_text, langid, packing, ppm, prefix_trie, quality, secrets, sharding,
+    simhash, token_files)
 from smishlens.llm.tokens import vocabulary_path
 
 
@@ -113,6 +113,17 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and spans."""
+    found = secrets.scan(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+    def count(k: int):
+        return F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k].name}")
+
+    return found.select("doc_id", count(0), count(1), count(2), F.sha2(secrets.listed(secrets.strong(F.col("found"))), 256).alias("base_sha256"),
+                        secrets.listed(F.col("found")).alias("spans"))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of the rebuilt conversations."""
     found = prefix_trie.paths(_table(spark, sf_dir, "conversations"))
@@ -122,7 +133,58 @@ def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_formatting, op3_lm_scoring, op4_sharding, op5_packing, op6_token_files,
     op7_html_extraction, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_rules,
-    op11_phrase_collocations, op13_conversation_prefix_trie)}
+    op11_phrase_collocations, op12_secret_scan, op13_conversation_prefix_trie)}
+
+_SET = r"""["']?\x20*[:=]\x20*["']?"""
+#: Name, pattern, counted group, fewest characters of it, what else it needs.
+_PARTS = (
+    ("assign", "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+     + _SET + "([A-Za-z0-9+/_.=-]+)", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("identifier", "([cC][lL][iI][eE][nN][tT]_?[iI][dD]|[aA][cC][cC][eE][sS][sS]_?[kK][eE][yY]_?[iI][dD]|[aA][cC][cC][oO][uU][nN][tT]|"
+     "[uU][sS][eE][rR]_?[nN][aA][mM][eE]|[uU][sS][eE][rR]|[lL][oO][gG][iI][nN])" + _SET
+     + "([A-Za-z0-9+/_.@-]+)|([A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}([.][A-Za-z0-9-]{1,63})+)", 0, 6),
+    ("secret", "[A-Za-z0-9+/]{32,}={0,2}", 0, 32),
+    ("endpoint", r"""[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D"'<>]+""", 0, 10),
+    ("blank", r"\n[\x20\x09\x0D]*\n", 0, 1),
+)
+
+
+def _matches_sql(k: int) -> str:
+    """All matches of one kind in the texts ``d``: the gap before each, its size, its counted group."""
+    _, pattern, group, _ = _PARTS[k]
+    pattern = pattern.replace("'", "''")
+    return f"""SELECT rid, {k} AS k, unnest(range(1, n + 1)) AS i, unnest(string_split_regex(t, '{pattern}')[1:n]) AS gap, unnest(found) AS found,
+      unnest(regexp_extract_all(t, '{pattern}', {group})) AS counted
+    FROM (SELECT *, len(found) AS n FROM (SELECT rid, t, regexp_extract_all(t, '{pattern}') AS found FROM d)) WHERE n > 0"""
+
+
+_SECRETS_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(_matches_sql(k) for k in range(len(_PARTS)))}),
+kinds(k, name, least) AS (VALUES {", ".join(f"({k}, '{p[0]}', {p[3]})" for k, p in enumerate(_PARTS))}),
+placed AS (SELECT *, sum(length(gap) + length(found)) OVER (PARTITION BY rid, k ORDER BY i) AS e FROM m),
+fit AS (
+  SELECT rid, k, name, CAST(e - length(found) AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM placed JOIN kinds USING (k)
+  WHERE length(counted) >= least AND (k <> 4 OR regexp_matches(counted, '[a-z]') AND regexp_matches(counted, '[A-Z]') AND regexp_matches(counted, '[0-9]'))),
+part AS (
+  SELECT p.*, (SELECT count(*) FROM fit b WHERE b.k = 6 AND b.rid = p.rid AND b.e <= p.s) AS paragraph FROM fit p
+  WHERE k < 3 OR k < 6 AND NOT EXISTS (SELECT 1 FROM fit q WHERE q.rid = p.rid AND q.k < 3 AND q.s < p.e AND p.s < q.e)),
+link AS (
+  SELECT x.rid, x.k AS xk, x.s AS xs, x.e AS xe, o.k AS ok, o.s AS os, o.e AS oe
+  FROM part x JOIN part o ON o.rid = x.rid AND o.paragraph = x.paragraph AND o.s >= x.s - 200 AND o.s < x.e + 200
+  WHERE x.k IN (0, 2, 4) AND o.k IN (1, 3, 5)),
+told AS (
+  SELECT rid, k, s, e FROM part WHERE k < 3 UNION SELECT rid, xk, xs, xe FROM link WHERE xk >= 3 UNION SELECT rid, ok, os, oe FROM link WHERE ok >= 3),
+listed AS (
+  SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3) AS base, string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans
+  FROM told JOIN kinds USING (k) GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed USING (rid)
+"""
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": r"""
@@ -224,6 +286,7 @@ left_over AS (
 SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM left_over o JOIN sizes s ON s.lang = o.lang QUALIFY rank <= 2000
 """,
+    "op12_secret_scan": _SECRETS_SQL,
     # crc32 bit by bit: a byte is taken in, then eight halvings (-1) follow
     "op13_conversation_prefix_trie": r"""
 WITH own AS (
