@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from smishlens.llm.arrow_text import chunks, release, row_sums, split_words, text_bytes
+from smishlens.llm.arrow_text import as_array, chunks, release, row_sums, split_words, text_bytes
 from smishlens.session import _drop_folder, shared_table
 
 #: Longest context in bytes, contexts per order, words in the broadcast table.
@@ -58,10 +58,10 @@ HEAVY = 1 << 21
 SYMBOLS = 257  # bytes and the end of the text
 END = 256
 BITS = 9  # a context symbol: 0 for the start of the text, else byte + 1
-#: Text counted at a time; grams that a task gathers before it adds them up, and keeps after that.
+#: Text counted at a time; grams and words that a task gathers before it adds them up, and keeps after that.
 COUNT_BYTES = 1 << 20
-MERGE_GRAMS = 600_000
-KEEP_GRAMS = 1_000_000
+MERGE_GRAMS, MERGE_WORDS = 600_000, 300_000
+KEEP_GRAMS, KEEP_WORDS = 1_000_000, 500_000
 SCORE_BYTES = 1 << 18
 #: Text of the documents that ask for a (context, symbol) together, and (context, symbol) per row.
 BATCH_BYTES = 32 << 20
@@ -123,6 +123,12 @@ def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
+def merge_words(parts: list[pa.Table]) -> pa.Table:
+    """(word, n) of distinct words over all parts."""
+    total = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return total.select(["word", "n_sum"]).rename_columns(["word", "n"]).combine_chunks()
+
+
 def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, DataFrame, str]:
     """(word, n) and (gram, n) over all texts, and the folder that the second is read from. Both come from one pass; a task adds
     up its own grams, as long as they are few, before it sends them on."""
@@ -131,15 +137,22 @@ def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, Da
             return pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.string()), pa.array(keys), pa.array(counts)],
                                               ["word", "gram", "n"])
 
+        def words(table: pa.Table) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([as_array(table["word"]), pa.nulls(len(table), pa.int64()), as_array(table["n"])],
+                                              ["word", "gram", "n"])
+
         own: list[tuple[np.ndarray, np.ndarray]] = []
-        gathered = 0  # grams in ``own`` since it was last added up
+        own_words: list[pa.Table] = []
+        gathered = gathered_words = 0  # grams and words since they were last added up
         for batch in batches:
             for _, texts in chunks(batch.column(0), COUNT_BYTES):
-                words = pc.value_counts(split_words(texts, lower=True)[1])
-                n = len(words)
-                yield pa.RecordBatch.from_arrays(
-                    [words.field("values").cast(pa.string()), pa.nulls(n, pa.int64()), words.field("counts")],
-                    ["word", "gram", "n"])
+                found = pc.value_counts(split_words(texts, lower=True)[1])
+                own_words.append(pa.table({"word": found.field("values").cast(pa.string()), "n": found.field("counts")}))
+                gathered_words += len(found)
+                if gathered_words > MERGE_WORDS:
+                    own_words, gathered_words = [merge_words(own_words)], 0
+                    if len(own_words[0]) > KEEP_WORDS:
+                        yield words(own_words.pop())
                 own.append(count_grams(texts, order))
                 gathered += len(own[-1][0])
                 if gathered > MERGE_GRAMS:
@@ -147,6 +160,8 @@ def corpus_counts(docs: DataFrame, text: str, order: int) -> tuple[DataFrame, Da
                     if len(own[0][0]) > KEEP_GRAMS:
                         yield grams(*own.pop())
                 release()
+        if own_words:
+            yield words(merge_words(own_words))
         if own:
             yield grams(*merge_counts(own))
 
