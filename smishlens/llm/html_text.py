@@ -2,7 +2,9 @@
 
 A page becomes a list of nodes in page order, each with its parent. Boilerplate
 elements (by tag, role, or a word of their class or id) are marked dead with all they
-hold. Runs of inline content are blocks. A block of some length is a paragraph and
+hold: reader comments, newsletters, cookie notices and adverts whatever else they are called, and
+whatever elements they hold; menus, sidebars and the like unless they are what holds
+the page's only article. Runs of inline content are blocks. A block of some length is a paragraph and
 passes points (one, one per comma, one per hundred characters up to three) to its
 ancestors, each level getting a smaller part. An element's total is its points
 and a bonus for what it is called, discounted by the share of its text inside
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -39,11 +42,15 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                     "small span strike strong sub sup time tt u var wbr br img".split())
 _DEAD_TAGS = frozenset("nav footer aside form button select input option menu dialog head".split()) | _RAW
 _DEAD_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar alertdialog".split())
+#: What is called so is never the article.
+_FOREIGN_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments consent cookie cookies disqus newsletter notice notices "
+    "popup promo promoted promotion replies reply respond signup sponsor sponsored subscribe".split())
 _DEAD_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "disqus footer header hidden login masthead menu modal nav navbar navigation newsletter notice notices pager "
-    "pagination popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup "
-    "skip social sponsor sponsored subscribe toolbar widget".split())
+    "banner breadcrumb breadcrumbs footer header hidden login masthead menu modal nav navbar navigation pager "
+    "pagination recommended related share sharing sidebar skip social toolbar widget".split())
+#: A name with one of these tells what an element has or is filed under, not what it is ("with-comments", "tag-ads").
+_ABOUT_WORDS = frozenset("with has no not without show hide allow enable disable open closed free category tag type status format".split())
 _GOOD_WORDS = frozenset("article body content entry main page post story text".split())
 #: An element so called is an article when there is no article or main element around.
 _ARTICLE_WORDS = frozenset("article entry post story".split())
@@ -71,7 +78,9 @@ class _Page:
         self.name, self.parent, self.text = ["#root"], [-1], [""]
         self.words: list[frozenset] = [frozenset()]
         self.dead = [False]
+        self.foreign, self.fixed = [False], [False]  # by its names; by a name of several words
         self._open = [0]
+        self._places: dict[str, list[int]] = {}  # of open elements in the stack, by name
         at = 0
         for m in _TAG.finditer(page):
             if m.start() < at:
@@ -89,7 +98,7 @@ class _Page:
                 if name in _RAW:
                     end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                     at = end.end() if end else len(page)
-                    self._open.pop()
+                    self._cut(len(self._open) - 1)
         if at < len(page):
             self._add_text(page[at:])
 
@@ -99,18 +108,25 @@ class _Page:
         self.text.append(html_lib.unescape(text))
         self.words.append(frozenset())
         self.dead.append(False)
+        self.foreign.append(False)
+        self.fixed.append(False)
 
     def _add(self, name: str, attributes: str) -> None:
         if name not in _INLINE:
             self._end_open({"p"}, {"button", "td", "th", "table", "article", "section", "div", "aside", "body"})
         if name in _ENDS:
             self._end_open(_ENDS[name], _SCOPES[name])
-        words, role, hidden = frozenset(), "", False
+        words, role, hidden, foreign, fixed = frozenset(), "", False, False, False
         if attributes:
             for m in _ATTRIBUTE.finditer(attributes):
                 key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
                 if key in ("class", "id"):
-                    words |= frozenset(_WORD.findall(value))
+                    for token in value.split():
+                        own = frozenset(_WORD.findall(token))
+                        words |= own
+                        foreign |= bool(own & _FOREIGN_WORDS) and not own & _ABOUT_WORDS
+                        # "main-nav" is a menu, but an article's header is part of it
+                        fixed |= bool(own & _DEAD_WORDS - {"header"} and own & _GOOD_WORDS) and not own & _ABOUT_WORDS
                 elif key == "role":
                     role = value
                 elif key == "style":
@@ -123,26 +139,35 @@ class _Page:
         self.text.append("")
         self.words.append(words)
         self.dead.append(name in _DEAD_TAGS or role in _DEAD_ROLES or hidden)
+        self.foreign.append(foreign and name not in ("body", "html"))
+        self.fixed.append(fixed)
         if name not in _VOID:
-            self._open.append(len(self.name) - 1)
+            self._push(name)
+
+    def _push(self, name: str) -> None:
+        self._places.setdefault(name, []).append(len(self._open))
+        self._open.append(len(self.name) - 1)
+
+    def _cut(self, depth: int) -> None:
+        """Ends all open elements from a place of the stack on."""
+        for node in reversed(self._open[depth:]):
+            self._places[self.name[node]].pop()
+        del self._open[depth:]
+
+    def _last(self, names: set) -> int:
+        """The last place of the stack with one of the names, 0 where there is none."""
+        return max((self._places[name][-1] for name in names if self._places.get(name)), default=0)
 
     def _end_open(self, names: set, stop: set) -> None:
-        for depth in range(len(self._open) - 1, 0, -1):
-            name = self.name[self._open[depth]]
-            if name in names:
-                del self._open[depth:]
-                return
-            if name in stop:
-                return
+        depth = self._last(names)
+        if depth > self._last(stop):
+            self._cut(depth)
 
     def _close(self, name: str) -> None:
         if name == "br":
             self._add("br", "")
-            return
-        for depth in range(len(self._open) - 1, 0, -1):
-            if self.name[self._open[depth]] == name:
-                del self._open[depth:]
-                return
+        elif depth := self._last({name}):
+            self._cut(depth)
 
 
 def extract(page: str) -> str:
@@ -152,13 +177,28 @@ def extract(page: str) -> str:
     tree = _Page(page)
     name, parent, words, dead = tree.name, tree.parent, tree.words, tree.dead
     n = len(name)
-    # which elements hold an article or main element (from the end: children come later)
-    holds = [x in ("article", "main") for x in name]
     end = list(range(1, n + 1))
     for i in range(n - 1, 0, -1):
+        end[parent[i]] = max(end[parent[i]], end[i])
+    # a page has one main element, so what holds it is the page
+    has_main = [x == "main" for x in name]
+    for i in range(n - 1, 0, -1):
+        has_main[parent[i]] = has_main[parent[i]] or has_main[i]
+    gone = list(dead)  # by tag, role or a foreign name
+    called = [False] * n  # by a dead word, its own or from above
+    for i in range(1, n):
         up = parent[i]
-        holds[up] = holds[up] or holds[i]
-        end[up] = max(end[up], end[i])
+        gone[i] = gone[up] or gone[i] or tree.foreign[i] and not has_main[i]
+        own = words[i] & _DEAD_WORDS and (tree.fixed[i] or not words[i] & _GOOD_WORDS) and name[i] not in ("body", "html")
+        called[i] = bool(called[up] or own and not has_main[i])
+    # elements with a dead word that hold an article live only where no article stands outside of such
+    articles = [i for i in range(1, n) if name[i] in ("article", "main") and not gone[i]]
+    spare = all(called[i] for i in articles)
+    holds = [False] * n
+    for i in articles:
+        holds[i] = spare
+    for i in range(n - 1, 0, -1):
+        holds[parent[i]] = holds[parent[i]] or holds[i]
     in_article, in_link = [False] * n, [False] * n
     owner = [0] * n  # nearest element that is no inline element
     for i in range(1, n):
@@ -166,9 +206,10 @@ def extract(page: str) -> str:
         in_article[i] = in_article[up] or name[i] in ("article", "main")
         in_link[i] = in_link[up] or name[i] == "a"
         owner[i] = i if name[i] not in _INLINE and name[i] != "#text" else owner[up]
-        bad = words[i] & _DEAD_WORDS and not words[i] & _GOOD_WORDS and not holds[i] and name[i] not in ("body", "html")
-        page_header = name[i] == "header" and not in_article[up] and not holds[i]
-        dead[i] = bool(dead[up] or dead[i] or bad or page_header)
+        keeps = holds[i] or has_main[i]
+        bad = words[i] & _DEAD_WORDS and (tree.fixed[i] or not words[i] & _GOOD_WORDS) and not keeps and name[i] not in ("body", "html")
+        page_header = name[i] == "header" and not in_article[up] and not keeps
+        dead[i] = bool(dead[up] or gone[i] or bad or page_header)
 
     # blocks: runs of text under one owner that no other block element interrupts
     blocks: list[tuple[int, str, int]] = []  # owner, text, characters inside links
@@ -246,9 +287,17 @@ def extract(page: str) -> str:
     # a list that is nearly all links is a menu
     menus = [(i, end[i]) for i in range(1, n)
              if name[i] in ("ul", "ol") and chars[i] and linked[i] > 0.8 * chars[i]]
-    out = [text for at, text, _ in blocks
-           if any(a <= at < b for a, b in kept) and not any(a <= at < b for a, b in menus)]
-    return "\n\n".join(out)
+    within, menu = _covered(kept, n), _covered(menus, n)
+    return "\n\n".join(text for at, text, _ in blocks if within[at] and not menu[at])
+
+
+def _covered(ranges: list[tuple[int, int]], n: int) -> list[bool]:
+    """Which of ``n`` nodes lie in one of the ranges."""
+    edge = [0] * (n + 1)
+    for a, b in ranges:
+        edge[a] += 1
+        edge[b] -= 1
+    return [x > 0 for x in accumulate(edge[:n])]
 
 
 def main_text(page: Column) -> Column:
