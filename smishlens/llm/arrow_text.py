@@ -63,3 +63,17 @@ def release() -> None:
     """Give memory that Arrow keeps for later back to the system: Python workers
     stay, and what one stage has needed would stay with them."""
     pa.default_memory_pool().release_unused()
+
+
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 to 2**32 - 1, byte by byte of all of them, as zstd."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+
+
+def unpack_numbers(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of :func:`pack_numbers`."""
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from smishlens.llm.arrow_text import chunks, release, text_bytes
+from smishlens.llm.arrow_text import chunks, pack_numbers, release, text_bytes, unpack_numbers
 from smishlens.session import shared_table
 
 #: Text of a block, text that is split at a time, groups in an Arrow batch.
@@ -76,19 +76,6 @@ def split_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words.cast(pa.large_string()), text, np.cumsum(new, dtype=np.int64)
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Numbers below 2**32, byte by byte of all of them, as zstd."""
-    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
-
-
-def _unpack(data: bytes, n: int) -> np.ndarray:
-    if not n:
-        return np.zeros(0, np.int64)
-    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
-
-
 def _distinct(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(left, right, n) of the distinct pairs in ascending order, and the number of each row's pair."""
     width = int(right.max()) + 1 if len(right) else 1
@@ -137,7 +124,7 @@ def occurrences(docs: DataFrame, text: str, lang: str) -> DataFrame:
             times = np.bincount(code, minlength=len(pair))
             # adjacent chunks are two pieces
             place = np.concatenate(places)
-            yield _batch(layout, 1, block=[own], n=[len(place)], place=[_pack(np.diff(place, prepend=0))], item=[_pack(code)])
+            yield _batch(layout, 1, block=[own], n=[len(place)], place=[pack_numbers(np.diff(place, prepend=0))], item=[pack_numbers(code)])
             for at in range(0, len(pair), ROWS):
                 part = pair[at:at + ROWS]
                 yield _batch(layout, len(part), lang=language.dictionary.take(pa.array(part // n_words)).cast(pa.string()),
@@ -207,22 +194,22 @@ def extend(before: DataFrame, answers: DataFrame, length: int) -> DataFrame:
     def run(blocks: pa.Table, found: pa.Table) -> Iterator[pa.RecordBatch]:
         for row in blocks.to_pylist():
             own = row["block"]
-            place = np.cumsum(_unpack(row["place"], row["n"]))
-            code = _unpack(row["item"], row["n"])
+            place = np.cumsum(unpack_numbers(row["place"], row["n"]))
+            code = unpack_numbers(row["item"], row["n"])
             if length == 1:
                 place, item, ids = _semi_join(place, code, found)
                 first_place, first_item, first_ids = place, item, ids
             else:
-                first_place = np.cumsum(_unpack(row["first_place"], row["n_first"]))
-                first_item, first_ids = _unpack(row["first_item"], row["n_first"]), np.array(row["first_ids"], np.int64)
+                first_place = np.cumsum(unpack_numbers(row["first_place"], row["n_first"]))
+                first_item, first_ids = unpack_numbers(row["first_item"], row["n_first"]), np.array(row["first_ids"], np.int64)
                 # the groups of this length have the numbers that the pairs got when they were counted
                 place, left, right = _merge_join(place, code, first_place, first_item, length - 1)
                 place, item, ids = _semi_join(place, _distinct(left, right)[3], found)
             _, left, right = _merge_join(place, item, first_place, first_item, length)
             left, right, times, _ = _distinct(left, right)
-            yield _batch(layout, 1, block=[own], n=[len(place)], place=[_pack(np.diff(place, prepend=0))], item=[_pack(item)],
-                         ids=[ids], n_first=[len(first_place)], first_place=[_pack(np.diff(first_place, prepend=0))],
-                         first_item=[_pack(first_item)], first_ids=[first_ids])
+            yield _batch(layout, 1, block=[own], n=[len(place)], place=[pack_numbers(np.diff(place, prepend=0))], item=[pack_numbers(item)],
+                         ids=[ids], n_first=[len(first_place)], first_place=[pack_numbers(np.diff(first_place, prepend=0))],
+                         first_item=[pack_numbers(first_item)], first_ids=[first_ids])
             for at in range(0, len(left), ROWS):
                 part = slice(at, at + ROWS)
                 yield _batch(layout, len(left[part]), left=ids[left[part]], right=first_ids[right[part]],
