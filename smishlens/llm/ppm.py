@@ -94,7 +94,8 @@ def gram_keys(context: np.ndarray, symbol: np.ndarray, at: np.ndarray, order: in
 
 
 def packed(data: np.ndarray) -> bytes:
-    return pa.compress(data.tobytes(), codec="zstd", asbytes=True) if len(data) else b""
+    # these bytes are written twice, with the scored rows and in the exchange that brings them to their answers
+    return pa.Codec("zstd", compression_level=7).compress(data.tobytes(), asbytes=True) if len(data) else b""
 
 
 def unpacked(data: bytes, size: int) -> np.ndarray:
@@ -323,14 +324,14 @@ def look_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
         rest = rest.filter("not found").drop("found")
     # a symbol seen nowhere
     answers.append(rest.select("gram", (F.col("score") - F.log10(F.lit(float(SYMBOLS)) - F.size("seen"))).alias("score")))
-    return asked.join(reduce(DataFrame.unionByName, answers), "gram").select("asking", "gram", "score")
+    return asked.join(reduce(DataFrame.unionByName, answers), "gram").select("asking", "gram", F.col("score").cast("float"))
 
 
 def add_answers(texts: pa.Table, found: pa.Table, order: int) -> pa.Table:
     """(row, looked_up): what the looked-up grams of one batch add to the score of every text."""
     grams = found["gram"].to_numpy()
     by = np.argsort(grams)
-    grams, values = grams[by], found["score"].to_numpy()[by]
+    grams, values = grams[by], found["score"].to_numpy()[by].astype(np.float64)
     rows, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
     for first, part in zip(texts["row"].to_pylist(), texts["part"]):
         size = part["sizes"].values.to_numpy()
