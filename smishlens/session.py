@@ -107,3 +107,10 @@ def shared_table(df, name: str):
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df) -> None:
+    """Delete the folder of a table of :func:`shared_table` that is no longer needed."""
+    files = df.inputFiles()
+    if files:
+        _drop_folder(os.path.dirname(files[0]))
