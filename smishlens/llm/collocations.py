@@ -37,10 +37,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from smishlens.llm.arrow_text import chunks, pack_numbers, release, text_bytes, unpack_numbers
-from smishlens.session import shared_table
+from smishlens.session import drop_table, shared_table
 
 #: Text of a block, text that is split at a time, groups in an Arrow batch.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 CHUNK_BYTES = 2 << 20
 ROWS = 100_000
 #: A block's number is the task's, shifted by this, and the block's in the task.
@@ -73,7 +73,7 @@ def split_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     breaks = np.cumsum(kind == _BREAK, dtype=np.int32)[start]
     new = np.ones(len(start), np.int32)
     new[1:] += (np.diff(breaks) > 0) | (np.diff(text) > 0)
-    return words.cast(pa.large_string()), text, np.cumsum(new, dtype=np.int64)
+    return words.cast(pa.large_string()), text, np.cumsum(new, dtype=np.int32)
 
 
 def _distinct(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -84,9 +84,10 @@ def _distinct(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 # a row is a block's relations, or the numbers of a group in a block (``block`` null there)
-_PLACES = "block long, n long, place binary, item binary, ids array<long>"
+_PLACES = "block long, n long, place binary, item binary"
 _WORDS = f"{_PLACES}, lang string, word string, at long, times long"
-_GROUPS = f"{_PLACES}, n_first long, first_place binary, first_item binary, first_ids array<long>, left long, right long, at long, times long"
+# R1, and from two words on the relation of the words before the last
+_GROUPS = f"{_PLACES}, ids array<long>, n_before long, place_before binary, item_before binary, left long, right long, at long, times long"
 
 
 def _layout(columns: str) -> pa.Schema:
@@ -117,21 +118,25 @@ def occurrences(docs: DataFrame, text: str, lang: str) -> DataFrame:
             own = (task << TASK_BITS) + number
             word = pa.chunked_array(words).unify_dictionaries().combine_chunks()
             language = pa.chunked_array(langs).unify_dictionaries().combine_chunks()
+            words.clear(), langs.clear()
             n_words = max(len(word.dictionary), 1)
-            pair = pa.array(language.indices.to_numpy().astype(np.int64) * n_words + word.indices.to_numpy())
-            coded = pair.dictionary_encode()
-            code, pair = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy()
+            pair = language.indices.to_numpy() * np.int64(n_words)
+            pair += word.indices.to_numpy()
+            word, language = word.dictionary, language.dictionary
+            coded = pa.array(pair).dictionary_encode()
+            code, pair = coded.indices.to_numpy(), coded.dictionary.to_numpy()
             times = np.bincount(code, minlength=len(pair))
             # adjacent chunks are two pieces
             place = np.concatenate(places)
+            places.clear()
             yield _batch(layout, 1, block=[own], n=[len(place)], place=[pack_numbers(np.diff(place, prepend=0))], item=[pack_numbers(code)])
+            del place, code, coded
             for at in range(0, len(pair), ROWS):
                 part = pair[at:at + ROWS]
-                yield _batch(layout, len(part), lang=language.dictionary.take(pa.array(part // n_words)).cast(pa.string()),
-                             word=word.dictionary.take(pa.array(part % n_words)).cast(pa.string()),
+                yield _batch(layout, len(part), lang=language.take(pa.array(part // n_words)).cast(pa.string()),
+                             word=word.take(pa.array(part % n_words)).cast(pa.string()),
                              at=(own << 32) + at + np.arange(len(part)), times=times[at:at + ROWS])
             number, size = number + 1, 0
-            words.clear(), langs.clear(), places.clear()
             release()
 
         for batch in batches:
@@ -176,12 +181,12 @@ def _semi_join(place: np.ndarray, code: np.ndarray, answers: pa.Table) -> tuple[
     return place[here], found[here], ids
 
 
-def _merge_join(place: np.ndarray, item: np.ndarray, first_place: np.ndarray, first_item: np.ndarray, length: int):
+def _merge_join(place: np.ndarray, item: np.ndarray, word_place: np.ndarray, word: np.ndarray, length: int):
     """(place, left, right): occurrences of ``length`` words, and the word that follows in the piece."""
-    at = np.searchsorted(first_place, place + length)
-    found = at < len(first_place)
-    found[found] = first_place[at[found]] == place[found] + length
-    return place[found], item[found], first_item[at[found]]
+    at = np.searchsorted(word_place, place + length)
+    found = at < len(word_place)
+    found[found] = word_place[at[found]] == place[found] + length
+    return place[found], item[found], word[at[found]]
 
 
 def extend(before: DataFrame, answers: DataFrame, length: int) -> DataFrame:
@@ -193,26 +198,30 @@ def extend(before: DataFrame, answers: DataFrame, length: int) -> DataFrame:
 
     def run(blocks: pa.Table, found: pa.Table) -> Iterator[pa.RecordBatch]:
         for row in blocks.to_pylist():
-            own = row["block"]
-            place = np.cumsum(unpack_numbers(row["place"], row["n"]))
-            code = unpack_numbers(row["item"], row["n"])
+            own, more = row["block"], {}
+            place, item = np.cumsum(unpack_numbers(row["place"], row["n"])), unpack_numbers(row["item"], row["n"])
             if length == 1:
-                place, item, ids = _semi_join(place, code, found)
-                first_place, first_item, first_ids = place, item, ids
+                place, item, ids = _semi_join(place, item, found)
+                before, before_item, before_ids = place, item, ids
             else:
-                first_place = np.cumsum(unpack_numbers(row["first_place"], row["n_first"]))
-                first_item, first_ids = unpack_numbers(row["first_item"], row["n_first"]), np.array(row["first_ids"], np.int64)
+                ids = np.array(row["ids"], np.int64)
+                if length == 2:
+                    before, before_item = place, item
+                else:
+                    before = np.cumsum(unpack_numbers(row["place_before"], row["n_before"]))
+                    before_item = unpack_numbers(row["item_before"], row["n_before"])
                 # the groups of this length have the numbers that the pairs got when they were counted
-                place, left, right = _merge_join(place, code, first_place, first_item, length - 1)
-                place, item, ids = _semi_join(place, _distinct(left, right)[3], found)
-            _, left, right = _merge_join(place, item, first_place, first_item, length)
+                before, left, right = _merge_join(before, before_item, place, item, length - 1)
+                before, before_item, before_ids = _semi_join(before, _distinct(left, right)[3], found)
+                more = {"n_before": [len(before)], "place_before": [pack_numbers(np.diff(before, prepend=0))],
+                        "item_before": [pack_numbers(before_item)]}
+            _, left, right = _merge_join(before, before_item, place, item, length)
             left, right, times, _ = _distinct(left, right)
             yield _batch(layout, 1, block=[own], n=[len(place)], place=[pack_numbers(np.diff(place, prepend=0))], item=[pack_numbers(item)],
-                         ids=[ids], n_first=[len(first_place)], first_place=[pack_numbers(np.diff(first_place, prepend=0))],
-                         first_item=[pack_numbers(first_item)], first_ids=[first_ids])
+                         ids=[ids], **more)
             for at in range(0, len(left), ROWS):
                 part = slice(at, at + ROWS)
-                yield _batch(layout, len(left[part]), left=ids[left[part]], right=first_ids[right[part]],
+                yield _batch(layout, len(left[part]), left=before_ids[left[part]], right=ids[right[part]],
                              at=(own << 32) + at + np.arange(len(left[part])), times=times[part])
         release()
 
@@ -275,7 +284,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
     phrases = [groups.filter("at = id").select("id", "lang", F.col("word").alias("phrase"), F.col("total").alias("a"))]
     words = phrases[0].select(F.col("id").alias("right"), F.col("phrase").alias("last"))
     for length in range(1, max_words):
-        relation = extend(relation, _answers(groups), length)
+        before, relation = relation, extend(relation, _answers(groups), length)
+        if length > 1:  # the words' own table also has the sizes of the languages
+            drop_table(before)
         groups = frequent(relation.filter("at is not null"), ["left", "right"], least)
         before = phrases[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("start"))
         longer = groups.filter("at = id").select("id", "left", "right", F.col("total").alias("a"))
