@@ -10,7 +10,11 @@ Predict: per message ``jll_c = prior_c + sum_t w_t * log_prob[c, t]`` with
 ``sum_t w_t lp_t = (sum_t tf idf lp_t) / sqrt(sum_t (tf idf)^2)``: both sums
 come out of a single partial aggregation after the broadcast join, so only
 one small row per message is shuffled and no join back is needed. Messages
-without a known term score their prior.
+without a known term score their prior. Rows are regrouped by their number, so
+rows that share an id are scored apart.
+
+A model of no rows knows the labels 0 and 1 and gives both the same odds; without rows to
+predict there are no predictions.
 """
 
 from __future__ import annotations
@@ -21,10 +25,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smishlens.operators.tfidf import TfidfModel, term_counts
+from smishlens.operators.tfidf import ROW, TfidfModel, counted, term_counts
 from smishlens.session import shared_table
 
 
+#: Labels of a model that was fitted on no rows.
+NO_ROWS = (0, 1)
+
+
 @dataclass
 class NaiveBayesModel:
     tfidf: TfidfModel
@@ -44,11 +52,11 @@ class NaiveBayesModel:
     def joint_log_likelihood(self, df: DataFrame, id_col: str = "msg_id", text_col: str = "message",
                              keep: list[str] | None = None) -> DataFrame:
         keep = keep or []
-        counts = term_counts(df, id_col, text_col, keep, outer=True)
+        counts = term_counts(counted(df, id_col, text_col, keep), id_col, text_col, [ROW, *keep], outer=True)
         joined = counts.join(self.tfidf.bounded(self.table), "term", "left")
         w = F.col("tf") * F.col("idf")
         sums = [F.sum(w * w).alias("_s2")] + [F.sum(w * F.col(f"lp_{c}")).alias(f"_s_{c}") for c in self.classes]
-        per_doc = joined.groupBy(id_col).agg(*[F.first(c).alias(c) for c in keep], *sums)
+        per_doc = joined.groupBy(ROW).agg(*[F.first(c).alias(c) for c in (id_col, *keep)], *sums)
         norm = F.sqrt(F.col("_s2"))
         jll = [(F.lit(self.log_prior[c]) + F.coalesce(F.col(f"_s_{c}") / norm, F.lit(0.0))).alias(f"jll_{c}")
                for c in self.classes]
@@ -75,9 +83,9 @@ class NaiveBayesModel:
 def fit_naive_bayes(tfidf: TfidfModel, train: DataFrame, id_col: str = "msg_id",
                     text_col: str = "message", label_col: str = "label", alpha: float = 1.0) -> NaiveBayesModel:
     class_rows = train.groupBy(label_col).count().orderBy(label_col).collect()  # one row per class
-    classes = [int(r[0]) for r in class_rows]
-    n = sum(int(r[1]) for r in class_rows)
-    log_prior = {int(r[0]): math.log(int(r[1])) - math.log(n) for r in class_rows}
+    sizes = {int(r[0]): int(r[1]) for r in class_rows} or dict.fromkeys(NO_ROWS, 1)
+    classes, n = list(sizes), sum(sizes.values())
+    log_prior = {c: math.log(size) - math.log(n) for c, size in sizes.items()}
     long = tfidf.transform_long(train, id_col, text_col, keep=[label_col])
     fc = (long.groupBy("term")
           .agg(*[F.sum(F.when(F.col(label_col) == c, F.col("tfidf"))).alias(f"fc_{c}") for c in classes]))
@@ -89,7 +97,7 @@ def fit_naive_bayes(tfidf: TfidfModel, train: DataFrame, id_col: str = "msg_id",
     totals = wide.agg(*[F.sum(f"fc_{c}").alias(f"t_{c}") for c in classes], F.count(F.lit(1)).alias("v")).first()
     v = int(totals["v"])
     table = wide.select("term", "idf", *[
-        F.log((F.col(f"fc_{c}") + F.lit(alpha)) / F.lit(float(totals[f"t_{c}"]) + alpha * v)).alias(f"lp_{c}")
+        F.log((F.col(f"fc_{c}") + F.lit(alpha)) / F.lit(float(totals[f"t_{c}"] or 0.0) + alpha * max(v, 1))).alias(f"lp_{c}")
         for c in classes])
     table = shared_table(table, "naive_bayes")
     return NaiveBayesModel(tfidf, classes, log_prior, table)

@@ -756,6 +756,8 @@ ORACLE["production_refit"] = sql_with_split(
     .replace("c_split", "all_es"), """
 SELECT msg_id, CAST(label AS BIGINT) AS label, round(p, 6) AS p, CAST(prediction AS BIGINT) AS prediction,
        CAST(0.429 AS DOUBLE) AS threshold FROM c_pred""")
+ORACLE["production_refit_svm"] = with_ctes("""
+SELECT msg_id, CAST(label AS BIGINT) AS label, TRUE AS agrees, CAST(0.429 AS DOUBLE) AS threshold FROM prep_es""", "prep_es")
 ORACLE["evaluate_saved"] = (_pipeline_sql("SELECT 1 AS one", es=True)[:-len("\nSELECT 1 AS one")] + ",\n"
                             + "tox_preds AS (SELECT label, prediction FROM c_pred)\n"
                             + ORACLE["class_report"][ORACLE["class_report"].rindex("\nSELECT class"):])

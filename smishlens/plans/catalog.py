@@ -191,7 +191,7 @@ def q_split_by_source(spark, sf):
 
 
 # ---- F, H1: TF-IDF and naive Bayes -------------------------------------------------
-from smishlens.operators.tfidf import fit_tfidf, term_counts, top_terms, vocabulary_stats, with_entries  # noqa: E402
+from smishlens.operators.tfidf import fit_tfidf, term_counts, top_terms, with_entries  # noqa: E402
 from smishlens.plans.flagship import flagship, run_classic  # noqa: E402
 
 
@@ -203,8 +203,8 @@ def q_term_counts(spark, sf):
 
 @register("vocab_topk")
 def q_vocab_topk(spark, sf):
-    stats = vocabulary_stats(term_counts(_prep_es(spark, sf), "msg_id", "message"))
-    return top_terms(stats).select("term", F.col("total").cast("bigint"), F.col("df").cast("bigint"))
+    counts = term_counts(_prep_es(spark, sf, reuse=True), "msg_id", "message")
+    return top_terms(counts).select("term", F.col("total").cast("bigint"), F.col("df").cast("bigint"))
 
 
 @register("idf")
@@ -440,12 +440,12 @@ def q_lr_fit(spark, sf):
 
 @register("svm_platt")
 def q_svm_platt(spark, sf):
-    """H3: agrees when no scaling or shift of the margin lowers the objective, p is
-    the logistic function of the margin, and the label is its sign."""
+    """H3: agrees when neither scaling nor a step against the subgradient over all features lowers the objective, p
+    is the logistic function of the margin, and the label is its sign."""
     _, train, test, n = _ml_features(spark, sf)
     model = ML.fit_models(train, n, ("svm",))["svm"]
     svm, platt = model.stages
-    optimal = CK.hinge_excess(svm, train, n) <= CK.SVM_EXCESS
+    optimal = CK.hinge_excess(svm.coefficients.toArray(), svm.intercept, svm.getRegParam(), train, n) <= CK.SVM_EXCESS
     a = float(platt.coefficients[1] - platt.coefficients[0])
     margin = CK.vector_to_array(F.col("raw"))[1]
     p = F.lit(1.0) / (1 + F.exp(-(F.lit(a) * margin + F.lit(float(platt.intercept)))))
@@ -466,12 +466,33 @@ def q_forest(spark, sf):
 
 @register("compare_ml")
 def q_compare_ml(spark, sf):
-    """H7/I8: agrees when the table's accuracy is the share of right labels."""
+    """H7/I8: agrees when all five metrics of the table are those of a plain aggregation over the predictions."""
     _, train, test, n = _ml_features(spark, sf)
     preds = shared_table(ML.ml_predictions(ML.fit_models(train, n), test), "ml_predictions")
-    plain = preds.groupBy("model").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("_a"))
-    out = M.compare_models(preds).join(plain, "model")
-    return out.select("model", F.col("n").cast("bigint"), (F.abs(F.col("accuracy") - F.col("_a")) < 1e-12).alias("agrees"))
+    out = M.compare_models(preds).join(CK.plain_metrics(preds), "model")
+    same = F.lit(True)
+    for name in ("accuracy", "precision", "recall", "f1", "auc"):
+        own, other = F.coalesce(name, F.lit(-1.0)), F.coalesce(f"plain_{name}", F.lit(-1.0))
+        same &= F.abs(own - other) < 1e-9
+    return out.select("model", F.col("n").cast("bigint"), same.alias("agrees"))
+
+
+@register("compare_ml_metrics")
+def q_compare_ml_metrics(spark, sf):
+    """H7/I8: the five metrics of every model, as the comparison prints them."""
+    _, train, test, n = _ml_features(spark, sf)
+    preds = shared_table(ML.ml_predictions(ML.fit_models(train, n), test), "ml_predictions")
+    return M.compare_models(preds).select("model", *_metric_cols(), F.col("n").cast("bigint"))
+
+
+@register("ml_scores")
+def q_ml_scores(spark, sf):
+    """H2-H5: p and label of every test message by each model and by the ensemble of all."""
+    _, train, test, n = _ml_features(spark, sf)
+    fitted = ML.fit_models(train, n, (*ML.MODEL_ORDER, ML.ENSEMBLE))
+    out = ML.ml_predictions(fitted, test)
+    return out.select("model", F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"), r6(F.col("p")).alias("p"),
+                      F.col("prediction").cast("bigint"))
 
 
 @register("best_of_four")
@@ -550,6 +571,23 @@ def q_production_refit(spark, sf):
     return _ml_out(ML.scores(model, data)).withColumn("threshold", F.lit(meta["threshold"]))
 
 
+@register("production_refit_svm")
+def q_production_refit_svm(spark, sf):
+    """H9/A6 with the SVM (the single model that the production settings name): refit on all rows, saved, loaded,
+    scored; agrees when the loaded label is the sign of the margin and p is the logistic function of it."""
+    prep = P.preprocess(D.messages_es(spark, sf), D.threats(spark, sf))
+    data = shared_table(prep.select("msg_id", "message", F.col("label").cast("double").alias("label")), "production")
+    model_dir = scratch_folder(spark, "models")
+    ML.refit_production(spark, data, model_dir, "spanish", "svm", threshold=0.429)
+    model, meta = ML.load_model(spark, f"{model_dir}/pipeline_spanish")
+    platt = model.stages[-1].stages[-1]
+    margin = CK.vector_to_array(F.col("raw"))[1]
+    p = F.lit(1.0) / (1 + F.exp(-(F.lit(float(platt.coefficients[1] - platt.coefficients[0])) * margin + F.lit(float(platt.intercept)))))
+    out = model.transform(data)
+    agrees = (F.abs(p - ML.positive_probability("probability")) < 1e-9) & ((margin > 0) == (F.col("prediction") == 1))
+    return _agrees(out, agrees).withColumn("threshold", F.lit(meta["threshold"]))
+
+
 @register("evaluate_saved")
 def q_evaluate_saved(spark, sf):
     """Evaluate entry: a naive Bayes text pipeline fitted on the train part and

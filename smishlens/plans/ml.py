@@ -96,7 +96,8 @@ class TextPreprocessor(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
         if path:
             threats = spark.read.parquet(path).select("url", "threat_type")
         # No row id here: equal texts share their URL flags, so the text's hash is id enough.
-        keyed = dataset.withColumn("_rid", F.xxhash64(source))
+        # The URL join takes a second hash of the text beside this one, with another seed.
+        keyed = dataset.withColumn("_rid", F.xxhash64(F.lit("row"), source))
         tokenised = tokenise_urls(keyed, threats, source, "_rid", "_url_text")
         cleaned = T.join_tokens(T.whitespace_tokens(T.clean_after_urls(F.col("_url_text"))))
         out = tokenised.withColumn(self.getOutputCol(), cleaned).drop("_rid", "_url_text")
@@ -129,11 +130,17 @@ class TopTermsTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return tfidf_stages(model, self.getInputCol(), self.getOutputCol())
 
 
+#: Stands in a vocabulary without terms; tokens are word characters only.
+NO_TERM = " "
+
+
 def tfidf_stages(model: TfidfModel, input_col: str = "clean", output_col: str = "features") -> PipelineModel:
     """F4/F5 as Spark ML stages from a fitted vocabulary (at most 10,000
     terms, collected like any fitted vectoriser)."""
     rows = model.vocabulary.select("term", "idf").orderBy(F.col("total").desc(), "term").collect()
     vocab = [r["term"] for r in rows]
+    if not vocab:  # no text: a term that no token equals, so that every row is the zero vector
+        vocab, rows = [NO_TERM], [{"idf": 1.0}]
     idf = Vectors.dense([float(r["idf"]) for r in rows])
     tok = RegexTokenizer(inputCol=input_col, outputCol="_tokens", pattern=T.TOKEN_PATTERN, gaps=False,
                          toLowercase=True, minTokenLength=1)
@@ -231,7 +238,8 @@ class PlattSvm(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         label, prefix, folds = (self.getOrDefault(p) for p in (self.labelCol, self.prefix, self.folds))
-        key = F.xxhash64(vector_to_array(F.col(self.getOrDefault(self.featuresCol))), F.lit(FOREST_SEED))
+        # of the sparse row: its indices and values, not an array of all features
+        key = F.xxhash64(F.unwrap_udt(F.col(self.getOrDefault(self.featuresCol))), F.lit(FOREST_SEED))
         tagged = dataset.withColumn("_fold", F.pmod(key, F.lit(folds)))
         sizes = tagged.groupBy("_fold", label).count().collect()  # folds x classes
         n = sum(r["count"] for r in sizes)
@@ -447,8 +455,12 @@ def refit_production(spark: SparkSession, messages: DataFrame, model_dir: str, l
     flags = {name: known.get(name, default) if value is None else value for name, value, default in (
         ("use_lemma", use_lemma, False), ("use_stem", use_stem, False),
         ("lemma_path", lemma_path, ""), ("threats_path", threats_path, ""))}
-    n = messages.count()
-    model = text_pipeline(model_key, n, language=language, max_depth=max_depth, **flags).fit(messages)
+    # the text is cleaned once and the features are written once, whatever passes the fit makes
+    text, vectoriser, classifier = text_pipeline(model_key, messages.count(), language=language, max_depth=max_depth, **flags).getStages()
+    clean = shared_table(text.transform(messages.select("message", "label")).select("clean", "label"), "refit_clean")
+    features = vectoriser.fit(clean)
+    ready = shared_table(features.transform(clean).select("features", "label"), "refit_features")
+    model = PipelineModel([text, features, classifier.fit(ready)])
     stamp = (today or dt.date.today()).strftime("%Y%m%d")
     meta = {"model_key": model_key, "threshold": threshold, "language": language, "date": stamp, **flags}
     save_model(spark, model, f"{model_dir}/pipeline_{language}", meta)

@@ -27,7 +27,8 @@ from pyspark.sql.types import StructType
 from smishlens.functions.scores import verdict
 from smishlens.operators.naive_bayes import NaiveBayesModel
 from smishlens.operators.preprocess import preprocess
-from smishlens.session import scratch_folder
+from smishlens.operators.tfidf import ENTRIES, with_entries
+from smishlens.session import drop_table, scratch_folder
 
 
 def read_file_stream(spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None) -> DataFrame:
@@ -79,10 +80,13 @@ def score_stream(spark: SparkSession, messages: DataFrame, threats: DataFrame |
     """L1: score each message of the stream ``(msg_id, message, label)`` once by
     id, whatever the files and batches it arrives in; returns the written history."""
     first = messages.dropDuplicates(["msg_id"])
+    written: list[DataFrame] = []
 
     def score(batch: DataFrame) -> DataFrame:
-        prepped = preprocess(batch.select("msg_id", "message", "label"), threats)
-        scored = model.predict(prepped, keep=["label"])
+        while written:  # of the batch before, which is done
+            drop_table(written.pop())
+        written.append(with_entries(preprocess(batch.select("msg_id", "message", "label"), threats).drop(ENTRIES)))
+        scored = model.predict(written[0], keep=["label"])
         return scored.withColumn("verdict", verdict(F.col("p"), *cuts))
 
     return run_to_table(first, spark, "history", score, path)
