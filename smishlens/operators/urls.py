@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smishlens.functions import text as T
+from smishlens.operators.reputation import listed_urls
 
 # Threat types that make a URL suspicious.
 SUSPICIOUS_TYPES = ("MALWARE", "SOCIAL_ENGINEERING")
@@ -44,7 +45,8 @@ def _rebuild(text_col: str, flags_col: str):
 
 def tokenise_urls(df: DataFrame, threats: DataFrame | None, text_col: str = "message",
                   id_col: str = "msg_id", out_col: str | None = None) -> DataFrame:
-    """Replace each URL by ' URL_SUSPICIOUS ' or ' URL_TRUSTED '."""
+    """Replace each URL by ' URL_SUSPICIOUS ' or ' URL_TRUSTED '. ``threats`` lists whole URLs ``(url, threat_type)`` or
+    ``(expression, threat_type)`` as a reputation service does (see ``operators.reputation``)."""
     out_col = out_col or text_col
     if threats is None:
         # Nothing can be suspicious: a single regexp_replace, no join.
@@ -59,7 +61,11 @@ def tokenise_urls(df: DataFrame, threats: DataFrame | None, text_col: str = "mes
     with_urls = df.filter(has_url).withColumn("_urls", T.extract_urls(text))
     with_urls = with_urls.withColumn("_text_key", F.xxhash64(text))
     occurrences = with_urls.select(id_col, "_text_key", F.posexplode("_urls").alias("_pos", "url"))
-    bad = suspicious_urls(threats).withColumn("_bad", F.lit(True))
+    if "expression" in threats.columns:  # a list of hosts and path prefixes
+        bad = listed_urls(occurrences, threats.filter(F.col("threat_type").isin(*SUSPICIOUS_TYPES))).select("url").distinct()
+    else:
+        bad = suspicious_urls(threats)
+    bad = bad.withColumn("_bad", F.lit(True))
     flags = (occurrences.join(bad, "url", "left")
              .groupBy(id_col, "_text_key")
              .agg(F.array_sort(F.collect_set(F.struct(

@@ -384,6 +384,31 @@ ORACLE["lemma_lookup"] = _with_steps(*lookup_sql("prep_es", True, False))
 ORACLE["stem_lookup"] = _with_steps(*lookup_sql("prep_es", False, True))
 ORACLE["text_preprocessor"] = _with_steps(*lookup_sql("prep", True, True, ", CAST(p.label AS BIGINT) AS label"))
 
+_LEMMA_RULES = (("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"))
+
+
+def _detached_sql(form: str, order: str) -> str:
+    rows = [f"CASE WHEN ends_with({form}, '{old}') THEN {{'o': {order} || '{k:02d}', 'f': left({form}, length({form}) - {len(old)}) || '{new}'}} END"
+            for k, (old, new) in enumerate(_LEMMA_RULES, 1)]
+    return "list_filter([" + ", ".join(rows) + "], lambda x: x IS NOT NULL)"
+
+
+# every chain of rules with its length; the first length that has a known form counts
+ORACLE["lemma_rules"] = with_ctes(rf"""
+, bare AS (SELECT word, regexp_replace(word, '(ses|ves|xes|zes|ches|shes|men|ies|ss|s)$', '') AS b FROM corpus_words),
+lexicon AS (
+  SELECT DISTINCT w FROM (SELECT unnest([word, b, b || 'y', b || 'man']) AS w FROM bare) WHERE length(w) > 1 AND left(md5(w), 1) < '8'),
+odd AS (SELECT word, unnest([left(word, 2), left(word, length(word) - 2)]) AS form FROM corpus_words WHERE ends_with(word, 'en') AND length(word) % 2 = 1),
+listed AS (SELECT word, 1 AS stage, '' AS o, word AS form FROM odd UNION SELECT word, 1, form, form FROM odd),
+plain AS (SELECT word FROM corpus_words WHERE NOT (ends_with(word, 'en') AND length(word) % 2 = 1)),
+chain AS (
+  SELECT word, 1 AS stage, m.o AS o, m.f AS form FROM (SELECT word, unnest({_detached_sql("word", "''")}) AS m FROM plain)
+  UNION ALL
+  SELECT word, stage + 1, m.o, m.f FROM (SELECT word, stage, unnest({_detached_sql("form", "o")}) AS m FROM chain)),
+candidates AS (SELECT word, 1 AS stage, '' AS o, word AS form FROM plain UNION ALL SELECT * FROM chain UNION ALL SELECT * FROM listed)
+SELECT word, form AS lemma FROM candidates SEMI JOIN lexicon ON form = w
+QUALIFY row_number() OVER (PARTITION BY word ORDER BY stage, length(form), o) = 1""", "corpus_words").replace("\n\n, bare AS", ", bare AS").replace("WITH ", "WITH RECURSIVE ", 1)
+
 ORACLE["porter"] = with_ctes(porter_sql("corpus_words"), "corpus_words")
 cte("porter_es", porter_sql(f"(SELECT unnest({tokens_sql('message')}) AS word FROM prep_es)"), ("prep_es",))
 ORACLE["stem_porter"] = _with_steps(*lookup_sql("prep_es", False, True, stem_table="porter_es"))
@@ -768,3 +793,43 @@ ORACLE["csv_roundtrip"] = with_ctes("""
 SELECT msg_id, message, label FROM messages
 WHERE message NOT IN ('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND',
                       '1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')""", "messages")
+
+
+# ---- E1 by expressions: canonical forms of the spelt URLs, joined on the expressions themselves.
+ORACLE["url_reputation_prefix"] = r"""
+WITH parts AS (SELECT *, regexp_extract(url, '^(https?)://', 1) AS scheme, regexp_extract(url, '^https?://([^/]+)', 1) AS host,
+    regexp_extract(url, '^https?://[^/]+(/.*)$', 1) AS rest, regexp_extract(url, '^https?://[^/]+/([^/]*)/', 1) AS folder,
+    regexp_extract(url, '^https?://[^/]+/[^/]*/(.*)$', 1) AS tail
+  FROM pages),
+spelt AS (
+  SELECT DISTINCT CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN upper(scheme || '://' || host) || rest
+    WHEN 2 THEN scheme || '://user:pass@' || host || '.:8080/' || folder || '/' || tail
+    WHEN 3 THEN scheme || '://' || host || '/%2e/x/../%25%33%37%2F..%2f' || folder || '/' || tail
+    ELSE scheme || '://' || host || '//' || folder || '//' || tail || '#frag#ment' END AS url
+  FROM parts),
+bare AS (SELECT url, regexp_replace(url_decode(url_decode(regexp_replace(url, '#.*$', ''))), '^[a-zA-Z]+://', '') AS u FROM spelt),
+cut AS (
+  SELECT url, trim(lower(regexp_replace(regexp_replace(regexp_extract(u, '^([^/?]*)', 1), '^.*@', ''), ':[0-9]*$', '')), '.') AS host,
+    string_split(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/') AS segments, regexp_extract(u, '^[^?]*(\?.*)$', 1) AS query
+  FROM bare),
+walked AS (
+  SELECT *, string_split(host, '.') AS labels, list_reduce(list_prepend([]::VARCHAR[], list_transform(segments, lambda s: [s])), lambda acc, s:
+    CASE WHEN s[1] IN ('', '.') THEN acc WHEN s[1] = '..' THEN acc[1:len(acc) - 1] ELSE list_concat(acc, s) END) AS names
+  FROM cut),
+canonical AS (
+  SELECT *, '/' || array_to_string(names, '/') || CASE WHEN segments[-1] IN ('', '.', '..') AND len(names) > 0 THEN '/' ELSE '' END AS path FROM walked),
+folders AS (SELECT *, list_filter(string_split(regexp_replace(path, '[^/]*$', ''), '/'), lambda s: s <> '') AS inner_names FROM canonical),
+hosts AS (
+  SELECT *, unnest(list_concat([host], list_transform(range(greatest(2, len(labels) - 4), least(greatest(2, len(labels) - 4) + 4, len(labels))),
+    lambda k: array_to_string(labels[k:], '.')))) AS h
+  FROM folders),
+expressions AS (
+  SELECT DISTINCT url, h || unnest(list_concat([path, path || query], list_transform(range(0, least(3, len(inner_names)) + 1),
+    lambda k: '/' || array_to_string(list_transform(inner_names[1:k], lambda s: s || '/'), '')))) AS expression
+  FROM hosts),
+listed AS (
+  SELECT host || '/' || folder || '/' AS expression, 'MALWARE' AS threat_type FROM parts WHERE page_id % 13 = 0
+  UNION SELECT CASE WHEN len(string_split(host, '.')) > 3 THEN regexp_replace(host, '^[^.]+\.', '') ELSE host END || '/', 'SOCIAL_ENGINEERING'
+  FROM parts WHERE page_id % 17 = 0
+  UNION SELECT host || regexp_replace(rest, '#.*$', ''), 'UNWANTED_SOFTWARE' FROM parts WHERE page_id % 3 = 0)
+SELECT DISTINCT url, threat_type FROM expressions JOIN listed USING (expression)"""

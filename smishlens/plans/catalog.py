@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from smishlens.functions import text as T
 from smishlens.functions.labels import map_label_df
 from smishlens.operators import preprocess as P
+from smishlens.operators.reputation import listed_urls
 from smishlens.operators.urls import tokenise_urls
 from smishlens.session import shared_table
 from smishlens.sources import testdata as D
@@ -81,6 +82,12 @@ def _docs(spark, sf):
     return D.table(spark, sf, "documents").select(F.col("doc_id").cast("bigint").alias("msg_id"), "text")
 
 
+@register("url_reputation_prefix")
+def q_url_reputation_prefix(spark, sf):
+    """E1 by expressions: hosts, their suffixes and path prefixes, by digest prefix and whole digest."""
+    return listed_urls(D.spelt_urls(spark, sf), D.listed_expressions(spark, sf))
+
+
 @register("fold_accents")
 def q_fold_accents(spark, sf):
     return _docs(spark, sf).select("msg_id", T.fold_accents(F.col("text")).alias("message"))
@@ -119,6 +126,7 @@ def q_tokenise(spark, sf):
 
 
 # ---- C9-C11: lookups ------------------------------------------------------------
+from smishlens.operators.lemmas import lemma_table  # noqa: E402
 from smishlens.operators.porter import porter_stems  # noqa: E402
 from smishlens.operators.vocabulary import porter_stem_tokens, text_preprocessor  # noqa: E402
 from smishlens.operators.split import random_split, stratified_split  # noqa: E402
@@ -138,6 +146,14 @@ def q_lemma_lookup(spark, sf):
     return out.select(F.col("msg_id").cast("bigint"), "message")
 
 
+@register("lemma_rules")
+def q_lemma_rules(spark, sf):
+    """C9 by rules: the lemma of every distinct corpus word that has one."""
+    words = shared_table(D.corpus_words(spark, sf), "words")
+    lexicon, exceptions = D.noun_lexicon(spark, words)
+    return lemma_table(words, lexicon, exceptions)
+
+
 @register("stem_lookup")
 def q_stem_lookup(spark, sf):
     out = text_preprocessor(_prep_es(spark, sf).select("msg_id", "message"), stems=D.stems(spark, sf))

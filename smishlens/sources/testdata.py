@@ -57,6 +57,33 @@ def threats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return malware.unionByName(social).unionByName(unwanted)
 
 
+def spelt_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page URLs as they are, in upper case, with a user and a port, with escapes and detours in the
+    path, and with doubled slashes and a fragment, by page."""
+    def spelt(pattern: str, to: str):
+        return F.regexp_replace("url", pattern, to)
+
+    by = F.col("page_id") % 5
+    whole = r"^(https?)://([^/]+)/([^/]*)/(.*)$"
+    return table(spark, sf_dir, "pages").select(
+        F.when(by == 0, F.col("url"))
+        .when(by == 1, F.concat(F.upper(F.regexp_extract("url", "^(https?://[^/]+)", 1)), spelt("^https?://[^/]+", "")))
+        .when(by == 2, spelt(whole, "$1://user:pass@$2.:8080/$3/$4"))
+        .when(by == 3, spelt(whole, "$1://$2/%2e/x/../%25%33%37%2F..%2f$3/$4")).otherwise(spelt(whole, "$1://$2//$3//$4#frag#ment")).alias("url"))
+
+
+def listed_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reputation list ``(expression, threat_type)``: folders, hosts without their first label, whole URLs, by page."""
+    pages = table(spark, sf_dir, "pages")
+    host, path = F.regexp_extract("url", "^https?://([^/]+)", 1), F.regexp_replace("url", "^https?://[^/]+|#.*$", "")
+    folder = F.regexp_extract("url", "^https?://([^/]+/[^/]+/)", 1)
+    above = F.when(F.size(F.split(host, r"\.")) > 3, F.regexp_replace(host, r"^[^.]+\.", "")).otherwise(host)
+    lists = [("MALWARE", 13, folder), ("SOCIAL_ENGINEERING", 17, F.concat(above, F.lit("/"))), ("UNWANTED_SOFTWARE", 3, F.concat(host, path))]
+    rows = [pages.filter(F.col("page_id") % every == 0).select(expression.alias("expression"), F.lit(kind).alias("threat_type"))
+            for kind, every, expression in lists]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def _spelt(valid_only: bool):
     toxic = F.col("toxic") == 1
     spelt = (F.when(F.col("lang") == "en", F.when(toxic, " SPAM ").otherwise("Ham"))
@@ -134,6 +161,16 @@ def lemmas(spark: SparkSession, sf_dir: str, words: DataFrame | None = None) ->
             .select("word", F.rtrim(F.col("word"), F.lit("s")).alias("lemma")))
 
 
+def noun_lexicon(spark: SparkSession, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(lexicon, exceptions)`` over the corpus words: the lexicon has the words whose MD5 starts with a low digit, without one
+    of the endings of each that has any; the exception list sends words of odd length in ``en`` to their first letters."""
+    bare = F.regexp_replace("word", "(ses|ves|xes|zes|ches|shes|men|ies|ss|s)$", "")
+    lexicon = words.select(F.explode(F.array(F.col("word"), bare, F.concat(bare, F.lit("y")), F.concat(bare, F.lit("man")))).alias("word")) \
+        .filter((F.length("word") > 1) & (F.substring(F.md5("word"), 1, 1) < "8")).distinct()
+    odd = words.filter(F.col("word").endswith("en") & (F.length("word") % 2 == 1))
+    return lexicon, odd.select("word", F.explode(F.array(F.expr("left(word, 2)"), F.expr("left(word, length(word) - 2)"))).alias("lemma"))
+
+
 def stems(spark: SparkSession, sf_dir: str, words: DataFrame | None = None) -> DataFrame:
     """A stem table over the corpus words: -ing / -ed endings removed."""
     words = corpus_words(spark, sf_dir) if words is None else words
