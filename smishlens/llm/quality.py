@@ -2,7 +2,7 @@
 
 The words of many texts are sorted as suffixes in one array by prefix doubling:
 a suffix ends with its text, and words of different texts never compare equal,
-so every repeat found lies within one text. Ranks of all doubling rounds are
+so every repeat found lies within one text. Ranks of every third doubling round are
 kept, and the longest common prefix (LCP) of neighbours in the suffix array is
 read off them. The largest LCP at a suffix is the LCP interval it belongs to,
 i.e. the longest substring that starts there and occurs again; those that no
@@ -36,6 +36,8 @@ MAX_COVERED = 0.3
 MAX_LONGEST = 200
 
 SYMBOLS = "#*$%&|<>"
+#: Of the rounds of prefix doubling, the ranks of one in so many are kept for the common prefixes.
+KEPT_ROUNDS = 3
 CHUNK_BYTES = 4 << 20
 
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -47,53 +49,63 @@ def longest_repeats(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     starts there and occurs at another position of the same text (0: none).
 
     ``words``: word numbers of all texts one after the other; ``counts``: words
-    per text. Repeats may overlap."""
+    per text. Repeats may overlap. Ranks are 32-bit numbers, and of the doubling rounds every
+    ``KEPT_ROUNDS``-th is kept, so memory is some 100 bytes per word."""
     n = len(words)
-    out = np.zeros(n, np.int64)
     if n == 0:
-        return out
-    text = np.repeat(np.arange(len(counts)), counts)
-    left = np.repeat(np.cumsum(counts), counts) - np.arange(n)  # words up to the text's end
-    key = text * (int(words.max()) + 1) + words
-    order = np.argsort(key, kind="stable")
+        return np.zeros(0, np.int32)
+    left = np.repeat(np.cumsum(counts), counts).astype(np.int32) - np.arange(n, dtype=np.int32)  # words up to the text's end
+    key = np.repeat(np.arange(len(counts)) * (int(words.max()) + 1), counts)
+    key += words
+    suffixes = np.argsort(key, kind="stable").astype(np.int32)  # the suffix array, sorted by the first 2**k words so far
+    key = key[suffixes]
     head = np.ones(n, bool)
-    head[1:] = key[order[1:]] != key[order[:-1]]
-    suffixes = order  # the suffix array, sorted by the first 2**k words so far
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    ranks = [rank]
-    step = 1
+    head[1:] = key[1:] != key[:-1]
+    del key
+    # the first word of neighbours is the same where no new group starts
+    same_word = np.flatnonzero(~head).astype(np.int32)
+    rank = np.empty(n, np.int32)
+    rank[suffixes] = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), 0))
+    kept = [rank.copy()]
+    step = rounds = 1
     while True:
         # places of the array whose neighbours still tie
         tied = ~head
         tied[:-1] |= ~head[1:]
-        place = np.flatnonzero(tied)
+        place = np.flatnonzero(tied).astype(np.int32)
+        del tied
         if len(place) == 0:
             break
         at = suffixes[place]
-        later = np.where(left[at] > step, rank[np.minimum(at + step, n - 1)] + 1, 0)
-        sort = np.lexsort((later, rank[at]))
-        at, later = at[sort], later[sort]
-        suffixes = suffixes.copy()
+        group = rank[at].astype(np.int64) * (n + 1)
+        group += np.where(left[at] > step, rank[np.minimum(at + np.int32(step), n - 1)] + 1, 0)
+        sort = np.argsort(group, kind="stable")
+        at, group = at[sort], group[sort]
+        del sort
         suffixes[place] = at
         first = np.ones(len(at), bool)
-        first[1:] = (rank[at[1:]] != rank[at[:-1]]) | (later[1:] != later[:-1])
-        new = rank.copy()
-        new[at] = np.maximum.accumulate(np.where(first, place, 0))
-        head = head.copy()
+        first[1:] = group[1:] != group[:-1]
+        del group
+        rank[at] = np.maximum.accumulate(np.where(first, place, 0))
         head[place] = first
-        rank = new
-        ranks.append(rank)
         step *= 2
-    # LCP of neighbours: lengths 2**k from the largest k down, where the ranks agree
-    pair = np.flatnonzero(key[suffixes[1:]] == key[suffixes[:-1]]) + 1
-    a, b = suffixes[pair - 1], suffixes[pair]
-    lcp = np.zeros(len(pair), np.int64)
-    for k in range(len(ranks) - 1, -1, -1):
-        x, y = a + lcp, b + lcp
-        inside = (lcp < left[a]) & (lcp < left[b])
-        same = inside & (ranks[k][np.minimum(x, n - 1)] == ranks[k][np.minimum(y, n - 1)])
-        lcp[same] += 1 << k
+        if rounds % KEPT_ROUNDS == 0:
+            kept.append(rank.copy())
+        rounds += 1
+    del rank, head
+    # LCP of neighbours: by the lengths of the kept rounds from the largest down, as often as the ranks agree
+    a, b = suffixes[same_word - 1], suffixes[same_word]
+    del suffixes, same_word
+    lcp = np.zeros(len(a), np.int32)
+    while kept:
+        ranks, length = kept.pop(), 1 << (KEPT_ROUNDS * len(kept))
+        here = np.arange(len(a), dtype=np.int32)
+        while len(here):
+            x, y = a[here] + lcp[here], b[here] + lcp[here]
+            inside = (lcp[here] < left[a[here]]) & (lcp[here] < left[b[here]])
+            here = here[inside & (ranks[np.minimum(x, n - 1)] == ranks[np.minimum(y, n - 1)])]
+            lcp[here] += length
+    out = np.zeros(n, np.int32)
     np.maximum.at(out, a, lcp)
     np.maximum.at(out, b, lcp)
     return out
@@ -101,10 +113,10 @@ def longest_repeats(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
     """Which of ``n`` positions lie in one of the spans."""
-    edge = np.zeros(n + 1, np.int64)
+    edge = np.zeros(n + 1, np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + lengths, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def _duplicate_lines(text: str) -> int:
@@ -119,7 +131,7 @@ def _duplicate_lines(text: str) -> int:
 
 def judge(texts: pa.Array, min_repeat: int, max_covered: float, max_longest: int) -> pa.StructArray:
     counts, words = split_words(texts)
-    numbers = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    numbers = words.dictionary_encode().indices.to_numpy(zero_copy_only=False)
     bounds = np.concatenate(([0], np.cumsum(counts)))
     size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     repeat = longest_repeats(numbers, counts)
