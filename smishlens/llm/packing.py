@@ -1,12 +1,14 @@
 """Sequence packing as a cutting-stock problem, by column generation.
 
 A document longer than a sequence is cut into full sequences and a remainder;
-nothing else is cut. Pieces are counted by length in units of a few tokens
-(rounded up), a histogram of bounded size. The linear program "use
+nothing else is cut. Pieces are counted by length, rounded up to a size: to the token
+for short pieces, to eight tokens for long ones, so the histogram is of bounded size. The unit in which
+sizes are counted is the largest that costs no more than ``ROUNDING`` of all tokens, so tables of
+short texts are packed by exact lengths. The linear program "use
 as few sequences as possible" has one variable per pattern (how many pieces of
 each length one sequence takes); it starts with one pattern per length, and
 a knapsack dynamic program over the dual prices finds the pattern that improves
-it most, until the gap to the proven bound is under ``GAP``. Pattern counts are
+it most, until the gap to the proven bound is under ``GAP`` (a warning tells when ``MAX_ROUNDS`` end it before). Pattern counts are
 rounded down; what is left over is packed first-fit, longest first.
 
 Each pattern's copies take a range of ranks in each of its lengths. Pieces are
@@ -20,6 +22,7 @@ are ignored.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +36,13 @@ from smishlens.llm.ranking import with_rank
 from smishlens.llm.tokens import CHUNK_BYTES, worker_tokenizer
 from smishlens.session import scratch_folder
 
-#: Tokens in a sequence, and tokens in one unit of the histogram.
+#: Tokens in a sequence, and the largest unit of the histogram; smaller ones are its halves.
 CAPACITY = 4096
 UNIT = 8
+#: Pieces up to so many tokens are rounded up to that many.
+STEPS = ((64, 1), (128, 2), (256, 4))
+#: Share of the tokens that rounding up may cost.
+ROUNDING = 0.01
 #: The linear program ends when its value is within this share of the bound.
 GAP = 0.001
 MAX_ROUNDS = 20_000
@@ -76,16 +83,15 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """Unbounded knapsack: the pattern of largest total price that fits."""
-    price = np.full(capacity + 1, -np.inf)
-    price[sizes] = prices
     value, taken = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
-        offer = price[1:room + 1] + value[room - 1::-1]
-        size = int(offer.argmax())
-        if offer[size] > value[room - 1] + 1e-12:
-            value[room], taken[room] = offer[size], size + 1
-        else:
-            value[room] = value[room - 1]
+        value[room] = value[room - 1]
+        if fits[room]:
+            offer = prices[:fits[room]] + value[room - sizes[:fits[room]]]
+            k = int(offer.argmax())
+            if offer[k] > value[room] + 1e-12:
+                value[room], taken[room] = offer[k], sizes[k]
     pattern, room = np.zeros(len(sizes)), capacity
     while room > 0:
         if taken[room]:
@@ -106,6 +112,7 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
     patterns = np.diag(fill).astype(float)  # columns: the basis
     inverse = np.diag(1.0 / fill)
     x = demand / fill
+    value = np.inf
     for _ in range(max_rounds):
         value, pattern = best_pattern(inverse.sum(axis=0), sizes, capacity)
         if 1 - 1 / value <= gap:  # total / value is a lower bound of the optimum
@@ -120,6 +127,8 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
         row = inverse[leave] / move[leave]
         inverse -= np.outer(move, row)
         inverse[leave] = row
+    else:
+        warnings.warn(f"packing: {max_rounds} rounds, {1 - 1 / value:.2%} from the bound", stacklevel=2)
     return round_down(patterns, x, sizes, demand, capacity)
 
 
@@ -159,13 +168,37 @@ def slots(solution: list[tuple[int, np.ndarray]], sizes: np.ndarray) -> tuple[np
     return tuple(table[:, k].copy() for k in range(4))
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, unit: int = UNIT, seed: int = 11) -> DataFrame:
-    """The narrow columns of :func:`pieces` with ``sequence_id`` and ``offset``."""
-    units = F.ceil(F.col("length") / unit).cast("long")
-    rows = cut.withColumn("size", units).withColumn("order", F.xxhash64("piece", F.lit(seed)))
-    histogram = rows.groupBy("size").count().orderBy("size").collect()  # at most capacity / unit rows
-    sizes = np.array([r["size"] for r in histogram], np.int64)
-    demand = np.array([r["count"] for r in histogram], np.int64)
+def rounded(lengths: np.ndarray, unit: int, capacity: int) -> np.ndarray:
+    """The sizes of pieces, in units; a sequence's size is ``capacity // unit``."""
+    step = np.full(len(lengths), UNIT)
+    for most, of in reversed(STEPS):
+        step[lengths <= most] = of
+    step = np.maximum(step, unit)
+    return np.minimum(-(-lengths // step) * step // unit, capacity // unit)
+
+
+def choose_unit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:
+    """The largest unit with which rounding up costs ``ROUNDING`` of the tokens at most."""
+    unit = UNIT
+    while unit > 1 and (counts * (rounded(lengths, unit, capacity) * unit - lengths)).sum() > ROUNDING * (counts * lengths).sum():
+        unit //= 2
+    return unit
+
+
+def pack(cut: DataFrame, capacity: int = CAPACITY, unit: int | None = None, seed: int = 11) -> DataFrame:
+    """The narrow columns of :func:`pieces` with ``sequence_id`` and ``offset``. ``unit``: chosen by the
+    lengths where it is not given."""
+    found = cut.groupBy("length").count().orderBy("length").collect()  # at most capacity rows
+    lengths, counts = (np.array([r[c] for r in found], np.int64) for c in ("length", "count"))
+    unit = unit or choose_unit(lengths, counts, capacity)
+    sizes, place = np.unique(rounded(lengths, unit, capacity), return_inverse=True)
+    demand = np.bincount(place, counts, len(sizes)).astype(np.int64)
+    step = F.lit(UNIT)
+    for most, of in reversed(STEPS):
+        step = F.when(F.col("length") <= most, F.lit(of)).otherwise(step)
+    step = F.greatest(step, F.lit(unit))
+    size = F.least(F.ceil(F.col("length") / step) * step / unit, F.lit(capacity // unit)).cast("long")
+    rows = cut.withColumn("size", size).withColumn("order", F.xxhash64("piece", F.lit(seed)))
     size_of, first_rank, first_sequence, per_copy = slots(solve(sizes, demand, capacity // unit), sizes)
 
     def find(size: pa.Array, rank: pa.Array) -> pa.Array:
@@ -177,7 +210,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, unit: int = UNIT, seed: int =
     find.__annotations__ = {"size": pa.Array, "rank": pa.Array, "return": pa.Array}
     ranked = with_rank(rows, ["size"], "order", ["piece"], int(demand.max()) if len(demand) else 0)
     placed = ranked.withColumn("sequence_id", F.arrow_udf(find, "long")(F.col("size"), F.col("rank")))
-    # at most capacity / unit pieces share a sequence
+    # at most ``capacity`` pieces share a sequence
     before = Window.partitionBy("sequence_id").orderBy(F.desc("size"), "rank").rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))) \
         .drop("size", "order", "rank")
