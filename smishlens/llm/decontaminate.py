@@ -3,8 +3,8 @@
 Words are the runs of ASCII letters, digits and non-ASCII characters, A-Z
 lower-cased. A window is ``n`` consecutive words of a benchmark item; an item of
 fewer words, but not none, is one window. The distinct windows are hashed and
-broadcast (as long as their number is under a stated bound; beyond it the same
-join shuffles). Every word position of every text probes the hash of the window
+broadcast, ``MAX_BROADCAST_WINDOWS`` at a time: a larger benchmark takes as many passes over the
+texts as it has such parts, and only the hits of a pass are written. Every word position of every text probes the hash of the window
 that starts there; a hit is verified by comparing the words themselves, inside the
 join. A text's hit words are those inside any verified window, its items
 those that own one.
@@ -21,12 +21,16 @@ the empty string. Rows with equal keys and text are scanned as one and counted i
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smishlens.session import shared_table
+
 #: Words in a window.
 WINDOW = 10
-#: Most distinct windows that are broadcast (about 100 bytes each).
+#: Most distinct windows that are broadcast at a time (about 100 bytes each).
 MAX_BROADCAST_WINDOWS = 500_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -70,8 +74,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "te
     grams = windows(benchmark, n, item, bench_text)
     sizes = {r["size"]: r["n"] for r in grams.groupBy("size").agg(F.count("*").alias("n")).collect()}
     grams = grams.select(F.col("size").alias("g_size"), F.col("hash").alias("g_hash"), "window", "items")
-    if sum(sizes.values()) <= MAX_BROADCAST_WINDOWS:
-        grams = F.broadcast(grams)
+    passes = max(1, -(-sum(sizes.values()) // MAX_BROADCAST_WINDOWS))
+    if passes > 1:
+        grams = shared_table(grams, "windows")
     names = [f"__key{i}" for i in range(len(keys))]
     rows = docs.select(*[F.col(k).alias(x) for k, x in zip(keys, names)],
                        F.xxhash64(F.col(text)).alias("text_hash"), words(F.col(text)).alias("w"))
@@ -86,14 +91,25 @@ def scan(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "te
     else:
         at = at.withColumn("probe", probes[0])
     at = at.select(*names, "text_hash", "w", "n_words", "pos", F.col("probe.size").alias("size"), F.col("probe.hash").alias("hash"))
-    found = at.join(grams, (F.col("size") == F.col("g_size")) & (F.col("hash") == F.col("g_hash"))
-                    & (F.array_join(F.slice("w", F.col("pos") + 1, F.col("size")), " ") == F.col("window")), "left")
-    found = found.filter(F.col("window").isNotNull() | (F.col("pos") == 0))
-    hit = F.when(F.col("window").isNotNull(), F.struct("pos", "size"))
-    return found.select(*names, "text_hash", "n_words", "pos", hit.alias("hit"), "items") \
-        .groupBy(*names, "text_hash").agg(F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"),
+
+    def probed(part: DataFrame, first: bool) -> DataFrame:
+        """The hits in a part of the windows; with ``first``, also every text's first position."""
+        same = (F.col("size") == F.col("g_size")) & (F.col("hash") == F.col("g_hash")) \
+            & (F.array_join(F.slice("w", F.col("pos") + 1, F.col("size")), " ") == F.col("window"))
+        found = at.join(F.broadcast(part), same, "left" if first else "inner")
+        if first:
+            found = found.filter(F.col("window").isNotNull() | (F.col("pos") == 0))
+        hit = F.when(F.col("window").isNotNull(), F.struct("pos", "size"))
+        return found.select(*names, "text_hash", "n_words", "pos", F.lit(first).alias("counts"), hit.alias("hit"), "items")
+
+    if passes == 1:
+        found = probed(grams, True)
+    else:  # parts by hash, which is even
+        found = reduce(DataFrame.unionByName, [
+            shared_table(probed(grams.filter(F.pmod("g_hash", F.lit(passes)) == k), k == 0), "window_hits") for k in range(passes)])
+    return found.groupBy(*names, "text_hash").agg(F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"),
                                           F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-                                          (F.count_if(F.col("pos") == 0) / len(probes)).cast("long").alias("copies")) \
+                                          (F.count_if((F.col("pos") == 0) & F.col("counts")) / len(probes)).cast("long").alias("copies")) \
         .select(*[F.col(x).alias(k) for k, x in zip(keys, names)], "text_hash", "n_words", "hits", "items", "copies")
 
 

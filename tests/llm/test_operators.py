@@ -279,6 +279,48 @@ def test_sequences_hold_the_pieces(spark):
         assert r["n_tokens"] == len(r["ids"]) // 4 <= 64
 
 
+@pytest.mark.parametrize("lengths", [[9], [1], [17], list(range(3, 40)), [9, 300], [33, 70, 130, 300]])
+def test_little_padding_for_short_pieces(spark, lengths):
+    n = 60_000 // max(sum(lengths) // len(lengths), 1)
+    rows = [(i, lengths[i % len(lengths)]) for i in range(n)]
+    out = packing.pack(spark.createDataFrame(rows, "piece long, length long")).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= packing.CAPACITY
+    total = sum(length for _, length in rows)
+    assert len(out) == n and len(by) <= -(-total // packing.CAPACITY) * 1.03 + 2
+
+
+def test_the_unit_follows_the_lengths():
+    assert packing.choose_unit(np.array([2000, 9]), np.array([100, 3]), 4096) == 8
+    assert packing.choose_unit(np.array([9]), np.array([100]), 4096) == 1
+    for unit in (1, 2, 4, 8):
+        lengths = np.arange(1, 4097)
+        sizes = packing.rounded(lengths, unit, 4096)
+        assert (sizes * unit >= lengths).all() and sizes.max() == 4096 // unit and len(np.unique(sizes)) <= 608
+    with pytest.warns(UserWarning, match="1 rounds"):
+        packing.solve(np.array([3, 5, 7, 11]), np.array([40, 30, 20, 50]), 29, max_rounds=1)
+
+
+def test_repeats_of_a_long_text_in_bounded_memory():
+    import tracemalloc
+
+    n = 1_000_000
+    for words in (np.zeros(n, np.int64), np.tile(np.arange(1000), n // 1000), np.arange(n)):
+        tracemalloc.start()
+        got = quality.longest_repeats(words, np.array([n]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 150 * n  # bytes
+        assert got[0] == (n - 1 if not words.any() else n - 1000 if words[1000] == 0 else 0)
+
+
 def test_random_access_to_sequences(spark, tmp_path):
     docs = spark.createDataFrame([(i, f"alpha beta {i} " * (i % 9)) for i in range(50)], "doc_id long, text string")
     manifest = token_files.write(docs, str(tmp_path / "t"), tokens.vocabulary_path(), 1, length=16, batch=4, part_bytes=1500)
@@ -366,12 +408,21 @@ def test_spans_are_cut_and_the_rest_is_kept(spark):
         decontaminate.decontaminate(docs, bench, "other")
 
 
-def test_beyond_the_broadcast_bound_the_join_gives_the_same(spark, monkeypatch):
-    bench = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")
-    docs = spark.createDataFrame([(1, "x a b c d e f g h i j k y"), (2, "a b")], "doc_id long, text string")
-    before = sorted(map(str, decontaminate.scan(docs, bench, ["doc_id"]).collect()))
-    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_WINDOWS", 0)
-    assert sorted(map(str, decontaminate.scan(docs, bench, ["doc_id"]).collect())) == before
+@pytest.mark.parametrize("most", [1, 3, 10])
+def test_a_larger_benchmark_takes_several_passes(spark, monkeypatch, most):
+    passage = [f"w{i % 17}" for i in range(40)]
+    bench = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, " ".join(passage)), (3, "tiny item"), (None, "a b c d e f g h i j"), (4, None)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x a b c d e f g h i j k y"), (2, "a b"), (3, " ".join(passage[5:30])), (3, " ".join(passage[5:30])), (4, "A Tiny item"),
+                                  (5, None), (6, "")], "doc_id long, text string")
+
+    def found():
+        out = decontaminate.scan(docs, bench, ["doc_id"]).withColumn("hits", F.array_sort("hits"))
+        return sorted(map(str, out.collect()))
+
+    before = found()
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_WINDOWS", most)
+    assert found() == before and len(before) == 6
 
 
 @pytest.mark.parametrize("max_bits", [2, 4, 6])
