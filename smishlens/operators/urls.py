@@ -4,9 +4,8 @@ The reference asks a reputation service once per distinct URL. Here the
 service is a ``threats(url, threat_type)`` table and the lookup is a join:
 
 1. every URL occurrence becomes a narrow row ``(id, pos, url)`` (``posexplode``);
-2. the rows are left-joined to the suspicious URL set. AQE picks a broadcast
-   join only when the runtime size of that set is under the broadcast limit,
-   otherwise a sort-merge join whose hot URLs are split by the skew-join rule;
+2. the rows are left-joined to the suspicious URL set, which is broadcast when it is counted
+   to be small; otherwise only URLs that are not frequent shuffle (see ``operators.skew``);
 3. flags are regrouped per message (partial aggregation first, so one row per
    message crosses the shuffle) and the text is rebuilt from the pieces between
    the URLs with ``zip_with``.
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from smishlens.functions import text as T
 from smishlens.operators.reputation import listed_urls
+from smishlens.operators.skew import lookup_join
 
 # Threat types that make a URL suspicious.
 SUSPICIOUS_TYPES = ("MALWARE", "SOCIAL_ENGINEERING")
@@ -65,8 +65,8 @@ def tokenise_urls(df: DataFrame, threats: DataFrame | None, text_col: str = "mes
         bad = listed_urls(occurrences, threats.filter(F.col("threat_type").isin(*SUSPICIOUS_TYPES))).select("url").distinct()
     else:
         bad = suspicious_urls(threats)
-    bad = bad.withColumn("_bad", F.lit(True))
-    flags = (occurrences.join(bad, "url", "left")
+    bad = bad.select(F.col("url").alias("_listed"), F.lit(True).alias("_bad"))
+    flags = (lookup_join(occurrences, bad, "url", "_listed")
              .groupBy(id_col, "_text_key")
              .agg(F.array_sort(F.collect_set(F.struct(
                  F.col("_pos").alias("pos"),

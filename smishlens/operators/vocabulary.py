@@ -5,8 +5,8 @@ table (``word``, ``lemma``/``stem``) is joined to the tokens:
 
 * tokens are exploded with their position (narrow, per partition);
 * only entries that change a word take part in the join, so the join side is
-  small; AQE broadcasts it when its runtime size allows, otherwise the join is
-  a sort-merge join whose hot words are split by the skew-join rule;
+  small; it is broadcast when its rows are counted to be few, otherwise only tokens that are
+  no frequent word shuffle (see ``operators.skew``);
 * tokens are regrouped per message in position order (partial aggregation on
   the map side, so one row per message crosses the shuffle) and re-joined
   with one blank.
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from smishlens.functions import text as T
 from smishlens.operators.porter import porter_stems
+from smishlens.operators.skew import lookup_join
 from smishlens.session import shared_table
 
 
@@ -39,7 +40,7 @@ def apply_lookup(tokens: DataFrame, table: DataFrame, value_col: str, tok_col: s
                .select(F.col("word").alias("_w"), F.col(value_col).alias("_v")))
     if not unique:
         changes = changes.dropDuplicates(["_w"])
-    joined = tokens.join(changes, tokens[tok_col] == changes["_w"], "left")
+    joined = lookup_join(tokens, changes, tok_col, "_w")
     return joined.withColumn(tok_col, F.coalesce(F.col("_v"), F.col(tok_col))).drop("_w", "_v")
 
 
