@@ -746,6 +746,10 @@ FROM labels l LEFT JOIN (
     SELECT user_id AS msg_id, CASE WHEN value > 100 THEN 1 ELSE 0 END AS label,
            row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
     FROM events WHERE event_type = 'click') WHERE rn = 1) f ON l.doc_id = f.msg_id"""
+ORACLE["feedback_upsert"] = """
+SELECT user_id AS msg_id, CAST(CASE WHEN value > 100 THEN 1 ELSE 0 END AS BIGINT) AS label
+FROM events WHERE event_type = 'click' AND user_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 STREAM_CUTS = (0.3, 0.7)
 # L1: every document id once, scored by the model fitted on the train part.
 ORACLE["stream_score"] = _pipeline_sql(f"""

@@ -645,6 +645,16 @@ def q_feedback_merge(spark, sf):
     return out.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"), "source")
 
 
+@register("feedback_upsert")
+def q_feedback_upsert(spark, sf):
+    """L3 as a bucketed label table: the feedback arrives in three batches, one of them twice."""
+    path = scratch_folder(spark, "label_table")
+    events = D.feedback(spark, sf)
+    for part in (2, 0, 1, 0):
+        out = ST.upsert_labels(spark, path, events.filter(F.pmod(F.col("event_id"), F.lit(3)) == part), buckets=8)
+    return out.select(F.col("msg_id").cast("bigint"), F.col("label").cast("bigint"))
+
+
 @register("stream_score")
 def q_stream_score(spark, sf):
     """L1: all documents arrive as a stream with their text; each id once."""

@@ -35,7 +35,7 @@ from smishlens.operators.tfidf import MAX_FEATURES, TfidfModel, fit_tfidf
 from smishlens.operators import metrics as M
 from smishlens.operators.urls import tokenise_urls
 from smishlens.operators.vocabulary import normalise_texts
-from smishlens.session import shared_table
+from smishlens.session import path_exists, shared_table
 
 # The reference's model settings.
 C = 1.0
@@ -388,11 +388,6 @@ def save_model(spark: SparkSession, model: PipelineModel, path: str, meta: dict)
         .coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     """A5: load a saved pipeline; a missing artefact raises FileNotFoundError,
     any other failure is raised as it is."""

@@ -109,6 +109,12 @@ def shared_table(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any Hadoop store is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def drop_table(df) -> None:
     """Delete the folder of a table of :func:`shared_table` that is no longer needed."""
     files = df.inputFiles()
