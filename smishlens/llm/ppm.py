@@ -66,7 +66,7 @@ SCORE_BYTES = 1 << 18
 #: Text of the documents that ask for a (context, symbol) together, and (context, symbol) per row.
 BATCH_BYTES = 32 << 20
 LISTED = 100_000
-WORD_BYTES = 4 << 20
+WORD_BYTES = 2 << 20
 
 
 def padded(data: np.ndarray, bounds: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -329,9 +329,12 @@ def look_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
 
 def add_answers(texts: pa.Table, found: pa.Table, order: int) -> pa.Table:
     """(row, looked_up): what the looked-up grams of one batch add to the score of every text."""
-    grams = found["gram"].to_numpy()
+    grams, values = found["gram"].to_numpy(), found["score"].to_numpy()
+    del found
     by = np.argsort(grams)
-    grams, values = grams[by], found["score"].to_numpy()[by].astype(np.float64)
+    grams, values = grams[by], values[by]
+    del by
+    release()
     rows, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
     for first, part in zip(texts["row"].to_pylist(), texts["part"]):
         size = part["sizes"].values.to_numpy()
@@ -371,7 +374,7 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: st
         size, asked = 0, []
 
         def ask() -> Iterator[pa.RecordBatch]:
-            grams = np.unique(np.concatenate(asked)) if asked else np.zeros(0, np.int64)
+            grams = asked[0] if asked else np.zeros(0, np.int64)
             for first in range(0, len(grams), LISTED):
                 yield table_rows(1, batch=[group], grams=[grams[first:first + LISTED]])
             asked.clear()
@@ -405,7 +408,7 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: st
                     group, size = group + 1, 0
                 size += int(text_size.sum())
                 parts = [model_trie.score_known(part, known_only=True) for _, part in chunks(texts, SCORE_BYTES)]
-                asked.append(pc.unique(pa.array(np.concatenate([grams for _, grams, _ in parts]))).to_numpy())
+                asked[:] = [np.unique(np.concatenate([*asked, *(grams for _, grams, _ in parts)]))]
                 marks = np.concatenate([x for _, _, x in parts])
                 part = {"sizes": text_size, "text": packed(text_bytes(texts)[0]), "marks": packed(np.packbits(marks))}
                 yield table_rows(1, batch=[group], row=[row], part=[part])
@@ -414,6 +417,8 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text: st
                     known=row_sums(known, bounds).astype(np.int64), base=row_sums(base[code], bounds),
                     score=np.concatenate([x for x, _, _ in parts]), rare=pa.ListArray.from_arrays(pa.array(ends), listed))
                 row += n
+                del parts, part, marks, coded, code, found, texts
+                release()
         yield from ask()
         release()
 
