@@ -12,6 +12,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from smishlens.functions.transliterate import syllables
+
 # Patterns of the reference's text cleaning.
 #   URL     https?://\S+|www\.\S+   (case-sensitive; \S is Unicode-aware in Python,
 #                                    hence the (?U) flag for Java)
@@ -105,10 +107,10 @@ def default_fold_table() -> dict[str, str]:
 def _fold(col: Column, table: dict[str, str], ascii_map: dict[str, str]) -> Column:
     """The fold of a text with non-ASCII characters: one ``translate`` for 1:1 pairs
     (and for ``ascii_map``), then ``replace`` for 1:n. Texts within Latin-1 and Latin
-    Extended-A take a short chain. In the others, letters and digits without an
-    entry become ``FOLD_UNKNOWN``; what is left beyond ASCII (marks, pictographs)
+    Extended-A take a short chain. In the others, Hangul and kana are spelt by rule
+    (:mod:`transliterate`), and letters and digits without an entry become ``FOLD_UNKNOWN``; what is left beyond ASCII (marks, pictographs)
     is removed. Each text runs through one of the two branches."""
-    def chain(part: dict[str, str]) -> Column:
+    def chain(part: dict[str, str], col: Column = col) -> Column:
         one = {k: v for k, v in part.items() if len(v) == 1} | ascii_map
         out = F.translate(col, "".join(one.keys()), "".join(one.values()))
         for k, v in sorted(part.items()):
@@ -117,7 +119,7 @@ def _fold(col: Column, table: dict[str, str], ascii_map: dict[str, str]) -> Colu
         return out
 
     latin = chain({k: v for k, v in table.items() if ord(k) < 0x0180})
-    full = F.regexp_replace(chain(table), r"[\p{L}\p{N}&&[^\x00-\x7F]]", FOLD_UNKNOWN)
+    full = F.regexp_replace(chain(table, syllables(col)), r"[\p{L}\p{N}&&[^\x00-\x7F]]", FOLD_UNKNOWN)
     return F.regexp_replace(F.when(col.rlike(r"[^\x00-\u017F]"), full).otherwise(latin), NON_ASCII_PATTERN, "")
 
 
