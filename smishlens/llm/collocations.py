@@ -43,6 +43,8 @@ from smishlens.session import drop_table, shared_table
 BLOCK_BYTES = 16 << 20
 CHUNK_BYTES = 2 << 20
 ROWS = 100_000
+#: Parts of a language's phrases that are ranked apart before all are.
+PARTS = 64
 #: A block's number is the task's, shifted by this, and the block's in the task.
 TASK_BITS = 11
 
@@ -294,7 +296,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
         phrases.append(shared_table(longer.select("id", "lang", F.concat_ws(" ", "start", "last").alias("phrase"), "a"), "phrases"))
     found = scored(phrases).join(covered(phrases), ["lang", "phrase"], "left") \
         .filter(F.col("longer").isNull() | (100 * F.col("longer") < cover_percent * F.col("a")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    first = found.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
+    # the first of each language are among the first of its parts, so the last window has PARTS * top rows at most
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    parts = found.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    parts = parts.withColumn("place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("place") <= top)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    first = parts.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
     return first.join(sizes, "lang") \
         .select("lang", "rank", "phrase", "a", "l", "r", F.col("n").cast("long").alias("n"), "score")
