@@ -84,9 +84,9 @@ def test_weights_in_a_wrong_direction_are_found(spark):
     train = spark.createDataFrame(rows, ["label", "features"])
     model = LinearSVC(regParam=1 / 200, standardization=False, tol=1e-6, maxIter=500).fit(train)
     weights, reg = model.coefficients.toArray(), 1 / 200
-    assert CK.hinge_excess(weights, model.intercept, reg, train, 200) <= CK.SVM_EXCESS
+    assert CK.hinge_excess(model, train, 200) <= CK.SVM_EXCESS
     across = rng.normal(size=6)
     across -= across @ weights / (weights @ weights) * weights
     across *= np.linalg.norm(weights) / np.linalg.norm(across)
     turned = np.cos(0.2) * weights + np.sin(0.2) * across
-    assert CK.hinge_excess(turned, model.intercept, reg, train, 200) > CK.SVM_EXCESS
+    assert CK.excess_at(turned, model.intercept, reg, train, 200) > CK.SVM_EXCESS
