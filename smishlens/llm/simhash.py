@@ -131,13 +131,16 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     members of the pivot's own component, which are connected already. So a
     dense ball costs about its size, not its square, and members far from the pivot
     still meet everybody. All joins verify the distance themselves: what they put
-    out are links, not candidates."""
+    out are links, not candidates.
+
+    Joins by bucket are sort-merge joins by a hint: Spark sizes the rows of an explode
+    like the fingerprints, forty times too low, and would broadcast them."""
     bucket = ["segment", "value"]
     rows = _rows(prints, max_bits)
     pivots = rows.groupBy(*bucket).agg(F.min("fp").alias("low"), F.max("fp").alias("high"),
                                        F.min(F.struct((-F.col("n")).alias("n"), "fp")).alias("top"))
     pivots = pivots.filter("low < high").select(*bucket, F.col("top.fp").alias("pivot"))
-    star = rows.select(*bucket, "fp").join(pivots, bucket) \
+    star = rows.select(*bucket, "fp").join(pivots.hint("merge"), bucket) \
         .filter((F.col("fp") != F.col("pivot")) & (_distance("fp", "pivot") <= max_bits))
     star = shared_table(star.select(*_ordered("fp", "pivot")).distinct(), "star_links")
 
@@ -145,13 +148,13 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     labelled = prints.join(label, "fp", "left").select("fp", "n", F.coalesce("label", "fp").alias("label"))
     rows = _rows(shared_table(labelled, "labelled_prints"), max_bits, "label")
     tops = rows.groupBy(*bucket).agg(F.min(F.struct((-F.col("n")).alias("n"), "fp", "label")).alias("top"))
-    rows = rows.join(tops, bucket).select(*bucket, "fp", "probe", (F.col("label") != F.col("top.label")).alias("minor"))
+    rows = rows.join(tops.hint("merge"), bucket).select(*bucket, "fp", "probe", (F.col("label") != F.col("top.label")).alias("minor"))
     rows = shared_table(rows, "bucket_rows")
 
     def pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
         a = index.filter("not probe").select(*bucket, F.col("fp").alias("a"))
         b = probe.filter("probe").select(*bucket, F.col("fp").alias("b"))
-        near = a.join(b, bucket).filter((F.col("a") != F.col("b")) & (_distance("a", "b") <= max_bits))
+        near = a.join(b.hint("merge"), bucket).filter((F.col("a") != F.col("b")) & (_distance("a", "b") <= max_bits))
         return near.select(*_ordered("a", "b"))
 
     rest = pairs(rows.filter("minor"), rows).unionByName(pairs(rows.filter("not minor"), rows.filter("minor")))
